@@ -1,0 +1,67 @@
+"""The model chain: raw -> clean -> staging -> facts -> marts.
+
+``Warehouse`` builds each layer lazily once per instance; a pipeline run
+(``run``) materializes the shared facts to tables so the marts read files
+instead of re-deriving the facts.
+"""
+
+from __future__ import annotations
+
+from functools import cached_property
+
+from pyspark.sql import DataFrame, SparkSession
+
+from shoplens.plans import facts, ingest, marts, staging
+from shoplens.sources.fixture import raw_events_from_dir
+
+
+class Warehouse:
+    """Lazy layers over one data directory (the driver's parquet tables)."""
+
+    def __init__(self, spark: SparkSession, data_dir: str):
+        self.spark = spark
+        self.data_dir = data_dir
+
+    @cached_property
+    def raw(self) -> DataFrame:
+        return raw_events_from_dir(self.spark, self.data_dir)
+
+    @cached_property
+    def clean(self) -> DataFrame:
+        return ingest.clean_events(self.raw)
+
+    @cached_property
+    def stg(self) -> DataFrame:
+        return staging.stg_events(self.clean)
+
+    @cached_property
+    def fact(self) -> DataFrame:
+        return facts.fact_events(self.stg)
+
+    @cached_property
+    def sessions(self) -> DataFrame:
+        return facts.fact_sessions(self.fact)
+
+    @cached_property
+    def funnel(self) -> DataFrame:
+        return marts.funnel_daily(self.fact)
+
+    @cached_property
+    def retention(self) -> DataFrame:
+        return marts.retention_cohort_weekly(self.fact)
+
+    @cached_property
+    def growth(self) -> DataFrame:
+        return marts.category_growth_weekly(self.fact)
+
+    @cached_property
+    def rfm(self) -> DataFrame:
+        return marts.rfm(self.fact)
+
+    @cached_property
+    def price_performance(self) -> DataFrame:
+        return marts.price_performance(self.fact)
+
+    @cached_property
+    def product_matrix(self) -> DataFrame:
+        return marts.product_matrix(self.fact)
