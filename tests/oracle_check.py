@@ -91,6 +91,14 @@ def main(argv):
             failures += 1
             continue
         msgs = compare(srows, scols, drows, dcols)
+        stypes = {f.name: f.dataType.simpleString() for f in df.schema.fields}
+        dtypes = {d[0]: str(d[1]) for d in res.description}
+        tmap = {"bigint": "BIGINT", "double": "DOUBLE", "string": "VARCHAR", "date": "DATE",
+                "timestamp_ntz": "TIMESTAMP", "boolean": "BOOLEAN", "int": "INTEGER"}
+        tdiff = [f"{c}:{stypes[c]}/{dtypes.get(c)}" for c in stypes
+                 if tmap.get(stypes[c], stypes[c]) != dtypes.get(c)]
+        if tdiff:
+            msgs.append("types differ " + ",".join(tdiff))
         status = "OK  " if not msgs else "FAIL"
         failures += bool(msgs)
         print(f"{status} {name}: {len(srows)} rows spark {t1 - t0:.2f}s " + "; ".join(msgs))
