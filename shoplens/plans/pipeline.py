@@ -65,3 +65,33 @@ class Warehouse:
     @cached_property
     def product_matrix(self) -> DataFrame:
         return marts.product_matrix(self.fact)
+
+
+def materialize(df: DataFrame, path: str) -> DataFrame:
+    """Write a layer as Parquet and read it back: later layers scan files
+    (column pruning, filter pushdown) instead of re-deriving the plan, and
+    the lineage is cut, so a lost executor never replays upstream work."""
+    df.write.mode("overwrite").parquet(path)
+    return df.sparkSession.read.parquet(path)
+
+
+class MaterializedWarehouse(Warehouse):
+    """A pipeline run: ingest to date-partitioned files, then the facts and
+    marts as tables under ``out_dir`` (a shared folder on a cluster)."""
+
+    def __init__(self, spark: SparkSession, data_dir: str, out_dir: str):
+        super().__init__(spark, data_dir)
+        self.out_dir = out_dir.rstrip("/")
+
+    def _path(self, name: str) -> str:
+        return f"{self.out_dir}/{name}"
+
+    def run_ingest(self) -> None:
+        ingest.write_partitioned(ingest.clean_events(self.raw), self._path("events"))
+        self.__dict__["clean"] = ingest.read_partitioned(self.spark, self._path("events"))
+
+    def build(self, layer: str) -> DataFrame:
+        """Materialize one layer (``fact``, ``sessions``, ``funnel`` ...)."""
+        df = materialize(getattr(self, layer), self._path(layer))
+        self.__dict__[layer] = df
+        return df
