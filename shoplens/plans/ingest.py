@@ -32,9 +32,10 @@ def invalid_price_flag(price="price") -> F.Column:
     return p.isNull() | (p < PRICE_MIN) | (p > PRICE_MAX)
 
 
-def clean_events(raw: DataFrame) -> DataFrame:
+def clean_events(raw: DataFrame, keep: tuple[str, ...] = ()) -> DataFrame:
     """Raw contract -> cleaned events (time parsed, date derived, bad price
-    nulled, invalid types dropped).  Column order follows the sink."""
+    nulled, invalid types dropped).  Column order follows the sink; ``keep``
+    names extra columns to carry along (e.g. the source file)."""
     ts = parsed_time(raw)
     price = F.col("price").cast(MONEY) if not isinstance(
         raw.schema["price"].dataType, T.DecimalType) else F.col("price")
@@ -49,7 +50,7 @@ def clean_events(raw: DataFrame) -> DataFrame:
                 "event_type", "product_id", "category_id", "category_code", "brand",
                 F.when(invalid_price_flag(), F.lit(None).cast(MONEY))
                  .otherwise(F.col("price")).alias("price"),
-                "user_id", "user_session"))
+                "user_id", "user_session", *keep))
 
 
 def ingest_stats(raw: DataFrame) -> DataFrame:
@@ -106,7 +107,8 @@ def load_summary(staging: DataFrame) -> DataFrame:
         F.max("event_date").alias("max_date"))
 
 
-def write_partitioned(clean: DataFrame, path: str, max_records_per_file: int = 5_000_000) -> None:
+def write_partitioned(clean: DataFrame, path: str, max_records_per_file: int = 5_000_000,
+                      partition_cols: tuple[str, ...] = ("event_date",)) -> None:
     """Date-partitioned, ZSTD Parquet (``event_date=YYYY-MM-DD`` folders).
     A date present in this batch replaces that date's folder (dynamic
     overwrite); other dates are untouched.
@@ -115,12 +117,12 @@ def write_partitioned(clean: DataFrame, path: str, max_records_per_file: int = 5
     dates; sorting by (date, user) inside tasks gives one sequential file per
     date and tight row-group statistics on ``user_id``.
     """
-    (clean.sortWithinPartitions("event_date", "user_id")
+    (clean.sortWithinPartitions(*partition_cols, "user_id")
      .write.mode("overwrite")
      .option("partitionOverwriteMode", "dynamic")
      .option("compression", "zstd")
      .option("maxRecordsPerFile", max_records_per_file)
-     .partitionBy("event_date")
+     .partitionBy(*partition_cols)
      .parquet(path))
 
 
