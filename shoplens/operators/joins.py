@@ -25,9 +25,8 @@ def join_dimension(fact: DataFrame, dim: DataFrame, on, how: str = "left",
     return fact.join(side, on, how)
 
 
-def with_scalars(df: DataFrame, one_row: DataFrame) -> DataFrame:
-    """Attach the columns of a one-row frame (uncorrelated scalar subquery).
-
-    A global aggregate has exactly one row, so broadcasting it is bounded.
-    """
-    return df.crossJoin(F.broadcast(one_row))
+def scalar(one_value: DataFrame):
+    """An uncorrelated scalar subquery as a Column: ``one_value`` is a
+    one-row, one-column frame (a global aggregate).  Spark runs it once,
+    inlines the value, and reuses it where the same subquery repeats."""
+    return one_value.scalar()

@@ -15,7 +15,7 @@ from pyspark.sql import functions as F
 
 from shoplens.functions import first_match, ratio_pct, round_ratio, week_start
 from shoplens.operators.aggregates import user_stage_flags, users_with
-from shoplens.operators.joins import with_scalars
+from shoplens.operators.joins import scalar
 from shoplens.plans.checks import latest_week
 
 # Dashboard labels.
@@ -51,13 +51,10 @@ def _purchase_price():
 def kpi_cards(fact: DataFrame, as_of=None, days: int = 7) -> DataFrame:
     """Users, purchasers, revenue and revenue per purchaser (named ``arpu``
     on the dashboard) over the ``days`` days up to ``as_of``."""
-    if as_of is None:
-        bound = fact.agg(F.max("event_date").alias("_as_of"))
-    else:
-        bound = fact.sparkSession.range(1).select(F.lit(as_of).cast("date").alias("_as_of"))
-    recent = (with_scalars(fact, bound)
-              .where((F.col("event_date") >= F.date_sub("_as_of", days))
-                     & (F.col("event_date") <= F.col("_as_of"))))
+    bound = (scalar(fact.agg(F.max("event_date"))) if as_of is None
+             else F.lit(as_of).cast("date"))
+    recent = fact.where((F.col("event_date") >= F.date_sub(bound, days))
+                        & (F.col("event_date") <= bound))
     per_user = user_stage_flags(recent, [], {"_rev": F.sum(_purchase_price())})
     agg = per_user.agg(F.count("user_id").alias("total_users"),
                        users_with("has_purchase").alias("purchasers"),
@@ -208,20 +205,16 @@ def category_alerts(growth: DataFrame, min_revenue: int = 1000) -> DataFrame:
 def top_revenue_category(growth: DataFrame) -> DataFrame:
     """One-row frame: the category with the most revenue over all weeks."""
     per_cat = growth.groupBy("category_l1").agg(F.sum("revenue").alias("_r"))
-    return (per_cat.orderBy(F.desc("_r"), "category_l1").limit(1)
-            .select(F.col("category_l1").alias("_category")))
+    return per_cat.orderBy(F.desc("_r"), "category_l1").limit(1).select("category_l1")
 
 
-def _category_scalar(growth: DataFrame, category):
-    if category is None:
-        return top_revenue_category(growth)
-    return growth.sparkSession.range(1).select(F.lit(category).alias("_category"))
+def _category(growth: DataFrame, category):
+    return scalar(top_revenue_category(growth)) if category is None else F.lit(category)
 
 
 def category_cart_rate(funnel: DataFrame, growth: DataFrame, category=None) -> DataFrame:
     """Cart rate by price bucket for one category, lowest first."""
-    cat = _category_scalar(growth, category)
-    f = with_scalars(funnel, cat).where(F.col("category_l1") == F.col("_category"))
+    f = funnel.where(F.col("category_l1") == _category(growth, category))
     return (f.select("category_l1", "price_bucket", "cart_rate_pct")
             .orderBy("cart_rate_pct", "price_bucket"))
 
@@ -247,9 +240,8 @@ def latest_growth_ranking(growth: DataFrame) -> DataFrame:
 def aov_mix(growth: DataFrame, category=None) -> DataFrame:
     """Overall vs one category's revenue per purchase, by week (unrounded;
     NULL where a week has no purchases)."""
-    cat = _category_scalar(growth, category)
-    g = with_scalars(growth, cat)
-    is_cat = F.col("category_l1") == F.col("_category")
+    g = growth
+    is_cat = F.col("category_l1") == _category(growth, category)
 
     def ratio(num, den):
         return F.when(den != 0, num.cast("double") / den)

@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from shoplens.functions import ratio_pct
 from shoplens.operators.aggregates import share_of_total
-from shoplens.operators.joins import with_scalars
+from shoplens.operators.joins import scalar
 from shoplens.operators.quality import Rule, dq_report
 from shoplens.schema import FUNNEL_STAGES, PRICE_BUCKETS, USER_TYPES, VALID_EVENT_TYPES
 
@@ -77,8 +77,7 @@ def user_type_mix(fact: DataFrame) -> DataFrame:
 
 
 def latest_funnel(funnel: DataFrame) -> DataFrame:
-    last = funnel.agg(F.max("event_date").alias("_last"))
-    day = with_scalars(funnel, last).where(F.col("event_date") == F.col("_last"))
+    day = funnel.where(F.col("event_date") == scalar(funnel.agg(F.max("event_date"))))
     s = day.agg(F.sum("view_users").alias("view_users"), F.sum("cart_users").alias("cart_users"),
                 F.sum("purchase_users").alias("purchase_users"))
     return s.select("*", ratio_pct(F.col("cart_users"), F.col("view_users")).alias("cart_rate"),
@@ -86,17 +85,15 @@ def latest_funnel(funnel: DataFrame) -> DataFrame:
 
 
 def first_cohort(retention: DataFrame, limit: int = 8) -> DataFrame:
-    first = retention.agg(F.min("cohort_week").alias("_first"))
-    return (with_scalars(retention, first).where(F.col("cohort_week") == F.col("_first"))
+    first = scalar(retention.agg(F.min("cohort_week")))
+    return (retention.where(F.col("cohort_week") == first)
             .select("cohort_week", "week_number", "cohort_size", "active_users",
                     "retention_rate_pct")
             .orderBy("week_number").limit(limit))
 
 
 def latest_week(growth: DataFrame) -> DataFrame:
-    last = growth.agg(F.max("event_week").alias("_last_week"))
-    return (with_scalars(growth, last).where(F.col("event_week") == F.col("_last_week"))
-            .drop("_last_week"))
+    return growth.where(F.col("event_week") == scalar(growth.agg(F.max("event_week"))))
 
 
 def top_categories(growth: DataFrame, limit: int = 10) -> DataFrame:

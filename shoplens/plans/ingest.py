@@ -72,13 +72,11 @@ def ingest_stats(raw: DataFrame) -> DataFrame:
 
 def sample_first_weeks(clean: DataFrame, weeks: int) -> DataFrame:
     """Keep ``event_date <= min(event_date) + 7*weeks`` (inclusive, so 7N+1
-    calendar days).  The minimum is a one-row broadcast scalar."""
+    calendar days).  The minimum is a scalar subquery, computed once."""
     if not weeks:
         return clean
-    lo = clean.agg(F.min("event_date").alias("_first_date"))
-    return (clean.crossJoin(F.broadcast(lo))
-            .where(F.col("event_date") <= F.date_add("_first_date", 7 * weeks))
-            .drop("_first_date"))
+    first = clean.agg(F.min("event_date")).scalar()
+    return clean.where(F.col("event_date") <= F.date_add(first, 7 * weeks))
 
 
 def first_partitions(events: DataFrame, days: int | None) -> DataFrame:

@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from shoplens.functions import first_match, ratio_pct, round_ratio, week_start
 from shoplens.operators.aggregates import (distinct_count_by, user_stage_flags,
                                            users_with)
-from shoplens.operators.joins import with_scalars
+from shoplens.operators.joins import scalar
 from shoplens.operators.ranking import add_ntiles, percentile_cont
 from shoplens.session import reliable
 
@@ -60,10 +60,10 @@ def retention_cohort_weekly(fact: DataFrame) -> DataFrame:
                       F.floor(F.datediff("activity_week", "cohort_week") / 7).cast("long")))
     weekly = ca.groupBy("cohort_week", "week_number").agg(
         F.count("user_id").alias("active_users"))
-    sizes = (weekly.where(F.col("week_number") == 0)
-             .select("cohort_week", F.col("active_users").alias("cohort_size")))
-    # ``sizes`` has one row per cohort week (bounded by the calendar span).
-    r = weekly.join(F.broadcast(sizes), "cohort_week")
+    # (cohort, week number) rows only: a window over this small result.
+    cohort = Window.partitionBy("cohort_week")
+    r = weekly.withColumn("cohort_size", F.max(
+        F.when(F.col("week_number") == 0, F.col("active_users"))).over(cohort))
     wn = F.col("week_number")
     return r.select(
         "cohort_week", "week_number", "cohort_size", "active_users",
@@ -124,16 +124,17 @@ def rfm(fact: DataFrame, k: int = 5, **rank_kw) -> DataFrame:
         F.count_distinct(F.when(et == "purchase", F.col("user_session"))).alias("frequency"),
         _zero_if_null(F.sum(F.when(et == "purchase", F.col("price")).otherwise(F.lit(0))))
          .alias("monetary"))
-    max_date = fact.agg(F.max("event_date").alias("_max_date"))
-    scored = (with_scalars(metrics, max_date)
-              .withColumn("recency_days", F.datediff("_max_date", "last_seen_date").cast("long"))
+    max_date = scalar(fact.agg(F.max("event_date")))
+    scored = (metrics
+              .withColumn("recency_days", F.datediff(max_date, "last_seen_date").cast("long"))
+              .withColumn("_recent", F.col("last_seen_date") >= F.date_sub(max_date, RECENT_DAYS))
               .withColumn("_neg_recency", -F.col("recency_days")))
     scored = add_ntiles(scored, {
         "r_score": ["_neg_recency", "user_id"],
         "f_score": ["frequency", "user_id"],
         "m_score": ["monetary", "user_id"]}, k, **rank_kw)
     r, f, m = F.col("r_score"), F.col("f_score"), F.col("m_score")
-    recent = F.col("last_seen_date") >= F.date_sub("_max_date", RECENT_DAYS)
+    recent = F.col("_recent")
     segment = first_match([
         ((r >= 5) & (f >= 5) & (m >= 5), "Champions"),
         ((r >= 4) & (f >= 4) & (m >= 4), "Loyal Customers"),
@@ -183,12 +184,13 @@ def product_matrix(fact: DataFrame, **rank_kw) -> DataFrame:
                    F.sum(F.when(et == "purchase", F.col("price")).otherwise(F.lit(0)))
                     .alias("revenue")))
     metrics = reliable(metrics)
-    med_v = percentile_cont(metrics, "view_count", 0.5, "_med_views", **rank_kw)
-    med_r = percentile_cont(metrics, "revenue", 0.5, "_med_revenue", **rank_kw)
-    m = with_scalars(with_scalars(metrics, med_v), med_r)
+    med_v = scalar(percentile_cont(metrics, "view_count", 0.5, "_med_views", **rank_kw))
+    med_r = scalar(percentile_cont(metrics, "revenue", 0.5, "_med_revenue", **rank_kw))
     vc, rev = F.col("view_count"), F.col("revenue")
-    hi_v, hi_r = vc > F.col("_med_views"), rev > F.col("_med_revenue")
-    lo_v, lo_r = vc <= F.col("_med_views"), rev <= F.col("_med_revenue")
+    # Each median is referenced once; NOT (x > m) is x <= m, NULL stays NULL.
+    m = metrics.withColumn("_hi_v", vc > med_v).withColumn("_hi_r", rev > med_r)
+    hi_v, hi_r = F.col("_hi_v"), F.col("_hi_r")
+    lo_v, lo_r = ~hi_v, ~hi_r
     quadrant = first_match([
         (hi_v & hi_r, QUADRANTS[0]),
         (hi_v & lo_r, QUADRANTS[1]),
