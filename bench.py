@@ -1,11 +1,15 @@
 """Benchmark: a full pipeline run at one scale, one JSON line on stdout.
 
-Steps (each timed): ingest the raw stream to date-partitioned Parquet,
-materialize fact_events, build fact_sessions and the six marts from it,
-then run the checks, dashboards, insights and KPIs on the tables.
+Steps: ingest the raw stream to date-partitioned Parquet, materialize
+fact_events, build fact_sessions and the six marts from it (concurrently,
+BENCH_THREADS model threads), then run the checks, dashboards and KPIs on
+the tables (concurrently as well).  ``value`` is the wall-clock total;
+``queries`` holds each step's own elapsed seconds (overlapping inside the
+concurrent groups).
 
 Env: BENCH_SF_DIR (default /root/testdata/sf0.1), BENCH_CPUS (default 8),
-BENCH_REPLICATE (default 1: copies of the event stream with shifted ids).
+BENCH_THREADS (default 4), BENCH_REPLICATE (default 1: copies of the event
+stream with shifted ids).
 """
 
 from __future__ import annotations
@@ -15,6 +19,7 @@ import os
 import sys
 import tempfile
 import time
+from concurrent.futures import ThreadPoolExecutor
 
 sys.path.insert(0, os.path.dirname(os.path.abspath(__file__)))
 
@@ -78,34 +83,45 @@ def main() -> None:
     sf_dir = os.environ.get("BENCH_SF_DIR", "/root/testdata/sf0.1")
     cpus = int(os.environ.get("BENCH_CPUS", "8"))
     copies = int(os.environ.get("BENCH_REPLICATE", "1"))
+    threads = int(os.environ.get("BENCH_THREADS", "4"))
     scratch = tempfile.mkdtemp(prefix="shoplens-bench-")
     spark = get_spark(f"local[{cpus}]", shuffle_partitions=max(8, cpus), extra={
         "spark.ui.showConsoleProgress": "false",
         "spark.driver.memory": "16g",
         "spark.checkpoint.dir": os.path.join(scratch, "checkpoints"),
+        "spark.scheduler.mode": "FAIR",
     })
     spark.sparkContext.setLogLevel("ERROR")
     wh = ReplicatedWarehouse(spark, sf_dir, os.path.join(scratch, "tables"), copies)
 
     # Warm the JVM (class loading, code generation) outside the timings.
-    wh.raw.where(F.col("user_id") < 0).collect()
+    warm = wh.raw.groupBy("event_type").agg(F.count(F.lit(1)).alias("n"), F.sum("price").alias("p"))
+    warm.write.mode("overwrite").partitionBy("event_type").parquet(os.path.join(scratch, "warm"))
 
     times: dict[str, float] = {}
+    groups: dict[str, float] = {}
 
     def timed(name, fn):
         t0 = time.perf_counter()
         fn()
         times[name] = round(time.perf_counter() - t0, 3)
-
-    timed("ingest", wh.run_ingest)
-    for layer in LAYERS:
-        timed(LAYER_NAMES[layer], lambda layer=layer: wh.build(layer))
-    for name, fn in READS.items():
-        timed(name, lambda fn=fn: fn(wh).collect())
+        return times[name]
+
+    groups["ingest"] = timed("ingest", wh.run_ingest)
+    groups["fact"] = timed("fact_events", lambda: wh.build("fact"))
+    t0 = time.perf_counter()
+    for layer, sec in wh.build_many(LAYERS[1:], threads).items():
+        times[LAYER_NAMES[layer]] = round(sec, 3)
+    groups["marts"] = round(time.perf_counter() - t0, 3)
+    t0 = time.perf_counter()
+    with ThreadPoolExecutor(max_workers=threads) as pool:
+        list(pool.map(lambda kv: timed(kv[0], lambda: kv[1](wh).collect()), READS.items()))
+    groups["reads"] = round(time.perf_counter() - t0, 3)
     spark.stop()
     sf = os.path.basename(sf_dir.rstrip("/")).replace("sf", "")
-    print(json.dumps({"metric": "pipeline_total", "value": round(sum(times.values()), 3),
-                      "unit": "sec", "queries": times, "sf": sf, "replicate": copies}))
+    print(json.dumps({"metric": "pipeline_wall_clock", "value": round(sum(groups.values()), 3),
+                      "unit": "sec", "queries": times, "groups": groups, "sf": sf,
+                      "replicate": copies, "threads": threads}))
 
 
 if __name__ == "__main__":

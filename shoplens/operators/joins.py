@@ -9,6 +9,17 @@ from pyspark.sql import functions as F
 # this; beyond it the join stays a shuffle join (AQE splits skewed keys).
 DEFAULT_BROADCAST_ROWS = 2_000_000
 
+# Measured dimension sizes, keyed by (plan hash, input files): a changed
+# file set is a new key.
+_ROW_COUNTS: dict[tuple, int] = {}
+
+
+def measured_rows(df: DataFrame) -> int:
+    key = (df.semanticHash(), tuple(sorted(df.inputFiles())))
+    if key not in _ROW_COUNTS:
+        _ROW_COUNTS[key] = df.count()
+    return _ROW_COUNTS[key]
+
 
 def join_dimension(fact: DataFrame, dim: DataFrame, on, how: str = "left",
                    max_broadcast_rows: int = DEFAULT_BROADCAST_ROWS) -> DataFrame:
@@ -20,7 +31,7 @@ def join_dimension(fact: DataFrame, dim: DataFrame, on, how: str = "left",
     Above the bound the plan is a sort-merge join on the key, and adaptive
     execution splits any hot key of the fact side.
     """
-    n = dim.count()
+    n = measured_rows(dim)
     side = F.broadcast(dim) if n <= max_broadcast_rows else dim
     return fact.join(side, on, how)
 

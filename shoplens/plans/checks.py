@@ -100,3 +100,28 @@ def top_categories(growth: DataFrame, limit: int = 10) -> DataFrame:
     return (latest_week(growth)
             .select("category_l1", "revenue", "revenue_share_pct", "purchasers")
             .orderBy(F.desc("revenue"), "category_l1").limit(limit))
+
+
+# Post-build validation checks, in run order.
+VALIDATIONS = {
+    "row_counts": lambda wh: row_counts(wh),
+    "date_range": lambda wh: date_range(wh.fact),
+    "event_type_mix": lambda wh: event_type_mix(wh.fact),
+    "user_type_mix": lambda wh: user_type_mix(wh.fact),
+    "latest_funnel": lambda wh: latest_funnel(wh.funnel),
+    "first_cohort": lambda wh: first_cohort(wh.retention),
+    "top_categories": lambda wh: top_categories(wh.growth),
+}
+
+
+def validate(wh, check: str = "all") -> dict[str, object]:
+    """Run one named check or all of them.  Each check is isolated: a failure
+    is reported as its exception instead of stopping the others."""
+    names = list(VALIDATIONS) if check == "all" else [check]
+    results: dict[str, object] = {}
+    for name in names:
+        try:
+            results[name] = VALIDATIONS[name](wh).collect()
+        except Exception as exc:  # noqa: BLE001 - reported per check
+            results[name] = exc
+    return results

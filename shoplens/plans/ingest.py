@@ -130,6 +130,12 @@ def read_partitioned(spark, path: str) -> DataFrame:
     return spark.read.parquet(path).select(*CLEAN_COLUMNS)
 
 
+def write_staging_jdbc(staging: DataFrame, url: str, table: str, properties: dict) -> None:
+    """Optional: the same typed staging frame into an external database
+    (full replace), written in parallel by the executors."""
+    staging_frame(staging).write.jdbc(url, table, mode="overwrite", properties=properties)
+
+
 def write_staging_table(staging: DataFrame, table: str) -> None:
     """Full replace of the staging table each run."""
     (staging_frame(staging)

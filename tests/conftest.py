@@ -13,6 +13,7 @@ def spark():
     s = get_spark("local[4]", app="shoplens-tests", shuffle_partitions=4, extra={
         "spark.ui.showConsoleProgress": "false",
         "spark.checkpoint.dir": tempfile.mkdtemp(prefix="shoplens-test-ckpt-"),
+        "spark.sql.warehouse.dir": tempfile.mkdtemp(prefix="shoplens-test-wh-"),
     })
     s.sparkContext.setLogLevel("ERROR")
     yield s

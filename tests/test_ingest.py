@@ -148,3 +148,18 @@ def test_incremental_file_with_no_valid_rows(spark, tmpdir_path):
     assert run_incremental_ingest(spark, raw_dir, out, os.path.join(tmpdir_path, "ck")) == 1
     r = ingest_log(spark, out).first()
     assert r.total_rows == 2 and r.processed_rows == 0 and r.invalid_event_types == 1
+
+
+def test_staging_table_and_summary(spark, tmpdir_path):
+    path = os.path.join(tmpdir_path, "f.csv")
+    _csv(path, [_row("2024-01-01 01:00:00 UTC", user=1), _row("2024-01-03 02:00:00 UTC", user=2)])
+    clean = ingest.clean_events(read_raw_csv(spark, path))
+    spark.sql("DROP TABLE IF EXISTS shoplens_test_staging")
+    ingest.write_staging_table(clean, "shoplens_test_staging")
+    t = spark.table("shoplens_test_staging")
+    assert t.count() == 2
+    assert dict(t.dtypes)["price"] == "decimal(12,2)"
+    s = ingest.load_summary(t).first()
+    assert (s.total_rows, s.unique_users, s.unique_products) == (2, 2, 1)
+    assert (s.min_date, s.max_date) == (dt.date(2024, 1, 1), dt.date(2024, 1, 3))
+    spark.sql("DROP TABLE shoplens_test_staging")

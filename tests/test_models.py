@@ -120,3 +120,14 @@ def test_rfm_segments_small(spark):
     assert by[7].frequency == 7 and by[7].monetary == Decimal("49.00")
     assert by[2].frequency == 0 and by[2].monetary == Decimal("0.00")
     assert by[7].rfm_segment == "Champions"
+
+
+def test_validation_runner_isolates_checks(spark):
+    from shoplens.plans import checks
+    from shoplens.plans.pipeline import Warehouse
+    wh = Warehouse(spark, "/root/testdata/sf0.001")
+    one = checks.validate(wh, "date_range")
+    assert list(one) == ["date_range"] and len(one["date_range"]) == 1
+    everything = checks.validate(wh)
+    assert set(everything) == set(checks.VALIDATIONS)
+    assert not any(isinstance(v, Exception) for v in everything.values())
