@@ -74,7 +74,7 @@ class ReplicatedWarehouse(MaterializedWarehouse):
         events = read_table(self.spark, self.data_dir, "events")
         if self.copies > 1:
             stride = 10_000_000
-            events = (events.withColumn("_copy", F.explode(F.sequence(F.lit(0), F.lit(self.copies - 1))))
+            events = (events.withColumn("_copy", F.explode(F.sequence(F.lit(0).cast("long"), F.lit(self.copies - 1).cast("long"))))
                       .withColumn("user_id", F.col("user_id") + F.col("_copy") * stride)
                       .withColumn("event_id", F.col("event_id") + F.col("_copy") * stride * 100)
                       .drop("_copy"))
