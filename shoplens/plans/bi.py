@@ -16,6 +16,7 @@ from pyspark.sql import functions as F
 from shoplens.functions import first_match, ratio_pct, round_ratio, week_start
 from shoplens.operators.aggregates import user_stage_flags, users_with
 from shoplens.operators.joins import scalar
+from shoplens.operators.windows import previous_row, top_k
 from shoplens.plans.checks import latest_week
 
 # Dashboard labels.
@@ -62,8 +63,8 @@ def kpi_cards(fact: DataFrame, as_of=None, days: int = 7) -> DataFrame:
     return agg.select("*", round_ratio(F.col("total_revenue"), F.col("purchasers")).alias("arpu"))
 
 
-def daily_kpi(fact: DataFrame, start_date=None, end_date=None) -> DataFrame:
-    f = apply_filters(fact, start_date, end_date)
+def daily_kpi(fact: DataFrame, start_date=None, end_date=None, **filters) -> DataFrame:
+    f = apply_filters(fact, start_date, end_date, **filters)
     per_user = user_stage_flags(f, ["event_date"], {"_rev": F.sum("revenue")})
     return (per_user.groupBy("event_date")
             .agg(F.count("user_id").alias("dau"), users_with("has_purchase").alias("purchasers"),
@@ -74,11 +75,12 @@ def daily_kpi(fact: DataFrame, start_date=None, end_date=None) -> DataFrame:
 # -- funnel --------------------------------------------------------------------------------
 
 def funnel_rollup(funnel: DataFrame, key: str, start_date=None, end_date=None,
-                  with_revenue: bool = False) -> DataFrame:
+                  with_revenue: bool = False, **filters) -> DataFrame:
     """Re-aggregate the daily funnel mart by one key.  Sums of per-segment
     distinct counts: a user seen in several segments counts once per
-    segment (dashboard semantics)."""
-    f = apply_filters(funnel, start_date, end_date)
+    segment (dashboard semantics).  ``filters``: category, user_type,
+    price_bucket."""
+    f = apply_filters(funnel, start_date, end_date, **filters)
     aggs = [F.sum("view_users").alias("view_users"), F.sum("cart_users").alias("cart_users"),
             F.sum("purchase_users").alias("purchase_users")]
     if with_revenue:
@@ -89,16 +91,19 @@ def funnel_rollup(funnel: DataFrame, key: str, start_date=None, end_date=None,
                     ratio_pct(p, v).alias("purchase_rate_pct"))
 
 
-def funnel_by_day(funnel: DataFrame, start_date=None, end_date=None) -> DataFrame:
-    return funnel_rollup(funnel, "event_date", start_date, end_date).orderBy("event_date")
+def funnel_by_day(funnel: DataFrame, start_date=None, end_date=None, **filters) -> DataFrame:
+    return funnel_rollup(funnel, "event_date", start_date, end_date,
+                         **filters).orderBy("event_date")
 
 
-def funnel_by_user_type(funnel: DataFrame, start_date=None, end_date=None) -> DataFrame:
-    return funnel_rollup(funnel, "user_type", start_date, end_date)
+def funnel_by_user_type(funnel: DataFrame, start_date=None, end_date=None,
+                        **filters) -> DataFrame:
+    return funnel_rollup(funnel, "user_type", start_date, end_date, **filters)
 
 
-def funnel_by_price(funnel: DataFrame, start_date=None, end_date=None) -> DataFrame:
-    r = funnel_rollup(funnel, "price_bucket", start_date, end_date, with_revenue=True)
+def funnel_by_price(funnel: DataFrame, start_date=None, end_date=None, **filters) -> DataFrame:
+    r = funnel_rollup(funnel, "price_bucket", start_date, end_date, with_revenue=True,
+                      **filters)
     rank = first_match([(F.col("price_bucket") == b, i + 1) for i, b in enumerate(BUCKET_ORDER)],
                        len(BUCKET_ORDER) + 1)
     return r.select("price_bucket", "view_users", "cart_users", "purchase_users",
@@ -106,16 +111,17 @@ def funnel_by_price(funnel: DataFrame, start_date=None, end_date=None) -> DataFr
 
 
 def category_dropoff(funnel: DataFrame, start_date=None, end_date=None,
-                     limit: int = 15) -> DataFrame:
-    f = apply_filters(funnel, start_date, end_date).where(F.col("category_l1").isNotNull())
+                     limit: int = 15, **filters) -> DataFrame:
+    f = (apply_filters(funnel, start_date, end_date, **filters)
+         .where(F.col("category_l1").isNotNull()))
     g = f.groupBy("category_l1").agg(F.sum("view_users").alias("view_users"),
                                      F.sum("cart_users").alias("cart_users"),
                                      F.sum("purchase_users").alias("purchase_users"))
     v, c, p = F.col("view_users"), F.col("cart_users"), F.col("purchase_users")
     # (1 - c/v) * 100 == (v - c) / v * 100, rounded once.
-    return (g.select("*", ratio_pct(v - c, v).alias("view_to_cart_dropoff_pct"),
-                     ratio_pct(c - p, c).alias("cart_to_purchase_dropoff_pct"))
-            .orderBy(F.desc("view_users"), "category_l1").limit(limit))
+    return top_k(g.select("*", ratio_pct(v - c, v).alias("view_to_cart_dropoff_pct"),
+                          ratio_pct(c - p, c).alias("cart_to_purchase_dropoff_pct")),
+                 [F.desc("view_users"), "category_l1"], limit)
 
 
 # -- retention -----------------------------------------------------------------------------
@@ -147,8 +153,8 @@ def category_growth_listing(growth: DataFrame, start_date=None) -> DataFrame:
 def growth_extremes(growth: DataFrame, top: bool = True, limit: int = 10) -> DataFrame:
     g = latest_week(growth).where(F.col("revenue_wow_growth_pct").isNotNull())
     order = F.desc("revenue_wow_growth_pct") if top else F.asc("revenue_wow_growth_pct")
-    return (g.select("category_l1", "revenue", "revenue_wow_growth_pct", "revenue_delta")
-            .orderBy(order, "category_l1").limit(limit))
+    return top_k(g.select("category_l1", "revenue", "revenue_wow_growth_pct", "revenue_delta"),
+                 [order, "category_l1"], limit)
 
 
 def growth_contribution(growth: DataFrame, limit: int = 15) -> DataFrame:
@@ -156,10 +162,10 @@ def growth_contribution(growth: DataFrame, limit: int = 15) -> DataFrame:
     totals = growth.groupBy("event_week").agg(F.sum("revenue_delta").alias("total_delta"))
     last = latest_week(growth).join(totals, "event_week")
     d, t = F.col("revenue_delta"), F.col("total_delta")
-    return (last.select("event_week", "category_l1", "revenue_delta", "total_delta",
-                        F.when(t != 0, ratio_pct(d, t)).otherwise(F.lit(0))
-                         .alias("contribution_pct"))
-            .orderBy(F.abs(d).desc(), "category_l1").limit(limit))
+    return top_k(last.select("event_week", "category_l1", "revenue_delta", "total_delta",
+                             F.when(t != 0, ratio_pct(d, t)).otherwise(F.lit(0))
+                              .alias("contribution_pct")),
+                 [F.abs(d).desc(), "category_l1"], limit)
 
 
 def _change_status(cur, prev) -> F.Column:
@@ -180,15 +186,13 @@ def weekly_monitor(fact: DataFrame, weeks: int = 8) -> DataFrame:
                                           F.sum("_rev").alias("revenue"),
                                           users_with("has_purchase").alias("purchasers"))
     # One row per calendar week: a global window over this is bounded.
-    order = Window.orderBy("week")
-    w = (weekly.withColumn("prev_users", F.lag("users").over(order))
-         .withColumn("prev_revenue", F.lag("revenue").over(order)))
+    w = previous_row(weekly, [], ["week"], {"prev_users": "users", "prev_revenue": "revenue"})
     u, pu, r, pr = F.col("users"), F.col("prev_users"), F.col("revenue"), F.col("prev_revenue")
-    return (w.select("week", "users", "revenue", "purchasers", "prev_users", "prev_revenue",
-                     ratio_pct(u - pu, pu).alias("users_change_pct"),
-                     ratio_pct(r - pr, pr).alias("revenue_change_pct"),
-                     _change_status(r, pr).alias("status"))
-            .orderBy(F.desc("week")).limit(weeks))
+    return top_k(w.select("week", "users", "revenue", "purchasers", "prev_users", "prev_revenue",
+                          ratio_pct(u - pu, pu).alias("users_change_pct"),
+                          ratio_pct(r - pr, pr).alias("revenue_change_pct"),
+                          _change_status(r, pr).alias("status")),
+                 [F.desc("week")], weeks)
 
 
 def category_alerts(growth: DataFrame, min_revenue: int = 1000) -> DataFrame:
@@ -255,7 +259,13 @@ def aov_mix(growth: DataFrame, category=None) -> DataFrame:
 
 # -- KPI definitions -----------------------------------------------------------------------
 
-def active_users(fact: DataFrame, period: str = "event_date", out: str = "dau") -> DataFrame:
+def active_users(fact: DataFrame, period: str = "event_date", out: str = "dau",
+                 approx: bool = False) -> DataFrame:
+    """DAU / WAU.  Exact: distinct (period, user) then count.  ``approx``:
+    one-pass HyperLogLog++ (``approx_count_distinct``, ~1% error), for
+    dashboards that accept it; never used by the checked queries."""
+    if approx:
+        return fact.groupBy(period).agg(F.approx_count_distinct("user_id").alias(out))
     return (fact.select(period, "user_id").distinct()
             .groupBy(period).agg(F.count("user_id").alias(out)))
 

@@ -9,6 +9,7 @@ from shoplens.functions import ratio_pct
 from shoplens.operators.aggregates import share_of_total
 from shoplens.operators.joins import scalar
 from shoplens.operators.quality import Rule, dq_report
+from shoplens.operators.windows import top_k
 from shoplens.schema import FUNNEL_STAGES, PRICE_BUCKETS, USER_TYPES, VALID_EVENT_TYPES
 
 # The declared column tests.
@@ -89,7 +90,7 @@ def first_cohort(retention: DataFrame, limit: int = 8) -> DataFrame:
     return (retention.where(F.col("cohort_week") == first)
             .select("cohort_week", "week_number", "cohort_size", "active_users",
                     "retention_rate_pct")
-            .orderBy("week_number").limit(limit))
+            .transform(lambda d: top_k(d, ["week_number"], limit)))
 
 
 def latest_week(growth: DataFrame) -> DataFrame:
@@ -97,9 +98,9 @@ def latest_week(growth: DataFrame) -> DataFrame:
 
 
 def top_categories(growth: DataFrame, limit: int = 10) -> DataFrame:
-    return (latest_week(growth)
-            .select("category_l1", "revenue", "revenue_share_pct", "purchasers")
-            .orderBy(F.desc("revenue"), "category_l1").limit(limit))
+    return top_k(latest_week(growth).select("category_l1", "revenue", "revenue_share_pct",
+                                            "purchasers"),
+                 [F.desc("revenue"), "category_l1"], limit)
 
 
 # Post-build validation checks, in run order.

@@ -10,6 +10,7 @@ from shoplens.operators.aggregates import (distinct_count_by, user_stage_flags,
                                            users_with)
 from shoplens.operators.joins import scalar
 from shoplens.operators.ranking import add_ntiles, percentile_cont
+from shoplens.operators.windows import previous_row
 from shoplens.session import reliable
 
 # Segment and quadrant labels.
@@ -93,11 +94,9 @@ def category_growth_weekly(fact: DataFrame) -> DataFrame:
         "unique_products", _zero_if_null(F.col("unique_products")))
     # Small frame from here on: (weeks x categories) rows.
     week = Window.partitionBy("event_week")
-    lag = Window.partitionBy("category_l1").orderBy("event_week")
-    w = (weekly
-         .withColumn("total_revenue", F.sum("revenue").over(week))
-         .withColumn("prev_week_revenue", F.lag("revenue").over(lag))
-         .withColumn("prev_week_purchasers", F.lag("purchasers").over(lag)))
+    w = previous_row(weekly.withColumn("total_revenue", F.sum("revenue").over(week)),
+                     ["category_l1"], ["event_week"],
+                     {"prev_week_revenue": "revenue", "prev_week_purchasers": "purchasers"})
     rev, tot = F.col("revenue"), F.col("total_revenue")
     prev_r, prev_p = F.col("prev_week_revenue"), F.col("prev_week_purchasers")
     return w.select(
@@ -172,9 +171,10 @@ def price_performance(fact: DataFrame) -> DataFrame:
         round_ratio(F.col("revenue"), v).alias("revenue_per_viewer"))
 
 
-def product_matrix(fact: DataFrame, **rank_kw) -> DataFrame:
+def product_matrix(fact: DataFrame, exact: bool = True, **rank_kw) -> DataFrame:
     """Popularity vs revenue quadrants.  Medians are exact PERCENTILE_CONT
-    over *all* products (distributed), the noise filter applies after."""
+    over *all* products (distributed), the noise filter applies after.
+    ``exact=False`` uses ``percentile_approx`` (one pass, bounded sketch)."""
     et = F.col("event_type")
     metrics = (fact.where(F.col("product_id").isNotNull())
                .groupBy("product_id", "category_l1", "brand").agg(
@@ -184,8 +184,12 @@ def product_matrix(fact: DataFrame, **rank_kw) -> DataFrame:
                    F.sum(F.when(et == "purchase", F.col("price")).otherwise(F.lit(0)))
                     .alias("revenue")))
     metrics = reliable(metrics)
-    med_v = scalar(percentile_cont(metrics, "view_count", 0.5, "_med_views", **rank_kw))
-    med_r = scalar(percentile_cont(metrics, "revenue", 0.5, "_med_revenue", **rank_kw))
+    if exact:
+        med_v = scalar(percentile_cont(metrics, "view_count", 0.5, "_med_views", **rank_kw))
+        med_r = scalar(percentile_cont(metrics, "revenue", 0.5, "_med_revenue", **rank_kw))
+    else:
+        med_v = scalar(metrics.agg(F.percentile_approx("view_count", 0.5)))
+        med_r = scalar(metrics.agg(F.percentile_approx("revenue", 0.5)))
     vc, rev = F.col("view_count"), F.col("revenue")
     # Each median is referenced once; NOT (x > m) is x <= m, NULL stays NULL.
     m = metrics.withColumn("_hi_v", vc > med_v).withColumn("_hi_r", rev > med_r)

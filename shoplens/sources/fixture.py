@@ -62,8 +62,9 @@ def raw_events(events: DataFrame, part: DataFrame) -> DataFrame:
              .when(rule == 2, F.lit(100000.0) + value)
              .otherwise(value * 3)).cast(MONEY)
 
-    bucket = F.floor(F.unix_micros(F.col("ts").cast("timestamp"))
-                     / F.lit(SESSION_SECONDS * 1_000_000)).cast("long")
+    # Wall-clock micros since the epoch; NTZ arithmetic, so no time zone.
+    micros = F.expr("timestampdiff(MICROSECOND, TIMESTAMP_NTZ'1970-01-01 00:00:00', ts)")
+    bucket = F.floor(micros / F.lit(SESSION_SECONDS * 1_000_000)).cast("long")
     session = F.concat(F.lit("u"),
                        F.greatest(uid, F.lit(SHARED_SESSION_UPTO)).cast("string"),
                        F.lit("-"), bucket.cast("string"))
