@@ -97,12 +97,17 @@ def staging_frame(events: DataFrame) -> DataFrame:
 
 
 def load_summary(staging: DataFrame) -> DataFrame:
+    """Rows, distinct users and products, date range.  Each distinct count
+    is its own distinct-then-count (a scalar subquery), so no input row is
+    expanded once per distinct column."""
+    def distinct_of(c):
+        return staging.select(c).distinct().agg(F.count(c)).scalar()
     return staging.agg(
         F.count(F.lit(1)).alias("total_rows"),
-        F.count_distinct("user_id").alias("unique_users"),
-        F.count_distinct("product_id").alias("unique_products"),
         F.min("event_date").alias("min_date"),
-        F.max("event_date").alias("max_date"))
+        F.max("event_date").alias("max_date")).select(
+            "total_rows", distinct_of("user_id").alias("unique_users"),
+            distinct_of("product_id").alias("unique_products"), "min_date", "max_date")
 
 
 def write_partitioned(clean: DataFrame, path: str, max_records_per_file: int = 5_000_000,
