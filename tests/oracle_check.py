@@ -26,11 +26,14 @@ def duck_conn(sf_dir):
     return con
 
 
+EXACT = os.environ.get("ORACLE_EXACT") == "1"
+
+
 def _norm(v):
     if isinstance(v, float):
         if math.isnan(v):
             return "nan"
-        return round(v, 6)
+        return v if EXACT else round(v, 6)
     if hasattr(v, "isoformat"):
         return v.isoformat()
     return v
