@@ -26,6 +26,9 @@ def get_spark(master: str | None = None, app: str = "shoplens",
         builder = builder.master(master)
     conf = dict(CORE_CONF)
     conf["spark.ui.enabled"] = "false"
+    # Checkpoint files of collected DataFrames are removed, so a long-lived
+    # session does not accumulate them in the shared folder.
+    conf["spark.cleaner.referenceTracking.cleanCheckpoints"] = "true"
     if shuffle_partitions:
         conf["spark.sql.shuffle.partitions"] = str(shuffle_partitions)
     conf.update(extra or {})
