@@ -28,7 +28,7 @@ sys.path.insert(0, os.path.dirname(os.path.abspath(__file__)))
 from pyspark.sql import functions as F  # noqa: E402
 
 from shoplens.plans import bi, checks  # noqa: E402
-from shoplens.plans.pipeline import MaterializedWarehouse  # noqa: E402
+from shoplens.plans.warehouse import MaterializedWarehouse  # noqa: E402
 from shoplens.session import get_spark  # noqa: E402
 from shoplens.sources import fixture  # noqa: E402
 from shoplens.sources.tables import read_table  # noqa: E402

@@ -12,7 +12,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 from shoplens.functions.output import to_output
 from shoplens.plans import bi, checks, ingest
-from shoplens.plans.pipeline import Warehouse
+from shoplens.plans.warehouse import Warehouse
 from shoplens.session import apply_core_conf
 
 QueryFn = Callable[[SparkSession, str], DataFrame]

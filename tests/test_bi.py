@@ -4,7 +4,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from shoplens.plans import bi, marts
-from shoplens.plans.pipeline import Warehouse
+from shoplens.plans.warehouse import Warehouse
 
 SF = "/root/testdata/sf0.001"
 

@@ -124,7 +124,7 @@ def test_rfm_segments_small(spark):
 
 def test_validation_runner_isolates_checks(spark):
     from shoplens.plans import checks
-    from shoplens.plans.pipeline import Warehouse
+    from shoplens.plans.warehouse import Warehouse
     wh = Warehouse(spark, "/root/testdata/sf0.001")
     one = checks.validate(wh, "date_range")
     assert list(one) == ["date_range"] and len(one["date_range"]) == 1

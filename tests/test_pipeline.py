@@ -2,7 +2,7 @@ import datetime as dt
 import os
 import time
 
-from shoplens.plans.pipeline import run_pipeline
+from shoplens.plans.warehouse import run_pipeline
 from tests.test_ingest import _csv, _row
 
 

@@ -30,7 +30,7 @@ def test_events_scan_is_pruned(spark):
 
 def test_date_filter_reaches_parquet(spark, tmpdir_path):
     from shoplens.plans import bi
-    from shoplens.plans.pipeline import MaterializedWarehouse
+    from shoplens.plans.warehouse import MaterializedWarehouse
     spark.conf.set("spark.sql.maxMetadataStringLength", "10000")
     wh = MaterializedWarehouse(spark, SF, tmpdir_path)
     wh.run_ingest()
