@@ -1,9 +1,10 @@
 """Declarative column tests: not_null, accepted_values, unique.
 
-Each table is scanned once for all its not_null / accepted_values rules
-(one global aggregate of ``count_if`` columns, unpivoted with ``stack``);
-a unique rule is a grouped count of repeated values.  NULLs pass
-accepted_values and are ignored by unique.
+Failures count what the test query returns: NULL rows for not_null (all
+not_null rules of a table in one global aggregate of ``count_if`` columns,
+unpivoted with ``stack``), distinct unexpected values for accepted_values
+(NULLs pass) and distinct repeated values for unique (NULLs ignored); the
+latter two are distinct-then-count branches.
 """
 
 from __future__ import annotations
@@ -25,29 +26,33 @@ class Rule:
 
 
 def _failure_count(rule: Rule) -> Column:
-    c = F.col(rule.column)
     if rule.test == "not_null":
-        return F.count_if(c.isNull())
-    if rule.test == "accepted_values":
-        return F.count_if(c.isNotNull() & ~c.isin(*rule.values))
+        return F.count_if(F.col(rule.column).isNull())
     raise ValueError(rule.test)
 
 
+def _failing_values(df: DataFrame, rule: Rule) -> DataFrame:
+    c = F.col(rule.column)
+    if rule.test == "accepted_values":
+        bad = df.where(c.isNotNull() & ~c.isin(*rule.values)).select(rule.column).distinct()
+    elif rule.test == "unique":
+        bad = (df.where(c.isNotNull()).groupBy(rule.column).count()
+               .where(F.col("count") > 1))
+    else:
+        raise ValueError(rule.test)
+    return bad.agg(F.count(F.lit(1)).alias("failures")).select(
+        F.lit(rule.column).alias("column_name"), F.lit(rule.test).alias("test_name"), "failures")
+
+
 def table_report(table: str, df: DataFrame, rules: Sequence[Rule]) -> DataFrame | None:
     parts = []
-    scan_rules = [r for r in rules if r.test != "unique"]
+    scan_rules = [r for r in rules if r.test == "not_null"]
     if scan_rules:
         counts = df.agg(*[_failure_count(r).alias(f"_f{i}") for i, r in enumerate(scan_rules)])
         pairs = ", ".join(f"'{r.column}', '{r.test}', _f{i}" for i, r in enumerate(scan_rules))
         parts.append(counts.selectExpr(
             f"stack({len(scan_rules)}, {pairs}) AS (column_name, test_name, failures)"))
-    for r in rules:
-        if r.test == "unique":
-            dups = (df.where(F.col(r.column).isNotNull()).groupBy(r.column).count()
-                    .where(F.col("count") > 1)
-                    .agg(F.count(F.lit(1)).alias("failures")))
-            parts.append(dups.select(F.lit(r.column).alias("column_name"),
-                                     F.lit("unique").alias("test_name"), "failures"))
+    parts += [_failing_values(df, r) for r in rules if r.test != "not_null"]
     if not parts:
         return None
     out = parts[0]

@@ -131,3 +131,16 @@ def test_validation_runner_isolates_checks(spark):
     everything = checks.validate(wh)
     assert set(everything) == set(checks.VALIDATIONS)
     assert not any(isinstance(v, Exception) for v in everything.values())
+
+
+def test_dq_failure_semantics(spark):
+    from shoplens.operators.quality import Rule, dq_report
+    df = spark.createDataFrame(
+        [("a", 1), ("x", 1), ("x", 2), ("y", None), (None, 3), (None, 3)], "v string, k int")
+    rep = dq_report({"t": df}, {"t": [Rule("v", "not_null"), Rule("k", "not_null"),
+                                      Rule("v", "accepted_values", ("a", "b")),
+                                      Rule("k", "unique")]})
+    got = {(r.column_name, r.test_name): r.failures for r in rep.collect()}
+    assert got == {("v", "not_null"): 2, ("k", "not_null"): 1,
+                   ("v", "accepted_values"): 2,          # distinct unexpected values x, y
+                   ("k", "unique"): 2}                   # repeated values 1 and 3
