@@ -127,11 +127,13 @@ def rfm(fact: DataFrame, k: int = 5, **rank_kw) -> DataFrame:
     scored = (metrics
               .withColumn("recency_days", F.datediff(max_date, "last_seen_date").cast("long"))
               .withColumn("_recent", F.col("last_seen_date") >= F.date_sub(max_date, RECENT_DAYS))
-              .withColumn("_neg_recency", -F.col("recency_days")))
+              .withColumn("_neg_recency", -F.col("recency_days"))
+              # Total, non-NULL tie-break: a NULL user (one group) sorts first.
+              .withColumn("_uid", F.coalesce("user_id", F.lit(-(2 ** 63)).cast("long"))))
     scored = add_ntiles(scored, {
-        "r_score": ["_neg_recency", "user_id"],
-        "f_score": ["frequency", "user_id"],
-        "m_score": ["monetary", "user_id"]}, k, **rank_kw)
+        "r_score": ["_neg_recency", "_uid"],
+        "f_score": ["frequency", "_uid"],
+        "m_score": ["monetary", "_uid"]}, k, **rank_kw)
     r, f, m = F.col("r_score"), F.col("f_score"), F.col("m_score")
     recent = F.col("_recent")
     segment = first_match([

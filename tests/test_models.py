@@ -144,3 +144,13 @@ def test_dq_failure_semantics(spark):
     assert got == {("v", "not_null"): 2, ("k", "not_null"): 1,
                    ("v", "accepted_values"): 2,          # distinct unexpected values x, y
                    ("k", "unique"): 2}                   # repeated values 1 and 3
+
+
+def test_rfm_with_null_user(spark):
+    rows = [(T(d), "purchase", 1, "a.x", "3.00", u, f"s{u}{d}") for u in (1, 2, 3) for d in (1, u)]
+    rows += [(T(2), "view", 1, "a.x", "3.00", None, "sx")]
+    r = marts.rfm(facts.fact_events(events(spark, rows)), rows_per_bucket=2,
+                  samples_per_bucket=8).collect()
+    assert len(r) == 4
+    assert sorted(x.f_score for x in r) == [1, 2, 3, 4]
+    assert [x.f_score for x in r if x.user_id is None] == [1]     # frequency 0, sorts first
