@@ -9,7 +9,7 @@ runs are measured; ``value`` is the median wall-clock total and
 inside the concurrent groups).
 
 Env: BENCH_SF_DIR (default /root/testdata/sf0.1), BENCH_CPUS (default 8),
-BENCH_THREADS (default 4), BENCH_REPLICATE (default 1: copies of the event
+BENCH_THREADS (default: BENCH_CPUS), BENCH_REPLICATE (default 1: copies of the event
 stream with shifted ids).
 """
 
@@ -113,7 +113,7 @@ def main() -> None:
     sf_dir = os.environ.get("BENCH_SF_DIR", "/root/testdata/sf0.1")
     cpus = int(os.environ.get("BENCH_CPUS", "8"))
     copies = int(os.environ.get("BENCH_REPLICATE", "1"))
-    threads = int(os.environ.get("BENCH_THREADS", "4"))
+    threads = int(os.environ.get("BENCH_THREADS", str(cpus)))
     repeat = int(os.environ.get("BENCH_REPEAT", "3"))
     scratch = tempfile.mkdtemp(prefix="shoplens-bench-")
     spark = get_spark(f"local[{cpus}]", shuffle_partitions=max(8, cpus), extra={
