@@ -136,14 +136,15 @@ def rfm(fact: DataFrame, k: int = 5, **rank_kw) -> DataFrame:
         "m_score": ["monetary", "_uid"]}, k, **rank_kw)
     r, f, m = F.col("r_score"), F.col("f_score"), F.col("m_score")
     recent = F.col("_recent")
+    champions, loyal, potentials, new, at_risk, lost, others = RFM_SEGMENTS
     segment = first_match([
-        ((r >= 5) & (f >= 5) & (m >= 5), "Champions"),
-        ((r >= 4) & (f >= 4) & (m >= 4), "Loyal Customers"),
-        ((r >= 3) & (f >= 3) & (m >= 3), "Potentials"),
-        ((r <= 2) & recent, "New Customers"),
-        ((r <= 2) & (f >= 4), "At Risk"),
-        ((r <= 2) & (f <= 2), "Lost"),
-    ], "Others")
+        ((r >= 5) & (f >= 5) & (m >= 5), champions),
+        ((r >= 4) & (f >= 4) & (m >= 4), loyal),
+        ((r >= 3) & (f >= 3) & (m >= 3), potentials),
+        ((r <= 2) & recent, new),
+        ((r <= 2) & (f >= 4), at_risk),
+        ((r <= 2) & (f <= 2), lost),
+    ], others)
     return scored.select(
         "user_id", "monetary", "frequency", "last_seen_date", "recency_days",
         "r_score", "f_score", "m_score",
