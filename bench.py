@@ -102,8 +102,13 @@ def run_once(spark, sf_dir, scratch, copies, threads):
         times[LAYER_NAMES[layer]] = round(sec, 3)
     groups["marts"] = round(time.perf_counter() - t0, 3)
     t0 = time.perf_counter()
+    def read(item):
+        name, fn = item
+        spark.sparkContext.setLocalProperty("spark.scheduler.pool", f"read-{name}")
+        timed(name, lambda: fn(wh).collect())
+
     with ThreadPoolExecutor(max_workers=threads) as pool:
-        list(pool.map(lambda kv: timed(kv[0], lambda: kv[1](wh).collect()), READS.items()))
+        list(pool.map(read, READS.items()))
     groups["reads"] = round(time.perf_counter() - t0, 3)
     fact_rows = wh.fact.count()
     return times, groups, fact_rows

@@ -115,6 +115,9 @@ class MaterializedWarehouse(Warehouse):
         per thread, like a model runner with N threads); returns each
         layer's elapsed seconds."""
         def one(layer):
+            # Own scheduler pool per model: with spark.scheduler.mode=FAIR the
+            # concurrent models share executors instead of queueing FIFO.
+            self.spark.sparkContext.setLocalProperty("spark.scheduler.pool", f"model-{layer}")
             t0 = time.perf_counter()
             self.build(layer)
             return layer, time.perf_counter() - t0
