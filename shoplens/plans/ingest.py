@@ -81,13 +81,14 @@ def sample_first_weeks(clean: DataFrame, weeks: int) -> DataFrame:
 
 def first_partitions(events: DataFrame, days: int | None) -> DataFrame:
     """Keep the first ``days`` event-date partitions (present dates, not
-    calendar days).  The chosen dates are at most ``days`` rows, broadcast
-    into a semi join, which also prunes partitions of a partitioned scan."""
+    calendar days).  The chosen dates (at most ``days`` values, bounded by
+    the calendar) become a literal IN list, so a date-partitioned scan
+    reads only those folders (static partition pruning)."""
     if not days:
         return events
-    dates = (events.select("event_date").distinct()
-             .orderBy("event_date").limit(days))
-    return events.join(F.broadcast(dates), "event_date", "left_semi").select(*events.columns)
+    dates = [r[0] for r in events.select("event_date").distinct()
+             .orderBy("event_date").limit(days).collect()]
+    return events.where(F.col("event_date").isin(dates))
 
 
 def staging_frame(events: DataFrame) -> DataFrame:

@@ -1,6 +1,7 @@
 """Physical-plan shape of every registered query."""
 
 import os
+import re
 
 import pytest
 
@@ -40,3 +41,15 @@ def test_date_filter_reaches_parquet(spark, tmpdir_path):
     assert "LessThanOrEqual(event_date,2024-01-12)" in plan
     events = wh.clean.where("event_date = DATE'2024-01-05'")
     assert "PartitionFilters: [isnotnull(event_date" in _plan(events)
+
+
+def test_first_partitions_prunes_folders(spark, tmpdir_path):
+    from shoplens.plans import ingest
+    from shoplens.plans.warehouse import Warehouse
+    spark.conf.set("spark.sql.maxMetadataStringLength", "10000")
+    ingest.write_partitioned(Warehouse(spark, SF).clean, tmpdir_path + "/ev")
+    ev = ingest.read_partitioned(spark, tmpdir_path + "/ev")
+    df = ingest.first_partitions(ev, 3)
+    assert re.search(r"PartitionFilters: \[event_date#\d+ IN \(2024-01-01,2024-01-02,2024-01-03\)",
+                     _plan(df))
+    assert df.count() == ev.where("event_date <= DATE'2024-01-03'").count()
