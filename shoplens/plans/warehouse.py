@@ -181,3 +181,33 @@ def run_pipeline(spark: SparkSession, raw_dir: str, out_dir: str,
     return {"batches": batches, "tables": {k: p._path(k) for k in ("events", "clean", "fact",
                                                                    *MART_LAYERS)},
             "seconds": seconds, "checks": results, "warehouse": p}
+
+
+# Catalog names of the layers (schema, table), as the models are known.
+TABLE_NAMES = {
+    # the loaded staging table carries the source name; the staging model
+    # (a view in the original) gets its own name when published
+    "clean": ("staging", "stg_events"), "stg": ("staging", "stg_events_model"),
+    "fact": ("marts", "fact_events"), "sessions": ("marts", "fact_sessions"),
+    "funnel": ("marts", "mart_funnel_daily"),
+    "retention": ("marts", "mart_retention_cohort_weekly"),
+    "growth": ("marts", "mart_category_growth_weekly"), "rfm": ("marts", "mart_rfm"),
+    "price_performance": ("marts", "mart_price_performance"),
+    "product_matrix": ("marts", "mart_product_matrix"),
+}
+
+
+def publish_tables(wh: Warehouse, layers=("fact", "sessions", *MART_LAYERS[1:]),
+                   prefix: str = "") -> list[str]:
+    """Register layers as catalog tables (full replace), ``<schema>.<table>``
+    with an optional schema prefix.  The staging model is not published by
+    default (a view in the original)."""
+    names = []
+    for layer in layers:
+        schema, table = TABLE_NAMES[layer]
+        schema = f"{prefix}{schema}"
+        wh.spark.sql(f"CREATE DATABASE IF NOT EXISTS {schema}")
+        name = f"{schema}.{table}"
+        getattr(wh, layer).write.mode("overwrite").saveAsTable(name)
+        names.append(name)
+    return names

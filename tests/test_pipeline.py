@@ -40,3 +40,14 @@ def test_end_to_end_incremental(spark, tmpdir_path):
     assert r3["batches"] == 0
     (rng,) = r3["checks"]["date_range"]
     assert (rng.min_date, rng.max_date, rng.days) == (dt.date(2024, 1, 1), dt.date(2024, 1, 2), 2)
+
+
+def test_publish_tables(spark):
+    from shoplens.plans.warehouse import Warehouse, publish_tables
+    wh = Warehouse(spark, "/root/testdata/sf0.001")
+    names = publish_tables(wh, layers=("fact", "funnel", "rfm"), prefix="t_")
+    assert names == ["t_marts.fact_events", "t_marts.mart_funnel_daily", "t_marts.mart_rfm"]
+    assert spark.table("t_marts.mart_funnel_daily").count() == wh.funnel.count()
+    assert spark.table("t_marts.fact_events").count() == wh.fact.count()
+    for n in names:
+        spark.sql(f"DROP TABLE {n}")
