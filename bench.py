@@ -65,8 +65,8 @@ class ReplicatedWarehouse(MaterializedWarehouse):
     """The event stream repeated ``copies`` times with shifted user and
     event ids (a generator, no join), for scaled runs."""
 
-    def __init__(self, spark, data_dir, out_dir, copies: int):
-        super().__init__(spark, data_dir, out_dir)
+    def __init__(self, spark, data_dir, out_dir, copies: int, job_tag: str = ""):
+        super().__init__(spark, data_dir, out_dir, job_tag)
         self.copies = copies
 
     @property
@@ -84,19 +84,61 @@ class ReplicatedWarehouse(MaterializedWarehouse):
         return fixture.raw_events(events, read_table(self.spark, self.data_dir, "part"))
 
 
-def run_once(spark, sf_dir, scratch, copies, threads):
-    wh = ReplicatedWarehouse(spark, sf_dir, scratch, copies)
+def _mkdir(path: str) -> str:
+    os.makedirs(path, exist_ok=True)
+    return path
+
+
+def stage_summary(log_dir: str, tag: str) -> dict:
+    """Per step of one run (job description ``<tag><step>``): stages, tasks,
+    summed and longest stage time, read from the Spark event log."""
+    step_of_stage: dict[int, str] = {}
+    stages: dict[int, tuple[int, int]] = {}
+    files = [os.path.join(d, n) for d, _, names in os.walk(log_dir) for n in names
+             if not n.startswith(".")]
+    for path in files:
+        with open(path, errors="replace") as f:
+            for line in f:
+                if '"SparkListenerJobStart"' in line:
+                    ev = json.loads(line)
+                    desc = (ev.get("Properties") or {}).get("spark.job.description") or ""
+                    if desc.startswith(tag):
+                        for sid in ev.get("Stage IDs", []):
+                            step_of_stage[sid] = desc[len(tag):]
+                elif '"SparkListenerStageCompleted"' in line:
+                    info = json.loads(line)["Stage Info"]
+                    if "Completion Time" in info and "Submission Time" in info:
+                        stages[info["Stage ID"]] = (
+                            info["Completion Time"] - info["Submission Time"],
+                            info["Number of Tasks"])
+    steps: dict[str, dict] = {}
+    for sid, step in step_of_stage.items():
+        if sid not in stages:
+            continue                      # skipped stage (shuffle output reused)
+        ms, tasks = stages[sid]
+        s = steps.setdefault(step, {"stages": 0, "tasks": 0, "stage_ms": 0, "max_stage_ms": 0})
+        s["stages"] += 1
+        s["tasks"] += tasks
+        s["stage_ms"] += ms
+        s["max_stage_ms"] = max(s["max_stage_ms"], ms)
+    return dict(sorted(steps.items()))
+
+
+def run_once(spark, sf_dir, scratch, copies, threads, tag=""):
+    wh = ReplicatedWarehouse(spark, sf_dir, scratch, copies, tag)
     times: dict[str, float] = {}
     groups: dict[str, float] = {}
 
     def timed(name, fn):
+        spark.sparkContext.setJobDescription(f"{tag}{name}")
         t0 = time.perf_counter()
         fn()
         times[name] = round(time.perf_counter() - t0, 3)
         return times[name]
 
     groups["ingest"] = timed("ingest", wh.run_ingest)
-    groups["fact"] = timed("fact_events", lambda: wh.build("fact"))
+    groups["fact"] = timed("fact", lambda: wh.build("fact"))
+    times["fact_events"] = times.pop("fact")
     t0 = time.perf_counter()
     for layer, sec in wh.build_many(LAYERS[1:], threads).items():
         times[LAYER_NAMES[layer]] = round(sec, 3)
@@ -126,14 +168,20 @@ def main() -> None:
         "spark.driver.memory": "16g",
         "spark.checkpoint.dir": os.path.join(scratch, "checkpoints"),
         "spark.scheduler.mode": "FAIR",
+        # Stage/task timings come from the event log in the scratch folder.
+        "spark.eventLog.enabled": "true",
+        "spark.eventLog.dir": _mkdir(os.path.join(scratch, "eventlog")),
+        "spark.eventLog.compress": "false",
+        "spark.eventLog.rolling.enabled": "false",
     })
     spark.sparkContext.setLogLevel("ERROR")
     # One warm-up run (class loading, JIT, code generation), then the
     # measured runs; each run writes to its own folder.
-    run_once(spark, sf_dir, os.path.join(scratch, "warm"), copies, threads)
-    runs = [run_once(spark, sf_dir, os.path.join(scratch, f"run{i}"), copies, threads)
+    run_once(spark, sf_dir, os.path.join(scratch, "warm"), copies, threads, "warm:")
+    runs = [run_once(spark, sf_dir, os.path.join(scratch, f"run{i}"), copies, threads, f"run{i}:")
             for i in range(repeat)]
     spark.stop()
+    stages = stage_summary(os.path.join(scratch, "eventlog"), f"run{repeat - 1}:")
     times = {k: round(statistics.median(r[0][k] for r in runs), 3) for k in runs[0][0]}
     groups = {k: round(statistics.median(r[1][k] for r in runs), 3) for k in runs[0][1]}
     total = round(statistics.median(sum(r[1].values()) for r in runs), 3)
@@ -145,7 +193,7 @@ def main() -> None:
                       "threads": threads, "cpus": cpus, "runs": repeat,
                       "fact_rows": fact_rows,
                       "fact_and_marts_events_per_sec": round(fact_rows / build),
-                      "method": "warm run, median of runs"}))
+                      "method": "warm run, median of runs", "event_log": stages}))
 
 
 if __name__ == "__main__":

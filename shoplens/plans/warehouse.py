@@ -93,9 +93,10 @@ class MaterializedWarehouse(Warehouse):
     """A pipeline run: ingest to date-partitioned files, then the facts and
     marts as tables under ``out_dir`` (a shared folder on a cluster)."""
 
-    def __init__(self, spark: SparkSession, data_dir: str, out_dir: str):
+    def __init__(self, spark: SparkSession, data_dir: str, out_dir: str, job_tag: str = ""):
         super().__init__(spark, data_dir)
         self.out_dir = out_dir.rstrip("/")
+        self.job_tag = job_tag      # prefix of the job descriptions of this run
 
     def _path(self, name: str) -> str:
         return f"{self.out_dir}/{name}"
@@ -118,6 +119,7 @@ class MaterializedWarehouse(Warehouse):
             # Own scheduler pool per model: with spark.scheduler.mode=FAIR the
             # concurrent models share executors instead of queueing FIFO.
             self.spark.sparkContext.setLocalProperty("spark.scheduler.pool", f"model-{layer}")
+            self.spark.sparkContext.setJobDescription(f"{self.job_tag}{layer}")
             t0 = time.perf_counter()
             self.build(layer)
             return layer, time.perf_counter() - t0
