@@ -29,7 +29,7 @@ from shoplens.session import reliable
 
 ROWS_PER_BUCKET = 1_000_000
 SAMPLES_PER_BUCKET = 64
-MAX_BUCKETS = 256
+MAX_BUCKETS = 1024           # ~1M rows per bucket up to ~1e9 rows; sample <= 64k rows
 SEED = 20240101
 
 
