@@ -188,3 +188,21 @@ def test_replay_after_crash_is_idempotent(spark, tmpdir_path):
     after = sorted(map(tuple, ingest.read_partitioned(spark, out).collect()))
     assert after == before
     assert run_incremental_ingest(spark, raw_dir, out, ckpt) == 0
+
+
+def test_many_files_per_batch_keep_per_file_sample(spark, tmpdir_path):
+    raw_dir = os.path.join(tmpdir_path, "raw")
+    out = os.path.join(tmpdir_path, "processed")
+    os.makedirs(raw_dir)
+    now = time.time()
+    # file a starts Jan 1, file b starts Jan 10: each keeps its own first 8 days
+    _csv(os.path.join(raw_dir, "a.csv"),
+         [_row(f"2024-01-{d:02d} 01:00:00 UTC", user=1) for d in range(1, 20)], now - 20)
+    _csv(os.path.join(raw_dir, "b.csv"),
+         [_row(f"2024-01-{d:02d} 05:00:00 UTC", user=2) for d in range(10, 28)], now - 10)
+    n = run_incremental_ingest(spark, raw_dir, out, os.path.join(tmpdir_path, "ck"),
+                               sample_weeks=1, files_per_batch=10, mode="per_file")
+    assert n == 1
+    got = ingest.read_partitioned(spark, out).collect()
+    assert sorted(r.event_date.day for r in got if r.user_id == 1) == list(range(1, 9))
+    assert sorted(r.event_date.day for r in got if r.user_id == 2) == list(range(10, 18))
