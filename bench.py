@@ -9,7 +9,7 @@ runs are measured; ``value`` is the median wall-clock total and
 inside the concurrent groups).
 
 Env: BENCH_SF_DIR (default /root/testdata/sf0.1), BENCH_CPUS (default 8),
-BENCH_THREADS (default: BENCH_CPUS), BENCH_REPLICATE (default 1: copies of the event
+BENCH_THREADS (default: BENCH_CPUS), BENCH_EVENT_LOG (default 1), BENCH_REPLICATE (default 1: copies of the event
 stream with shifted ids).
 """
 
@@ -163,17 +163,20 @@ def main() -> None:
     threads = int(os.environ.get("BENCH_THREADS", str(cpus)))
     repeat = int(os.environ.get("BENCH_REPEAT", "3"))
     scratch = tempfile.mkdtemp(prefix="shoplens-bench-")
-    spark = get_spark(f"local[{cpus}]", shuffle_partitions=max(8, cpus), extra={
+    event_log = os.environ.get("BENCH_EVENT_LOG", "1") == "1"
+    conf = {
         "spark.ui.showConsoleProgress": "false",
         "spark.driver.memory": "16g",
         "spark.checkpoint.dir": os.path.join(scratch, "checkpoints"),
         "spark.scheduler.mode": "FAIR",
+    }
+    if event_log:
         # Stage/task timings come from the event log in the scratch folder.
-        "spark.eventLog.enabled": "true",
-        "spark.eventLog.dir": _mkdir(os.path.join(scratch, "eventlog")),
-        "spark.eventLog.compress": "false",
-        "spark.eventLog.rolling.enabled": "false",
-    })
+        conf.update({"spark.eventLog.enabled": "true",
+                     "spark.eventLog.dir": _mkdir(os.path.join(scratch, "eventlog")),
+                     "spark.eventLog.compress": "false",
+                     "spark.eventLog.rolling.enabled": "false"})
+    spark = get_spark(f"local[{cpus}]", shuffle_partitions=max(8, cpus), extra=conf)
     spark.sparkContext.setLogLevel("ERROR")
     # One warm-up run (class loading, JIT, code generation), then the
     # measured runs; each run writes to its own folder.
@@ -181,7 +184,8 @@ def main() -> None:
     runs = [run_once(spark, sf_dir, os.path.join(scratch, f"run{i}"), copies, threads, f"run{i}:")
             for i in range(repeat)]
     spark.stop()
-    stages = stage_summary(os.path.join(scratch, "eventlog"), f"run{repeat - 1}:")
+    stages = (stage_summary(os.path.join(scratch, "eventlog"), f"run{repeat - 1}:")
+              if event_log else {})
     times = {k: round(statistics.median(r[0][k] for r in runs), 3) for k in runs[0][0]}
     groups = {k: round(statistics.median(r[1][k] for r in runs), 3) for k in runs[0][1]}
     total = round(statistics.median(sum(r[1].values()) for r in runs), 3)
