@@ -40,6 +40,14 @@ class Warehouse:
     def fact(self) -> DataFrame:
         return facts.fact_events(self.stg)
 
+    def share_fact(self) -> "Warehouse":
+        """Checkpoint ``fact_events`` once (shared checkpoint folder) before
+        deriving several layers from it in one query, so the fact chain is
+        not recomputed per branch and a lost executor does not replay it."""
+        from shoplens.session import reliable
+        self.__dict__["fact"] = reliable(self.fact)
+        return self
+
     @cached_property
     def sessions(self) -> DataFrame:
         return facts.fact_sessions(self.fact)
