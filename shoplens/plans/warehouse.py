@@ -163,7 +163,7 @@ class CsvPipeline(MaterializedWarehouse):
 def run_pipeline(spark: SparkSession, raw_dir: str, out_dir: str,
                  checkpoint_root: str | None = None, full_refresh: bool = False,
                  sample_weeks: int | None = None, sample_days: int | None = None,
-                 threads: int = 4, check: str = "all") -> dict:
+                 threads: int = 4, check: str = "all", files_per_batch: int = 1) -> dict:
     """Ingest new raw files, rebuild staging, facts and marts, validate.
 
     Returns ``{"batches", "tables", "seconds", "checks"}``; the tables are
@@ -177,7 +177,8 @@ def run_pipeline(spark: SparkSession, raw_dir: str, out_dir: str,
     t0 = time.perf_counter()
     batches = run_incremental_ingest(spark, raw_dir, f"{out_dir}/events",
                                      checkpoint_root or f"{out_dir}/_checkpoints",
-                                     sample_weeks=sample_weeks, full_refresh=full_refresh)
+                                     sample_weeks=sample_weeks, full_refresh=full_refresh,
+                                     files_per_batch=files_per_batch)
     seconds["ingest"] = time.perf_counter() - t0
     p = CsvPipeline(spark, raw_dir, out_dir, sample_days=sample_days)
     for layer in ("clean", "fact"):     # staging table, then the shared fact table

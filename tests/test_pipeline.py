@@ -51,3 +51,15 @@ def test_publish_tables(spark):
     assert spark.table("t_marts.fact_events").count() == wh.fact.count()
     for n in names:
         spark.sql(f"DROP TABLE {n}")
+
+
+def test_command_line(spark, tmpdir_path, capsys):
+    from shoplens.__main__ import main
+    raw = os.path.join(tmpdir_path, "raw")
+    os.makedirs(raw)
+    _csv(os.path.join(raw, "a.csv"), _day_rows(1, [1, 2]) + _day_rows(3, [2], "purchase"))
+    code = main([raw, os.path.join(tmpdir_path, "out"), "--check", "date_range",
+                 "--sample-weeks", "1"])
+    out = capsys.readouterr().out
+    assert code == 0
+    assert '"batches": 1' in out and "-- date_range" in out and "'days': 2" in out
