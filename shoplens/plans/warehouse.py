@@ -160,6 +160,17 @@ class CsvPipeline(MaterializedWarehouse):
         return ingest.staging_frame(ingest.first_partitions(events, self.sample_days))
 
 
+def _has_data(spark: SparkSession, path: str) -> bool:
+    """Whether ``path`` holds readable Parquet data (missing folder or no
+    files raise an AnalysisException when the schema is resolved)."""
+    from pyspark.errors import AnalysisException
+    try:
+        spark.read.parquet(path).schema
+        return True
+    except AnalysisException:
+        return False
+
+
 def run_pipeline(spark: SparkSession, raw_dir: str, out_dir: str,
                  checkpoint_root: str | None = None, full_refresh: bool = False,
                  sample_weeks: int | None = None, sample_days: int | None = None,
@@ -180,6 +191,9 @@ def run_pipeline(spark: SparkSession, raw_dir: str, out_dir: str,
                                      sample_weeks=sample_weeks, full_refresh=full_refresh,
                                      files_per_batch=files_per_batch)
     seconds["ingest"] = time.perf_counter() - t0
+    if not _has_data(spark, f"{out_dir}/events"):
+        return {"batches": batches, "status": "no_data", "tables": {}, "seconds": seconds,
+                "checks": {}, "warehouse": None}
     p = CsvPipeline(spark, raw_dir, out_dir, sample_days=sample_days)
     for layer in ("clean", "fact"):     # staging table, then the shared fact table
         t0 = time.perf_counter()
@@ -189,7 +203,8 @@ def run_pipeline(spark: SparkSession, raw_dir: str, out_dir: str,
     t0 = time.perf_counter()
     results = validate(p, check)
     seconds["checks"] = time.perf_counter() - t0
-    return {"batches": batches, "tables": {k: p._path(k) for k in ("events", "clean", "fact",
+    return {"batches": batches, "status": "success",
+            "tables": {k: p._path(k) for k in ("events", "clean", "fact",
                                                                    *MART_LAYERS)},
             "seconds": seconds, "checks": results, "warehouse": p}
 

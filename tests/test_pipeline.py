@@ -63,3 +63,10 @@ def test_command_line(spark, tmpdir_path, capsys):
     out = capsys.readouterr().out
     assert code == 0
     assert '"batches": 1' in out and "-- date_range" in out and "'days': 2" in out
+
+
+def test_no_raw_files(spark, tmpdir_path):
+    raw = os.path.join(tmpdir_path, "raw")
+    os.makedirs(raw)
+    r = run_pipeline(spark, raw, os.path.join(tmpdir_path, "out"))
+    assert r["status"] == "no_data" and r["batches"] == 0 and r["checks"] == {}
