@@ -56,9 +56,9 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
     this machine) gets a fresh folder under /tmp.
     """
     sc = spark.sparkContext
-    current = sc._jsc.sc().getCheckpointDir()
-    if current.isDefined():
-        return current.get()
+    current = sc.getCheckpointDir()
+    if current:
+        return current
     configured = spark.conf.get("spark.checkpoint.dir", None)
     if configured:
         sc.setCheckpointDir(configured)
