@@ -1,5 +1,7 @@
 """Physical-plan shape of every registered query."""
 
+import contextlib
+import io
 import os
 import re
 
@@ -12,7 +14,11 @@ pytestmark = pytest.mark.skipif(not os.path.isdir(SF), reason="test data not pre
 
 
 def _plan(df):
-    return df._jdf.queryExecution().executedPlan().toString()
+    """The physical plan text, as ``DataFrame.explain()`` prints it."""
+    buf = io.StringIO()
+    with contextlib.redirect_stdout(buf):
+        df.explain()
+    return buf.getvalue()
 
 
 @pytest.mark.parametrize("name", sorted(entry.queries()))

@@ -5,6 +5,8 @@ Usage: python tools/plan_report.py [data_dir] > PLANS.md
 
 from __future__ import annotations
 
+import contextlib
+import io
 import os
 import re
 import sys
@@ -42,7 +44,10 @@ def main(argv):
     print("| query | " + " | ".join(PATTERNS) + " | scan cols |")
     print("| --- | " + " | ".join("---" for _ in PATTERNS) + " | --- |")
     for name, fn in entry.queries().items():
-        plan = fn(spark, data_dir)._jdf.queryExecution().executedPlan().toString()
+        buf = io.StringIO()
+        with contextlib.redirect_stdout(buf):
+            fn(spark, data_dir).explain()
+        plan = buf.getvalue()
         counts = [str(len(re.findall(p, plan))) for p in PATTERNS.values()]
         scans = []
         for line in plan.splitlines():
