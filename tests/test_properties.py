@@ -73,3 +73,16 @@ def test_distributed_ntile_equals_window(spark, keys, k):
     want = {r.id: r.t for r in df.select("id", F.ntile(k).over(Window.orderBy("key", "id"))
                                          .alias("t")).collect()}
     assert got == want
+
+
+def test_segment_sums_never_undercount_true_distincts(wh):
+    from shoplens.plans import bi
+    summed = {r.event_date: r for r in bi.funnel_by_day(wh.funnel).collect()}
+    true = {r.event_date: r for r in bi.true_funnel(wh.fact).collect()}
+    assert summed.keys() == true.keys()
+    for d, t in true.items():
+        s = summed[d]
+        assert t.view_users <= s.view_users and t.cart_users <= s.cart_users
+        assert t.purchase_users <= s.purchase_users
+    dau = {r.event_date: r.dau for r in bi.active_users(wh.fact).collect()}
+    assert dau == {r.event_date: r.dau for r in bi.daily_kpi(wh.fact).collect()}
