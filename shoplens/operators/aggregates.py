@@ -11,7 +11,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from shoplens.functions import ratio_pct
@@ -41,7 +41,8 @@ def distinct_count_by(events: DataFrame, keys: Sequence[str], column: str, out:
 
 
 def share_of_total(df: DataFrame, column: str, out: str = "pct") -> DataFrame:
-    """``column * 100 / SUM(column) OVER ()`` rounded to 2 places.  Only for
-    already-aggregated, small inputs (a handful of groups)."""
-    total = F.sum(column).over(Window.partitionBy())
+    """``column * 100 / SUM(column) OVER ()`` rounded to 2 places; the total
+    is a scalar subquery (partial sums per task), so no row moves to one
+    partition."""
+    total = df.agg(F.sum(column)).scalar()
     return df.withColumn(out, ratio_pct(F.col(column), total))

@@ -10,7 +10,7 @@ event date) and ``category`` (highest-revenue category).
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from shoplens.functions import first_match, ratio_pct, round_ratio, week_start
@@ -316,18 +316,16 @@ def arpu_daily(fact: DataFrame) -> DataFrame:
 def rfm_segment_summary(rfm: DataFrame) -> DataFrame:
     g = rfm.groupBy("rfm_segment").agg(F.count(F.lit(1)).alias("users"),
                                        F.sum("monetary").alias("revenue"))
-    everyone = Window.partitionBy()  # one row per segment: a handful of rows
-    return g.select("*",
-                    ratio_pct(F.col("users"), F.sum("users").over(everyone)).alias("user_share_pct"),
-                    ratio_pct(F.col("revenue"), F.sum("revenue").over(everyone))
-                     .alias("revenue_share_pct"))
+    users, revenue = scalar(rfm.agg(F.count(F.lit(1)))), scalar(rfm.agg(F.sum("monetary")))
+    return g.select("*", ratio_pct(F.col("users"), users).alias("user_share_pct"),
+                    ratio_pct(F.col("revenue"), revenue).alias("revenue_share_pct"))
 
 
 def category_revenue_share(growth: DataFrame) -> DataFrame:
     g = growth.groupBy("category_l1").agg(F.sum("revenue").alias("revenue"))
-    everyone = Window.partitionBy()  # one row per category
-    return g.select("*", ratio_pct(F.col("revenue"), F.sum("revenue").over(everyone))
-                    .alias("revenue_share_pct")).orderBy(F.desc("revenue"), "category_l1")
+    total = scalar(growth.agg(F.sum("revenue")))
+    return (g.select("*", ratio_pct(F.col("revenue"), total).alias("revenue_share_pct"))
+            .orderBy(F.desc("revenue"), "category_l1"))
 
 
 def headline_kpis(fact: DataFrame) -> DataFrame:
