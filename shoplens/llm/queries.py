@@ -9,13 +9,31 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from shoplens.llm import tokens
-from shoplens.llm.common import read_table
+from shoplens.llm import hilbert, packing, tokens
+from shoplens.llm.common import materialize, read_table
 
 QueryFn = Callable[[SparkSession, str], DataFrame]
 
 
+SHARDS = 40
+SHARD_DIMS = ["lang", "source", "n_chars"]
+
+
+def op2_hilbert_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = hilbert.document_rows(read_table(spark, sf_dir, "documents"), SHARD_DIMS)
+    placed = hilbert.shard(materialize(rows, "documents"), SHARD_DIMS,
+                           ["doc_id", "text_crc32", "size"], SHARDS)
+    return placed.select(
+        "doc_id", "size", "text_crc32", F.lit("rows").alias("law"), "shard", "slot",
+        F.lit(None).cast("int").alias("grown_shard"))
+
+
+def op3_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return packing.pack(read_table(spark, sf_dir, "documents"))
+
+
 def op8_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = read_table(spark, sf_dir, "documents").select("doc_id", "text")
     return (tokens.count_tokens(docs)
@@ -23,6 +41,8 @@ def op8_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, QueryFn] = {f.__name__: f for f in (
+    op2_hilbert_sharding,
+    op3_best_fit_packing,
     op8_token_counts,
 )}
 
