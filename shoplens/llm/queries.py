@@ -11,7 +11,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from shoplens.llm import hilbert, packing, tokens
+from shoplens.llm import hilbert, packing, quality_rules, tokens
 from shoplens.llm.common import materialize, read_table
 
 QueryFn = Callable[[SparkSession, str], DataFrame]
@@ -34,6 +34,11 @@ def op3_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack(read_table(spark, sf_dir, "documents"))
 
 
+def op4_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = read_table(spark, sf_dir, "documents").select("doc_id", "text")
+    return quality_rules.apply_rules(docs).select("doc_id", "quality.*")
+
+
 def op8_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = read_table(spark, sf_dir, "documents").select("doc_id", "text")
     return (tokens.count_tokens(docs)
@@ -43,6 +48,7 @@ def op8_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES: dict[str, QueryFn] = {f.__name__: f for f in (
     op2_hilbert_sharding,
     op3_best_fit_packing,
+    op4_quality_rules,
     op8_token_counts,
 )}
 
