@@ -11,7 +11,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from shoplens.llm import hilbert, packing, quality_rules, tokens
+from shoplens.llm import hilbert, packing, quality_rules, simhash, tokens
 from shoplens.llm.common import materialize, read_table
 
 QueryFn = Callable[[SparkSession, str], DataFrame]
@@ -39,6 +39,13 @@ def op4_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality_rules.apply_rules(docs).select("doc_id", "quality.*")
 
 
+def op7_simhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = read_table(spark, sf_dir, "documents")
+    return simhash.near_groups(docs).select(
+        "doc_id", F.lower(F.lpad(F.hex("print"), 16, "0")).alias("fingerprint"),
+        F.col("component").alias("component_id"))
+
+
 def op8_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = read_table(spark, sf_dir, "documents").select("doc_id", "text")
     return (tokens.count_tokens(docs)
@@ -49,6 +56,7 @@ QUERIES: dict[str, QueryFn] = {f.__name__: f for f in (
     op2_hilbert_sharding,
     op3_best_fit_packing,
     op4_quality_rules,
+    op7_simhash_near_dedup,
     op8_token_counts,
 )}
 
