@@ -11,7 +11,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from shoplens.llm import hilbert, packing, quality_rules, simhash, tokens
+from shoplens.llm import decontaminate, hilbert, packing, quality_rules, simhash, tokens
 from shoplens.llm.common import materialize, read_table
 
 QueryFn = Callable[[SparkSession, str], DataFrame]
@@ -52,12 +52,21 @@ def op8_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
             .select("doc_id", "n_bytes", "n_tokens", "over_limit"))
 
 
+def op10_benchmark_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Contaminated documents only: one row per document and benchmark item."""
+    found = decontaminate.overlaps(read_table(spark, sf_dir, "documents"),
+                                   read_table(spark, sf_dir, "benchmark"))
+    return found.groupBy("doc_id", "item_id").agg(
+        F.max("matched").alias("matched"), F.max("window").alias("window"))
+
+
 QUERIES: dict[str, QueryFn] = {f.__name__: f for f in (
     op2_hilbert_sharding,
     op3_best_fit_packing,
     op4_quality_rules,
     op7_simhash_near_dedup,
     op8_token_counts,
+    op10_benchmark_decontamination,
 )}
 
 ORACLE_SQL: dict[str, str] = {}
