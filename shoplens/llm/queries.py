@@ -11,7 +11,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from shoplens.llm import decontaminate, hilbert, packing, quality_rules, simhash, tokens
+from shoplens.llm import decontaminate, hilbert, line_dedup, packing, quality_rules, simhash, tokens
 from shoplens.llm.common import materialize, read_table
 
 QueryFn = Callable[[SparkSession, str], DataFrame]
@@ -52,6 +52,11 @@ def op8_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
             .select("doc_id", "n_bytes", "n_tokens", "over_limit"))
 
 
+def op9_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = read_table(spark, sf_dir, "documents").select("doc_id", "text")
+    return line_dedup.dedup_lines(docs)
+
+
 def op10_benchmark_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Contaminated documents only: one row per document and benchmark item."""
     found = decontaminate.overlaps(read_table(spark, sf_dir, "documents"),
@@ -66,6 +71,7 @@ QUERIES: dict[str, QueryFn] = {f.__name__: f for f in (
     op4_quality_rules,
     op7_simhash_near_dedup,
     op8_token_counts,
+    op9_line_dedup,
     op10_benchmark_decontamination,
 )}
 
