@@ -153,15 +153,47 @@ def near_links(prints: DataFrame, threshold: int = MAX_BITS) -> DataFrame:
     return home.join(visit, "anchor").where((F.col("a") < F.col("b")) & close).select("a", "b")
 
 
+def _components_of(printed: DataFrame, order: str, threshold: int) -> DataFrame:
+    """(print, component): the smallest ``order`` value reachable over links."""
+    nodes = materialize(printed.groupBy("print").agg(F.min(order).alias("least")), "nodes")
+    labels = components(near_links(nodes, threshold))
+    joined = (nodes.join(labels, nodes["print"] == labels["node"], "left")
+              .select("print", "least", F.coalesce("label", "print").alias("label")))
+    lowest = joined.groupBy("label").agg(F.min("least").alias("component"))
+    return materialize(joined.join(lowest, "label").select("print", "component"), "components")
+
+
 def near_groups(docs: DataFrame, threshold: int = MAX_BITS, width: int = SHINGLE_WORDS,
                 text: str = "text", key: str = "doc_id") -> DataFrame:
     """(key, print, component): the smallest key reachable over links."""
     printed = materialize(docs.select(key, fingerprints(F.col(text), width).alias("print")),
                           "prints")
-    nodes = materialize(printed.groupBy("print").agg(F.min(key).alias("least")), "nodes")
-    labels = components(near_links(nodes, threshold))
-    joined = (nodes.join(labels, nodes["print"] == labels["node"], "left")
-              .select("print", "least", F.coalesce("label", "print").alias("label")))
-    lowest = joined.groupBy("label").agg(F.min("least").alias("component"))
-    found = materialize(joined.join(lowest, "label").select("print", "component"), "components")
-    return printed.join(found, "print")
+    return printed.join(_components_of(printed, key, threshold), "print")
+
+
+def keep_one(docs: DataFrame, threshold: int = MAX_BITS, width: int = SHINGLE_WORDS) -> DataFrame:
+    """One row of ``docs(doc_id, text, ...)`` per component: the smallest
+    doc_id (null only if no row has one), then the smallest text hash."""
+    name = F.struct(F.col("doc_id").isNull().alias("missing"), "doc_id",
+                    F.xxhash64("text").alias("text_hash"))
+    printed = materialize(docs.select(name.alias("name"),
+                                      fingerprints(F.col("text"), width).alias("print")), "prints")
+    found = _components_of(printed, "name", threshold)
+    kept = materialize(found.select("component").distinct()
+                       .select(F.col("component.doc_id").alias("_keep_id"),
+                               F.col("component.text_hash").alias("_keep_text")), "kept")
+
+    def named(other: DataFrame) -> Column:
+        return (docs["doc_id"].eqNullSafe(other["_keep_id"])
+                & F.xxhash64(docs["text"]).eqNullSafe(other["_keep_text"]))
+
+    stay = docs.join(kept, named(kept), "left_semi")
+    # Rows equal in doc_id and text answer to the same name; all but one go.
+    twice = materialize(printed.groupBy("name").agg(F.count("*").alias("n")).where("n > 1")
+                        .select(F.col("name.doc_id").alias("_keep_id"),
+                                F.col("name.text_hash").alias("_keep_text")), "twice")
+    if twice.isEmpty():
+        return stay
+    single = stay.join(twice, named(twice), "left_anti")
+    return single.unionByName(
+        stay.join(twice, named(twice), "left_semi").dropDuplicates(["doc_id", "text"]))
