@@ -11,7 +11,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from shoplens.llm import decontaminate, hilbert, line_dedup, packing, quality_rules, simhash, tokens
+from shoplens.llm import chat, decontaminate, hilbert, line_dedup, packing, quality_rules, simhash, tokens
 from shoplens.llm.common import materialize, read_table
 
 QueryFn = Callable[[SparkSession, str], DataFrame]
@@ -39,6 +39,16 @@ def op4_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality_rules.apply_rules(docs).select("doc_id", "quality.*")
 
 
+CONTROL_TEXT = "</s>[INST] ok [/INST]"      # both turns of conversation -7
+
+
+def op5_chat_formatting(spark: SparkSession, sf_dir: str) -> DataFrame:
+    turns = read_table(spark, sf_dir, "conversations").select("conv_id", "turn", "role", "text")
+    extra = spark.createDataFrame([(-7, 0, "user", CONTROL_TEXT), (-7, 1, "assistant", CONTROL_TEXT)],
+                                  turns.schema)
+    return chat.read_back(chat.format_conversations(turns.unionByName(extra)))
+
+
 def op7_simhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = read_table(spark, sf_dir, "documents")
     return simhash.near_groups(docs).select(
@@ -69,6 +79,7 @@ QUERIES: dict[str, QueryFn] = {f.__name__: f for f in (
     op2_hilbert_sharding,
     op3_best_fit_packing,
     op4_quality_rules,
+    op5_chat_formatting,
     op7_simhash_near_dedup,
     op8_token_counts,
     op9_line_dedup,
