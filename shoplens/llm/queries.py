@@ -11,7 +11,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from shoplens.llm import chat, decontaminate, hilbert, line_dedup, packing, quality_rules, simhash, tokens
+from shoplens.llm import chat, decontaminate, hilbert, line_crf, line_dedup, packing, quality_rules, simhash, tokens
 from shoplens.llm.common import materialize, read_table
 
 QueryFn = Callable[[SparkSession, str], DataFrame]
@@ -49,6 +49,11 @@ def op5_chat_formatting(spark: SparkSession, sf_dir: str) -> DataFrame:
     return chat.read_back(chat.format_conversations(turns.unionByName(extra)))
 
 
+def op6_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return line_crf.classify(read_table(spark, sf_dir, "documents").select("doc_id", "text"),
+                             read_table(spark, sf_dir, "labels"))
+
+
 def op7_simhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = read_table(spark, sf_dir, "documents")
     return simhash.near_groups(docs).select(
@@ -80,6 +85,7 @@ QUERIES: dict[str, QueryFn] = {f.__name__: f for f in (
     op3_best_fit_packing,
     op4_quality_rules,
     op5_chat_formatting,
+    op6_quality_classifier,
     op7_simhash_near_dedup,
     op8_token_counts,
     op9_line_dedup,
