@@ -11,12 +11,16 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from shoplens.llm import chat, decontaminate, hilbert, line_crf, line_dedup, packing, quality_rules, simhash, tokens
+from shoplens.llm import chat, decontaminate, hilbert, html_blocks, line_crf, line_dedup, packing, quality_rules, simhash, tokens
 from shoplens.llm.common import materialize, read_table
 
 QueryFn = Callable[[SparkSession, str], DataFrame]
 
 
+def op1_html_extraction(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return html_blocks.extract(read_table(spark, sf_dir, "pages"))
+
+
 SHARDS = 40
 SHARD_DIMS = ["lang", "source", "n_chars"]
 
@@ -81,6 +85,7 @@ def op10_benchmark_decontamination(spark: SparkSession, sf_dir: str) -> DataFram
 
 
 QUERIES: dict[str, QueryFn] = {f.__name__: f for f in (
+    op1_html_extraction,
     op2_hilbert_sharding,
     op3_best_fit_packing,
     op4_quality_rules,
