@@ -11,8 +11,10 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from shoplens.llm import chat, decontaminate, hilbert, html_blocks, line_crf, line_dedup, packing, quality_rules, simhash, tokens
+from shoplens.llm import (chat, decontaminate, hilbert, html_blocks, line_crf, line_dedup,
+                          packing, quality_rules, simhash, tokens)
 from shoplens.llm.common import materialize, read_table
+from shoplens.llm.oracles import ORACLE_SQL  # noqa: F401
 
 QueryFn = Callable[[SparkSession, str], DataFrame]
 
@@ -96,5 +98,3 @@ QUERIES: dict[str, QueryFn] = {f.__name__: f for f in (
     op9_line_dedup,
     op10_benchmark_decontamination,
 )}
-
-ORACLE_SQL: dict[str, str] = {}
