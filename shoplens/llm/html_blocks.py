@@ -137,8 +137,9 @@ def blocks(page: str) -> list[Block]:
             continue
         if tag == "a":
             in_link = 1
-        if tag in ("br", "img", "wbr"):
+        if tag == "br":
             text.append(" ")
+            continue
         if tag in RAW:
             end = re.compile("</" + re.escape(tag) + r"[\s/>]", re.I).search(page, at)
             if tag == "textarea" and not hidden:

@@ -187,11 +187,12 @@ def lines_of(text: str | None) -> list[str]:
 def line_scores(field: Field, own: np.ndarray, lengths: np.ndarray) -> np.ndarray:
     """``features(...) @ weights`` of all documents, without the wide matrix."""
     w = field.weights
-    here, before, after = (own @ w[k * OWN:(k + 1) * OWN].astype(own.dtype) for k in range(3))
+    # Summed row by row: equal texts score equally whatever batch they are in.
+    here, before, after = ((own * w[k * OWN:(k + 1) * OWN]).sum(axis=1) for k in range(3))
     ends = np.cumsum(lengths)
     first, last = np.zeros(len(own), dtype=bool), np.zeros(len(own), dtype=bool)
     first[ends - lengths] = last[ends - 1] = True
-    out = here.astype("float64") + w[-3] + w[-2] * first + w[-1] * last
+    out = here + w[-3] + w[-2] * first + w[-1] * last
     out[1:] += np.where(first[1:], 0.0, before[:-1])
     out[:-1] += np.where(last[:-1], 0.0, after[1:])
     return out
