@@ -1,39 +1,19 @@
-"""Join helpers with explicit, measured size bounds."""
+"""Join helpers."""
 
 from __future__ import annotations
 
 from pyspark.sql import DataFrame
-from pyspark.sql import functions as F
 
-# A dimension side is broadcast only when its measured row count is at most
-# this; beyond it the join stays a shuffle join (AQE splits skewed keys).
-DEFAULT_BROADCAST_ROWS = 2_000_000
 
-# Measured dimension sizes, keyed by (plan hash, input files): a changed
-# file set is a new key.
-_ROW_COUNTS: dict[tuple, int] = {}
+def join_dimension(fact: DataFrame, dim: DataFrame, on, how: str = "left") -> DataFrame:
+    """Join a large fact to a dimension projected to the columns it needs.
 
-
-def measured_rows(df: DataFrame) -> int:
-    key = (df.semanticHash(), tuple(sorted(df.inputFiles())))
-    if key not in _ROW_COUNTS:
-        _ROW_COUNTS[key] = df.count()
-    return _ROW_COUNTS[key]
-
-
-def join_dimension(fact: DataFrame, dim: DataFrame, on, how: str = "left",
-                   max_broadcast_rows: int = DEFAULT_BROADCAST_ROWS) -> DataFrame:
-    """Join a large fact to a dimension, broadcasting the dimension only
-    behind a row-count check.
-
-    ``dim`` should already be projected to the few columns the join needs,
-    so the count (a footer-only scan for plain Parquet) bounds its size.
-    Above the bound the plan is a sort-merge join on the key, and adaptive
-    execution splits any hot key of the fact side.
+    No hint: the engine broadcasts the dimension only if its measured bytes
+    are under ``spark.sql.autoBroadcastJoinThreshold`` (from file statistics
+    when planning, from shuffle sizes at run time), and otherwise sorts and
+    merges, splitting a hot key of the fact side.
     """
-    n = measured_rows(dim)
-    side = F.broadcast(dim) if n <= max_broadcast_rows else dim
-    return fact.join(side, on, how)
+    return fact.join(dim, on, how)
 
 
 def scalar(one_value: DataFrame):

@@ -1,186 +1,185 @@
-"""Global order statistics without a single-partition window.
-
-``Window.orderBy(...)`` with no ``partitionBy`` moves every row to one task.
-Here the global order is cut into range buckets instead:
-
-1. the input is checkpointed once (it feeds several small jobs);
-2. a seeded sample of the ordering keys (bounded: buckets x samples per
-   bucket rows) gives literal cut points;
-3. each row's bucket is found by a balanced tree of lexicographic
-   comparisons against the cuts (JVM-side, no UDF);
-4. per-bucket totals (at most ``max_buckets`` rows) give each bucket's
-   offset in the global order;
-5. a window partitioned by bucket yields the position inside the bucket.
-
-Keys must form a total order (add a unique tie-break column), so a hot key
-value is spread over many buckets by its tie-break.  Descending order is
-expressed by negating a numeric key.
+"""Exact order statistics of a large table without sorting it.
+
+``NTILE`` and ``PERCENTILE_CONT`` need the rows at a few positions of a
+global order, not the order itself.  ``rows_at`` finds them by narrowing
+histograms: every pass counts, per search, the rows in equal-width bins
+between the search's bounds (a partial aggregate, at most ``BINS`` rows per
+search reach the driver) and keeps the bin that holds the wanted position,
+until its smallest and largest value are equal.  The plan is the same at
+every size; no pass sorts or gathers rows.
+
+A position inside a run of equal values is resolved among the rows of that
+value by the tie-break column, with the same search.  With the cut rows
+known, classifying all rows is a map-side lexicographic comparison.
 """
 
 from __future__ import annotations
 
 import math
 from collections.abc import Sequence
+from dataclasses import dataclass
+from functools import reduce
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from shoplens.session import reliable
 
-ROWS_PER_BUCKET = 1_000_000
-SAMPLES_PER_BUCKET = 64
-MAX_BUCKETS = 1024           # ~1M rows per bucket up to ~1e9 rows; sample <= 64k rows
-SEED = 20240101
-
-
-def _lex_ge(cols: Sequence[str], values: Sequence) -> Column:
-    """(c1, c2, ...) >= (v1, v2, ...) in lexicographic order (non-NULL keys)."""
-    c, v = F.col(cols[0]), F.lit(values[0])
-    if len(cols) == 1:
-        return c >= v
-    return (c > v) | ((c == v) & _lex_ge(cols[1:], values[1:]))
-
-
-def _bucket_expr(cols: Sequence[str], cuts: Sequence[tuple], lo: int, hi: int) -> Column:
-    """Index of the bucket holding a row: number of cuts <= row, as a
-    balanced CASE tree (depth log2 of the bucket count)."""
-    if lo == hi:
-        return F.lit(lo)
-    mid = (lo + hi + 1) // 2
-    return (F.when(_lex_ge(cols, cuts[mid - 1]), _bucket_expr(cols, cuts, mid, hi))
-            .otherwise(_bucket_expr(cols, cuts, lo, mid - 1)))
-
-
-def _cuts(sample: list[tuple], n_buckets: int) -> list[tuple]:
-    sample = sorted(set(sample))
-    if n_buckets <= 1 or len(sample) < 2:
-        return []
-    picks = [sample[(i * len(sample)) // n_buckets] for i in range(1, n_buckets)]
-    return sorted(set(picks))
-
-
-def bucket_count(total: int, rows_per_bucket: int = ROWS_PER_BUCKET,
-                 max_buckets: int = MAX_BUCKETS) -> int:
-    return max(1, min(max_buckets, math.ceil(total / max(1, rows_per_bucket))))
+BINS = 2048
+
+
+@dataclass
+class _Search:
+    """Rows of ``column`` (where ``scope`` holds) around one position."""
+    column: str
+    position: int                       # 0-based, among the rows in scope
+    scope: tuple[str, str] | None = None        # (column, value) the rows share
+    low: str | None = None              # bounds as exact text
+    high: str | None = None
+    below: int = 0                      # rows in scope under ``low``
+
+    def where(self) -> tuple:
+        return self.column, self.scope, self.low, self.high
+
+
+def _literal(df: DataFrame, column: str, text: str) -> Column:
+    return F.lit(text).cast(df.schema[column].dataType)
+
+
+def _scoped(df: DataFrame, scope: tuple[str, str] | None) -> DataFrame:
+    return df if scope is None else df.where(F.col(scope[0]) == _literal(df, *scope))
+
+
+def _share(df: DataFrame, column: str, low: str, high: str) -> Column:
+    """(column - low) / (high - low) without overflow, as a double."""
+    c, first, last = F.col(column), _literal(df, column, low), _literal(df, column, high)
+    if isinstance(df.schema[column].dataType, T.IntegralType):
+        c, first, last = (x.cast("decimal(20,0)") for x in (c, first, last))
+    return (c - first).cast("double") / (last - first).cast("double")
+
+
+def _bounds(df: DataFrame, searches: list[_Search]) -> None:
+    """Set the first bounds: smallest and largest value in scope."""
+    keys = list(dict.fromkeys((s.column, s.scope) for s in searches))
+    parts = [_scoped(df, scope).agg(
+        F.lit(i).alias("i"), F.min(c).cast("string").alias("low"),
+        F.max(c).cast("string").alias("high")) for i, (c, scope) in enumerate(keys)]
+    found = {keys[r["i"]]: r for r in reduce(DataFrame.unionByName, parts).collect()}
+    for s in searches:
+        r = found[s.column, s.scope]
+        s.low, s.high = r["low"], r["high"]
+
+
+def _narrow(df: DataFrame, searches: list[_Search]) -> None:
+    """One pass: replace the bounds of every search by those of one bin."""
+    keys = list(dict.fromkeys(s.where() for s in searches))
+    parts = []
+    for i, (c, scope, low, high) in enumerate(keys):
+        rows = _scoped(df, scope).where(
+            F.col(c).between(_literal(df, c, low), _literal(df, c, high)))
+        bins = F.least(F.floor(_share(df, c, low, high) * BINS), F.lit(BINS - 1))
+        parts.append(rows.groupBy(bins.alias("bin")).agg(
+            F.count(F.lit(1)).alias("n"), F.min(c).cast("string").alias("low"),
+            F.max(c).cast("string").alias("high"))
+            .select(F.lit(i).alias("i"), "bin", "n", "low", "high"))
+    found: dict[int, list] = {i: [] for i in range(len(keys))}
+    for r in reduce(DataFrame.unionByName, parts).collect():
+        found[r["i"]].append(r)
+    order = {k: sorted(found[i], key=lambda r: r["bin"]) for i, k in enumerate(keys)}
+    for s in searches:
+        for r in order[s.where()]:
+            if s.below + r["n"] > s.position:
+                s.low, s.high = r["low"], r["high"]
+                break
+            s.below += r["n"]
+
+
+def _settle(df: DataFrame, searches: list[_Search]) -> None:
+    if not searches:
+        return
+    _bounds(df, searches)
+    while open_ones := [s for s in searches if s.low != s.high]:
+        _narrow(df, open_ones)
+
+
+def rows_at(df: DataFrame, wanted: dict[str, tuple[Sequence[str], Sequence[int]]]
+            ) -> dict[str, list[list[str]]]:
+    """The keys of the rows at given 0-based positions of ascending orders.
+
+    ``wanted``: name -> ((key columns), positions); the key columns are
+    numeric without NULLs, one or two of them (two must be a total order).
+    Returns the keys as exact text.  ``df`` should be a stored table.
+    """
+    first = {(name, p): _Search(cols[0], p) for name, (cols, ps) in wanted.items() for p in ps}
+    _settle(df, list(first.values()))
+    second = {}
+    for (name, p), s in first.items():
+        cols = wanted[name][0]
+        if len(cols) > 1:
+            # how many rows of this value stand before the position
+            second[name, p] = _Search(cols[1], p, scope=(cols[0], s.low))
+    under = _rows_under(df, {(s.column, s.low) for k, s in first.items() if k in second})
+    for k, s in second.items():
+        s.position -= under[first[k].column, first[k].low]
+    _settle(df, list(second.values()))
+    return {name: [[first[name, p].low] + ([second[name, p].low] if (name, p) in second else [])
+                   for p in ps] for name, (_, ps) in wanted.items()}
+
+
+def _rows_under(df: DataFrame, values: set[tuple[str, str]]) -> dict[tuple[str, str], int]:
+    if not values:
+        return {}
+    keys = sorted(values)
+    r = df.agg(*[F.count_if(F.col(c) < _literal(df, c, v)).alias(f"n{i}")
+                 for i, (c, v) in enumerate(keys)]).first()
+    return {k: r[f"n{i}"] for i, k in enumerate(keys)}
+
+
+def tile_starts(n: int, k: int) -> list[int]:
+    """0-based first positions of tiles 2..k of NTILE(k) over ``n`` rows."""
+    q, r = divmod(n, k)
+    return [p for j in range(1, k) if (p := j * q + min(j, r)) < n]
 
 
-def with_positions(df: DataFrame, orders: dict[str, Sequence[str]],
-                   weight: str | None = None,
-                   rows_per_bucket: int = ROWS_PER_BUCKET,
-                   max_buckets: int = MAX_BUCKETS,
-                   samples_per_bucket: int = SAMPLES_PER_BUCKET,
-                   seed: int = SEED) -> tuple[DataFrame, int]:
-    """Add, for every named ascending order ``out -> key columns``, a column
-    ``out`` holding the total weight of the rows strictly before the row in
-    that order (0-based row position when ``weight`` is None).
+def add_ntiles(df: DataFrame, specs: dict[str, Sequence[str]], k: int) -> DataFrame:
+    """NTILE(k) columns, one per ``out -> ascending (value, tie-break)``.
 
-    Returns the frame and the total weight.  Key tuples must be unique and
-    non-NULL within each order.
-    """
+    The input is stored once; the k - 1 rows where a tile begins are found
+    and every row is compared with them."""
     df = reliable(df)
-    w = F.col(weight) if weight else F.lit(1).cast("long")
-    stats = df.agg(F.count(F.lit(1)).alias("n"),
-                   F.coalesce(F.sum(w), F.lit(0)).cast("long").alias("w")).first()
-    n_rows, total = int(stats["n"]), int(stats["w"])
-    n_buckets = bucket_count(n_rows, rows_per_bucket, max_buckets)
-
-    bucket_cols: dict[str, Column] = {}
-    if n_buckets > 1:
-        key_cols = sorted({c for keys in orders.values() for c in keys})
-        fraction = min(1.0, n_buckets * samples_per_bucket / n_rows)
-        rows = df.select(*key_cols).sample(fraction=fraction, seed=seed).collect()
-        for out, keys in orders.items():
-            cuts = _cuts([tuple(r[c] for c in keys) for r in rows], n_buckets)
-            bucket_cols[out] = _bucket_expr(list(keys), cuts, 0, len(cuts)) if cuts else F.lit(0)
-    else:
-        bucket_cols = {out: F.lit(0) for out in orders}
-
-    staged = df
-    for out, expr in bucket_cols.items():
-        staged = staged.withColumn(f"_b_{out}", expr)
-
-    offsets: dict[str, dict[int, int]] = {out: {0: 0} for out in orders}
-    if n_buckets > 1:
-        # One job for all orders: (order, bucket) -> weight, at most
-        # len(orders) * n_buckets rows.
-        stacked = staged.select(w.alias("_w"), F.explode(F.array(*[
-            F.struct(F.lit(out).alias("o"), F.col(f"_b_{out}").alias("b"))
-            for out in orders])).alias("_ob"))
-        sizes = (stacked.groupBy(F.col("_ob.o").alias("o"), F.col("_ob.b").alias("b"))
-                 .agg(F.sum("_w").alias("s")).collect())
-        per_order: dict[str, dict[int, int]] = {out: {} for out in orders}
-        for r in sizes:
-            per_order[r["o"]][int(r["b"])] = int(r["s"])
-        for out, sz in per_order.items():
-            acc, offs = 0, {}
-            for b in sorted(sz):
-                offs[b] = acc
-                acc += sz[b]
-            offsets[out] = offs or {0: 0}
-
-    for out, keys in orders.items():
-        bcol = f"_b_{out}"
-        spec = Window.partitionBy(bcol).orderBy(*keys)
-        if weight:
-            inside = F.coalesce(F.sum(w).over(spec.rowsBetween(Window.unboundedPreceding, -1)),
-                                F.lit(0)).cast("long")
-        else:
-            inside = (F.row_number().over(spec) - 1).cast("long")
-        offs = offsets[out]
-        if len(offs) == 1:
-            base = F.lit(next(iter(offs.values()))).cast("long")
-        else:
-            pairs = [x for b, o in sorted(offs.items()) for x in (F.lit(b), F.lit(o))]
-            base = F.element_at(F.create_map(*pairs), F.col(bcol)).cast("long")
-        staged = staged.withColumn(out, base + inside)
-    return staged.drop(*[f"_b_{out}" for out in orders]), total
-
-
-def ntile_of(position: Column, n: int, k: int) -> Column:
-    """NTILE(k) of the row at 0-based ``position`` among ``n`` rows: the
-    first ``n % k`` tiles get one extra row."""
-    q, r = divmod(n, k)
-    rn = position + 1
-    big = r * (q + 1)
-    first = F.floor((rn - 1) / (q + 1)) + 1
-    if q == 0:
-        return first.cast("long")
-    rest = F.lit(r) + F.floor((rn - 1 - big) / q) + 1
-    return F.when(rn <= big, first).otherwise(rest).cast("long")
-
-
-def add_ntiles(df: DataFrame, specs: dict[str, Sequence[str]], k: int, **kw) -> DataFrame:
-    """NTILE(k) columns, one per ``out -> ascending key columns`` (unique)."""
-    pos_names = {f"_pos_{out}": keys for out, keys in specs.items()}
-    staged, n = with_positions(df, pos_names, **kw)
-    for out in specs:
-        staged = staged.withColumn(out, ntile_of(F.col(f"_pos_{out}"), n, k))
-    return staged.drop(*pos_names)
-
-
-def percentile_cont(df: DataFrame, column: str, p: float, out: str | None = None, **kw) -> DataFrame:
-    """Exact PERCENTILE_CONT(p) of ``column`` (NULLs skipped) as a one-row
-    frame with a DOUBLE column ``out``.
-
-    Values are grouped first (value -> count), so repeated values cost one
-    row each, then ranked with weights; the two neighbours around position
-    ``(n - 1) * p`` are interpolated.
-    """
-    out = out or f"p_{column}"
-    vals = (df.where(F.col(column).isNotNull())
-            .groupBy(F.col(column).alias("_v")).agg(F.count(F.lit(1)).alias("_w")))
-    ranked, n = with_positions(vals, {"_cum": ["_v"]}, weight="_w", **kw)
-    spark = df.sparkSession
-    if n == 0:
-        return spark.range(1).select(F.lit(None).cast("double").alias(out))
-    pos = (n - 1) * p
-    lo, hi = math.floor(pos), math.ceil(pos)
-    frac = pos - lo
-
-    def at(i):
-        return F.max(F.when((F.col("_cum") <= i) & (F.col("_cum") + F.col("_w") > i),
-                            F.col("_v").cast("double")))
-
-    picked = ranked.agg(at(lo).alias("_lo"), at(hi).alias("_hi"))
-    return picked.select((F.col("_lo") + (F.col("_hi") - F.col("_lo")) * F.lit(frac))
-                         .alias(out))
+    starts = tile_starts(df.count(), k)
+    cuts = rows_at(df, {out: (keys, starts) for out, keys in specs.items()}) if starts else {}
+    for out, keys in specs.items():
+        tile = F.lit(1).cast("long")
+        for cut in cuts.get(out, []):
+            at_least = F.lit(True)
+            for c, v in reversed(list(zip(keys, cut))):
+                bound = _literal(df, c, v)
+                at_least = (F.col(c) > bound) | ((F.col(c) == bound) & at_least)
+            tile = tile + at_least.cast("long")
+        df = df.withColumn(out, tile)
+    return df
+
+
+def percentiles_cont(df: DataFrame, columns: Sequence[str], p: float) -> dict[str, float | None]:
+    """Exact PERCENTILE_CONT(p) of several columns of a stored table."""
+    sizes = df.agg(*[F.count(c).alias(c) for c in columns]).first()
+    wanted, share = {}, {}
+    for c in columns:
+        if sizes[c]:
+            at = (sizes[c] - 1) * p
+            low, high = math.floor(at), math.ceil(at)
+            wanted[c] = ((c,), sorted({low, high}))
+            share[c] = at - low
+    found = rows_at(df, wanted) if wanted else {}
+    out: dict[str, float | None] = {c: None for c in columns}
+    for c, keys in found.items():
+        low, high = float(keys[0][0]), float(keys[-1][0])
+        out[c] = low + (high - low) * share[c]
+    return out
+
+
+def percentile_cont(df: DataFrame, column: str, p: float) -> float | None:
+    """Exact PERCENTILE_CONT(p) of one column (NULLs skipped)."""
+    return percentiles_cont(reliable(df.select(column)), [column], p)[column]

@@ -33,10 +33,11 @@ MODEL_RULES = {
         Rule("cohort_week", "not_null"), Rule("week_number", "not_null")],
     "mart_category_growth_weekly": [
         Rule("event_week", "not_null"), Rule("category_l1", "not_null")],
+    "mart_rfm": [Rule("user_id", "unique")],
 }
 
 ROW_COUNT_TABLES = (
-    ("staging.stg_events", "stg"), ("marts.fact_events", "fact"),
+    ("staging.stg_events", "clean"), ("marts.fact_events", "fact"),
     ("marts.fact_sessions", "sessions"), ("marts.mart_funnel_daily", "funnel"),
     ("marts.mart_retention_cohort_weekly", "retention"),
     ("marts.mart_category_growth_weekly", "growth"),
@@ -46,7 +47,7 @@ ROW_COUNT_TABLES = (
 def model_dq_report(wh) -> DataFrame:
     tables = {"stg_events": wh.stg, "fact_events": wh.fact, "fact_sessions": wh.sessions,
               "mart_funnel_daily": wh.funnel, "mart_retention_cohort_weekly": wh.retention,
-              "mart_category_growth_weekly": wh.growth}
+              "mart_category_growth_weekly": wh.growth, "mart_rfm": wh.rfm}
     return dq_report(tables, MODEL_RULES)
 
 
@@ -78,9 +79,11 @@ def user_type_mix(fact: DataFrame) -> DataFrame:
 
 
 def latest_funnel(funnel: DataFrame) -> DataFrame:
-    day = funnel.where(F.col("event_date") == scalar(funnel.agg(F.max("event_date"))))
-    s = day.agg(F.sum("view_users").alias("view_users"), F.sum("cart_users").alias("cart_users"),
-                F.sum("purchase_users").alias("purchase_users"))
+    """Sums of the newest day, found among the per-day sums (one pass)."""
+    days = funnel.groupBy("event_date").agg(
+        F.sum("view_users").alias("view_users"), F.sum("cart_users").alias("cart_users"),
+        F.sum("purchase_users").alias("purchase_users"))
+    s = days.orderBy(F.desc("event_date")).limit(1).drop("event_date")
     return s.select("*", ratio_pct(F.col("cart_users"), F.col("view_users")).alias("cart_rate"),
                     ratio_pct(F.col("purchase_users"), F.col("view_users")).alias("purchase_rate"))
 

@@ -36,20 +36,18 @@ def clean_events(raw: DataFrame, keep: tuple[str, ...] = ()) -> DataFrame:
     """Raw contract -> cleaned events (time parsed, date derived, bad price
     nulled, invalid types dropped).  Column order follows the sink; ``keep``
     names extra columns to carry along (e.g. the source file)."""
-    ts = parsed_time(raw)
-    price = F.col("price").cast(MONEY) if not isinstance(
-        raw.schema["price"].dataType, T.DecimalType) else F.col("price")
+    # The raw number is judged, and only a valid one becomes money: rounding
+    # first would turn 100000.004 valid, and a huge value would not fit.
+    price = F.when(~invalid_price_flag(), F.col("price")).cast("double")
     return (raw
-            .withColumn("event_timestamp", ts)
-            .withColumn("price", price)
+            .withColumn("event_timestamp", parsed_time(raw))
             .where(F.col("event_timestamp").isNotNull())
             .where(~invalid_type_flag())
             .select(
                 "event_timestamp",
                 F.to_date("event_timestamp").alias("event_date"),
                 "event_type", "product_id", "category_id", "category_code", "brand",
-                F.when(invalid_price_flag(), F.lit(None).cast(MONEY))
-                 .otherwise(F.col("price")).alias("price"),
+                price.try_cast(MONEY).alias("price"),
                 "user_id", "user_session", *keep))
 
 

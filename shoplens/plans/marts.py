@@ -9,7 +9,7 @@ from shoplens.functions import first_match, ratio_pct, round_ratio, week_start
 from shoplens.operators.aggregates import (distinct_count_by, user_stage_flags,
                                            users_with)
 from shoplens.operators.joins import scalar
-from shoplens.operators.ranking import add_ntiles, percentile_cont
+from shoplens.operators.ranking import add_ntiles, percentiles_cont
 from shoplens.operators.windows import previous_row
 from shoplens.session import reliable
 
@@ -48,15 +48,14 @@ def funnel_daily(fact: DataFrame) -> DataFrame:
 
 
 def retention_cohort_weekly(fact: DataFrame) -> DataFrame:
-    """Weekly cohorts.  Plan: distinct (user, week) pairs (partial agg), the
-    cohort week as the user's minimum week over those few rows per user,
-    then counts per (cohort, week number).  The cohort size equals the week-0
+    """Weekly cohorts.  The cohort week comes from the fact's first date, so
+    one distinct of (user, week) pairs (partial aggregate) is enough, then
+    counts per (cohort, week number).  The cohort size equals the week-0
     count (every user is active in the cohort week), so no second pass."""
-    uw = (fact.where(F.col("user_id").isNotNull())
-          .select("user_id", week_start("event_date").alias("activity_week"))
-          .distinct())
-    per_user = Window.partitionBy("user_id")
-    ca = (uw.withColumn("cohort_week", F.min("activity_week").over(per_user))
+    ca = (fact.where(F.col("user_id").isNotNull())
+          .select("user_id", week_start("event_date").alias("activity_week"),
+                  week_start("first_event_date").alias("cohort_week"))
+          .distinct()
           .withColumn("week_number",
                       F.floor(F.datediff("activity_week", "cohort_week") / 7).cast("long")))
     weekly = ca.groupBy("cohort_week", "week_number").agg(
@@ -113,27 +112,29 @@ def category_growth_weekly(fact: DataFrame) -> DataFrame:
         (rev - F.coalesce(prev_r, F.lit(0))).alias("revenue_delta"))
 
 
-def rfm(fact: DataFrame, k: int = 5, **rank_kw) -> DataFrame:
+def rfm(fact: DataFrame, k: int = 5) -> DataFrame:
     """Recency / frequency / monetary quintiles and segments.  NTILE ties are
-    broken by user_id ascending; quintiles come from the distributed ranking
-    operator, never a single-partition window."""
+    broken by user_id ascending; the quintile bounds come from the exact
+    selection of the ranking operator, never from a global window.  The
+    newest date is taken from the per-user rows, not from a second scan."""
     et = F.col("event_type")
-    metrics = fact.groupBy("user_id").agg(
+    per_user = reliable(fact.groupBy("user_id").agg(
         F.max("event_date").alias("last_seen_date"),
         F.count_distinct(F.when(et == "purchase", F.col("user_session"))).alias("frequency"),
         _zero_if_null(F.sum(F.when(et == "purchase", F.col("price")).otherwise(F.lit(0))))
-         .alias("monetary"))
-    max_date = scalar(fact.agg(F.max("event_date")))
-    scored = (metrics
+         .alias("monetary")))
+    max_date = scalar(per_user.agg(F.max("last_seen_date")))
+    lowest = scalar(per_user.agg(F.min("user_id")))
+    scored = (per_user
               .withColumn("recency_days", F.datediff(max_date, "last_seen_date").cast("long"))
-              .withColumn("_recent", F.col("last_seen_date") >= F.date_sub(max_date, RECENT_DAYS))
+              .withColumn("_recent", F.col("recency_days") <= RECENT_DAYS)
               .withColumn("_neg_recency", -F.col("recency_days"))
               # Total, non-NULL tie-break: a NULL user (one group) sorts first.
-              .withColumn("_uid", F.coalesce("user_id", F.lit(-(2 ** 63)).cast("long"))))
+              .withColumn("_uid", F.coalesce("user_id", lowest - 1, F.lit(0))))
     scored = add_ntiles(scored, {
         "r_score": ["_neg_recency", "_uid"],
         "f_score": ["frequency", "_uid"],
-        "m_score": ["monetary", "_uid"]}, k, **rank_kw)
+        "m_score": ["monetary", "_uid"]}, k)
     r, f, m = F.col("r_score"), F.col("f_score"), F.col("m_score")
     recent = F.col("_recent")
     champions, loyal, potentials, new, at_risk, lost, others = RFM_SEGMENTS
@@ -174,10 +175,11 @@ def price_performance(fact: DataFrame) -> DataFrame:
         round_ratio(F.col("revenue"), v).alias("revenue_per_viewer"))
 
 
-def product_matrix(fact: DataFrame, exact: bool = True, **rank_kw) -> DataFrame:
+def product_matrix(fact: DataFrame, exact: bool = True) -> DataFrame:
     """Popularity vs revenue quadrants.  Medians are exact PERCENTILE_CONT
-    over *all* products (distributed), the noise filter applies after.
-    ``exact=False`` uses ``percentile_approx`` (one pass, bounded sketch)."""
+    over *all* products (one search for both columns over the stored
+    metrics), the noise filter applies after.  ``exact=False`` uses
+    ``percentile_approx`` (one pass, bounded sketch)."""
     et = F.col("event_type")
     metrics = (fact.where(F.col("product_id").isNotNull())
                .groupBy("product_id", "category_l1", "brand").agg(
@@ -188,8 +190,8 @@ def product_matrix(fact: DataFrame, exact: bool = True, **rank_kw) -> DataFrame:
                     .alias("revenue")))
     metrics = reliable(metrics)
     if exact:
-        med_v = scalar(percentile_cont(metrics, "view_count", 0.5, "_med_views", **rank_kw))
-        med_r = scalar(percentile_cont(metrics, "revenue", 0.5, "_med_revenue", **rank_kw))
+        medians = percentiles_cont(metrics, ["view_count", "revenue"], 0.5)
+        med_v, med_r = (F.lit(medians[c]).cast("double") for c in ("view_count", "revenue"))
     else:
         med_v = scalar(metrics.agg(F.percentile_approx("view_count", 0.5)))
         med_r = scalar(metrics.agg(F.percentile_approx("revenue", 0.5)))

@@ -17,6 +17,12 @@ from shoplens.session import apply_core_conf
 
 QueryFn = Callable[[SparkSession, str], DataFrame]
 
+# Parameters of the dashboard keys that take one.
+RANGE = {"start_date": "2024-01-22", "end_date": "2024-02-20"}
+SINCE_WEEK = "2024-02-12"
+AS_OF = "2024-02-15"
+DROPOFF_FILTER = {"user_type": "returning", "price_bucket": "50-100"}
+
 # Parameters of the registered sampling operators (the sample is the feature).
 SAMPLE_WEEKS = 2
 SAMPLE_DAYS = 7
@@ -73,6 +79,13 @@ _BUILDERS: dict[str, Callable[[Warehouse], DataFrame]] = {
     "bi_contribution": lambda w: bi.growth_contribution(w.growth),
     "bi_weekly_monitor": lambda w: bi.weekly_monitor(w.fact),
     "bi_category_alerts": lambda w: bi.category_alerts(w.growth),
+    # dashboards with parameters
+    "bi_daily_kpi_range": lambda w: bi.daily_kpi(w.fact, **RANGE),
+    "bi_funnel_daily_range": lambda w: bi.funnel_by_day(w.funnel, **RANGE),
+    "bi_category_dropoff_filtered": lambda w: bi.category_dropoff(w.funnel, **RANGE,
+                                                                  **DROPOFF_FILTER),
+    "bi_category_growth_since": lambda w: bi.category_growth_listing(w.growth, SINCE_WEEK),
+    "bi_kpi_cards_as_of": lambda w: bi.kpi_cards(w.fact, as_of=AS_OF),
     # insights
     "insight_category_cart_rate": lambda w: bi.category_cart_rate(w.funnel, w.growth),
     "insight_user_type_rates": lambda w: bi.user_type_rates(w.funnel),

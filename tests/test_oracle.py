@@ -5,6 +5,7 @@ import os
 import pytest
 
 import __spark_entry__ as entry
+from shoplens import registry
 from tests.oracle_check import compare, duck_conn
 
 SF = "/root/testdata/sf0.001"
@@ -18,10 +19,11 @@ def test_entry_runs(spark):
 
 
 def test_every_query_has_oracle():
-    assert set(entry.queries()) == set(entry.oracle_sql())
+    assert set(registry.queries()) == set(registry.oracle_sql())
+    assert set(registry.queries()) <= set(entry.queries())
 
 
-@pytest.mark.parametrize("name", sorted(entry.queries()))
+@pytest.mark.parametrize("name", sorted(registry.queries()))
 def test_query_matches_oracle(spark, name):
     df = entry.queries()[name](spark, SF)
     rows = [tuple(r) for r in df.collect()]

@@ -8,6 +8,7 @@ import re
 import pytest
 
 import __spark_entry__ as entry
+from shoplens import registry
 
 SF = "/root/testdata/sf0.001"
 pytestmark = pytest.mark.skipif(not os.path.isdir(SF), reason="test data not present")
@@ -21,7 +22,7 @@ def _plan(df):
     return buf.getvalue()
 
 
-@pytest.mark.parametrize("name", sorted(entry.queries()))
+@pytest.mark.parametrize("name", sorted(registry.queries()))
 def test_no_pairwise_or_expanding_operators(spark, name):
     plan = _plan(entry.queries()[name](spark, SF))
     for op in ("CartesianProduct", "BroadcastNestedLoopJoin", "Expand", "PythonUDF",

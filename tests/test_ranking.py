@@ -25,9 +25,7 @@ def test_ntile_many_buckets_hot_key(spark):
     rows = [(i, 0 if rnd.random() < 0.85 else rnd.randint(1, 50), rnd.randint(-5, 5))
             for i in range(4000)]
     df = spark.createDataFrame(rows, "id long, key long, neg long")
-    # Force the distributed path: ~40 range buckets over 4000 rows.
-    got = add_ntiles(df, {"a": ["key", "id"], "b": ["neg", "id"]}, 5,
-                     rows_per_bucket=100, samples_per_bucket=16)
+    got = add_ntiles(df, {"a": ["key", "id"], "b": ["neg", "id"]}, 5)
     res = {r.id: (r.a, r.b) for r in got.collect()}
     wa = _window_ntile(df, ["key", "id"], 5)
     wb = _window_ntile(df, ["neg", "id"], 5)
@@ -38,7 +36,7 @@ def test_ntile_many_buckets_hot_key(spark):
 
 def test_ntile_all_keys_tied(spark):
     df = spark.createDataFrame([(i, 1) for i in range(23)], "id long, key long")
-    got = add_ntiles(df, {"t": ["key", "id"]}, 5, rows_per_bucket=4, samples_per_bucket=8)
+    got = add_ntiles(df, {"t": ["key", "id"]}, 5)
     assert {r.id: r.t for r in got.collect()} == _window_ntile(df, ["key", "id"], 5)
 
 
@@ -48,7 +46,7 @@ def test_ntile_all_keys_tied(spark):
 ])
 def test_percentile_cont(spark, values):
     df = spark.createDataFrame([(v,) for v in values], "v double")
-    got = percentile_cont(df, "v", 0.5, "m").first().m
+    got = percentile_cont(df, "v", 0.5)
     clean = [v for v in values if v is not None]
     assert got == pytest.approx(float(np.percentile(clean, 50)))
 
@@ -58,10 +56,29 @@ def test_percentile_cont_distributed(spark):
     vals = [float(rnd.choice([0, 0, 0, rnd.randint(1, 1000)])) for _ in range(3001)]
     df = spark.createDataFrame([(v,) for v in vals], "v double")
     for p in (0.1, 0.5, 0.9):
-        got = percentile_cont(df, "v", p, "m", rows_per_bucket=20, samples_per_bucket=8).first().m
+        got = percentile_cont(df, "v", p)
         assert got == pytest.approx(float(np.percentile(vals, p * 100)))
 
 
 def test_percentile_empty(spark):
     df = spark.createDataFrame([(None,)], "v double")
-    assert percentile_cont(df, "v", 0.5, "m").first().m is None
+    assert percentile_cont(df, "v", 0.5) is None
+
+
+def test_wide_keys_need_several_passes(spark, monkeypatch):
+    from shoplens.operators import ranking
+    monkeypatch.setattr(ranking, "BINS", 8)
+    rnd = random.Random(5)
+    rows = [(rnd.randrange(-2 ** 63, 2 ** 63), round(rnd.lognormvariate(0, 9), 4)) for _ in range(300)]
+    rows += [(2 ** 63 - 1, 1e18), (-2 ** 63, 1e-9)]
+    df = spark.createDataFrame(rows, "id long, key double")
+    got = ranking.rows_at(df, {"id": (("id",), [0, 7, 150, 301]), "key": (("key", "id"), [0, 99, 301])})
+    ids, keys = sorted(r[0] for r in rows), sorted((r[1], r[0]) for r in rows)
+    assert [int(v[0]) for v in got["id"]] == [ids[p] for p in (0, 7, 150, 301)]
+    assert [(float(v), int(i)) for v, i in got["key"]] == [keys[p] for p in (0, 99, 301)]
+
+
+def test_no_global_window(spark):
+    df = spark.createDataFrame([(i, i % 3) for i in range(50)], "id long, key long")
+    plan = add_ntiles(df, {"t": ["key", "id"]}, 5)._jdf.queryExecution().executedPlan().toString()
+    assert "Window" not in plan and "SinglePartition" not in plan and "Exchange" not in plan
