@@ -14,16 +14,21 @@ import sys
 
 def parse_args(argv):
     p = argparse.ArgumentParser(prog="shoplens", description=__doc__.splitlines()[0])
-    p.add_argument("raw_dir", help="folder of raw CSV event files")
-    p.add_argument("out_dir", help="output folder (shared storage on a cluster)")
-    p.add_argument("--full-refresh", action="store_true", help="reprocess every raw file")
+    p.add_argument("raw_dir", help="where the event CSV files arrive")
+    p.add_argument("out_dir", help="where tables are written; shared storage on a cluster")
+    # These four options are the public command line.
+    p.add_argument("--full-refresh", action="store_true",
+                   help="forget which files are done and start a new generation")
     p.add_argument("--sample-weeks", type=int, default=None,
-                   help="keep each file's first N weeks (inclusive)")
+                   help="from each file, events up to N weeks after its first day")
     p.add_argument("--sample-days", type=int, default=None,
-                   help="load only the first N event dates into staging")
-    p.add_argument("--check", default="all", help="validation check to run (default: all)")
-    p.add_argument("--threads", type=int, default=4, help="models built concurrently")
-    p.add_argument("--files-per-batch", type=int, default=1)
+                   help="build staging from the N earliest dates present")
+    p.add_argument("--check", default="all", help="one validation by name, or all")
+    p.add_argument("--threads", type=int, default=4, help="how many marts are built at a time")
+    p.add_argument("--files-per-batch", type=int, default=1,
+                   help="files cleaned and written in one job")
+    p.add_argument("--mode", choices=("replace", "per_file"), default="replace",
+                   help="whether a date belongs to its last file or to all of them")
     return p.parse_args(argv)
 
 
@@ -35,9 +40,11 @@ def main(argv=None) -> int:
     result = run_pipeline(spark, args.raw_dir, args.out_dir, full_refresh=args.full_refresh,
                           sample_weeks=args.sample_weeks, sample_days=args.sample_days,
                           threads=args.threads, check=args.check,
-                          files_per_batch=args.files_per_batch)
+                          files_per_batch=args.files_per_batch, mode=args.mode)
     failed = {k: repr(v) for k, v in result["checks"].items() if isinstance(v, Exception)}
-    print(json.dumps({"batches": result["batches"],
+    print(json.dumps({"status": result["status"], "batches": result["batches"],
+                      "total_rows": result["total_rows"],
+                      "files": {f["file"]: f["processed_rows"] for f in result["files"]},
                       "seconds": {k: round(v, 3) for k, v in result["seconds"].items()},
                       "tables": result["tables"], "failed_checks": failed}))
     for name, rows in result["checks"].items():

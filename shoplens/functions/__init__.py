@@ -5,7 +5,6 @@ from shoplens.functions.columns import (  # noqa: F401
     day_of_week,
     first_match,
     hour_of_day,
-    is_type,
     month_start,
     price_bucket,
     ratio_pct,

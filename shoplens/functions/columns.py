@@ -24,10 +24,6 @@ def _col(c) -> Column:
     return F.col(c) if isinstance(c, str) else c
 
 
-def is_type(event_type, name: str) -> Column:
-    return _col(event_type) == F.lit(name)
-
-
 def price_bucket(price="price") -> Column:
     """Half-open price bands; NULL price is 'unknown'."""
     p = _col(price)

@@ -7,31 +7,22 @@ from pyspark.sql import functions as F
 
 from shoplens.functions import first_match, price_bucket, revenue
 
-FACT_COLUMNS = (
-    "event_timestamp", "event_date", "event_week", "event_month", "event_type",
-    "product_id", "category_id", "category_code", "category_l1", "category_l2",
-    "brand", "price", "user_id", "user_session", "day_of_week", "hour_of_day",
-    "price_bucket", "first_event_date", "user_type", "revenue",
-)
-
-
 def user_first_dates(stg: DataFrame) -> DataFrame:
     """One row per user: first event date (map-side partial min, so a hot
     user costs one row per task before the shuffle)."""
     return stg.groupBy("user_id").agg(F.min("event_date").alias("first_event_date"))
 
 
-def fact_events(stg: DataFrame) -> DataFrame:
+def fact_events(stg: DataFrame, first: DataFrame | None = None) -> DataFrame:
     """Staging events + price bucket, first event date, user type, revenue.
 
-    The first date comes from a per-user aggregate joined back on user_id
-    (LEFT, so a NULL user finds no match and counts as returning).  Unlike a
-    window partitioned by user, the join lets adaptive execution split a hot
-    user's partition across tasks, and switch to a broadcast join when the
-    per-user side turns out small at run time.
+    The first date comes from ``first`` (``user_first_dates``), joined on
+    user_id (LEFT, so a NULL user finds no match and counts as returning).
+    Pass it as a stored table where a user may be hot: adaptive execution
+    then splits that user's partition, which it cannot do when the other
+    side is an aggregate of the same plan.
     """
-    first = user_first_dates(stg)
-    joined = stg.join(first, on="user_id", how="left")
+    joined = stg.join(user_first_dates(stg) if first is None else first, on="user_id", how="left")
     return joined.select(
         "event_timestamp", "event_date", "event_week", "event_month", "event_type",
         "product_id", "category_id", "category_code", "category_l1", "category_l2",

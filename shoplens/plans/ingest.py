@@ -7,17 +7,32 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from shoplens.schema import (CLEAN_COLUMNS, MONEY, PRICE_MAX, PRICE_MIN,
-                             RAW_TIME_FORMAT, STAGING_SCHEMA, VALID_EVENT_TYPES)
+                             STAGING_SCHEMA, VALID_EVENT_TYPES, ZONED_TIME)
+
+
+def time_of_text(text: F.Column) -> F.Column:
+    """UTC wall clock of a time in text; bad text becomes NULL.
+
+    ISO date and time with a space or ``T``, optional fraction, and an
+    optional zone (``UTC``, ``Z``, ``+hh``, ``+hhmm``, ``+hh:mm``); without
+    a zone the text is the UTC wall clock already; a date alone is midnight.
+    """
+    t = F.trim(text)
+    zoned = t.rlike(ZONED_TIME)
+    # The engine reads a zone written right behind the time.
+    joined = F.regexp_replace(F.regexp_replace(t, r"\s+(?=(?:UTC|Z|[+-]\d{2})\S*$)", ""),
+                              r"([+-]\d{2})(?::?(\d{2}))?$", "$1:$2")
+    exact = F.regexp_replace(joined, r":$", ":00")
+    instant = F.convert_timezone(F.current_timezone(), F.lit("UTC"),
+                                 exact.try_cast("timestamp").cast("timestamp_ntz"))
+    return F.when(zoned, instant).otherwise(t.try_cast("timestamp_ntz"))
 
 
 def parsed_time(raw: DataFrame) -> F.Column:
     """``event_time`` as a UTC wall-clock timestamp; bad text becomes NULL."""
-    dtype = raw.schema["event_time"].dataType
     c = F.col("event_time")
-    if isinstance(dtype, T.StringType):
-        ts = F.coalesce(F.try_to_timestamp(c, F.lit(RAW_TIME_FORMAT)),
-                        F.try_to_timestamp(c, F.lit("yyyy-MM-dd HH:mm:ss")))
-        return ts.cast(T.TimestampNTZType())
+    if isinstance(raw.schema["event_time"].dataType, T.StringType):
+        return time_of_text(c)
     return c.cast(T.TimestampNTZType())
 
 
@@ -79,14 +94,14 @@ def sample_first_weeks(clean: DataFrame, weeks: int) -> DataFrame:
 
 def first_partitions(events: DataFrame, days: int | None) -> DataFrame:
     """Keep the first ``days`` event-date partitions (present dates, not
-    calendar days).  The chosen dates (at most ``days`` values, bounded by
-    the calendar) become a literal IN list, so a date-partitioned scan
-    reads only those folders (static partition pruning)."""
+    calendar days).  The last of these dates is a scalar subquery, so a
+    date-partitioned scan reads only those folders, and nothing runs while
+    the plan is built."""
     if not days:
         return events
-    dates = [r[0] for r in events.select("event_date").distinct()
-             .orderBy("event_date").limit(days).collect()]
-    return events.where(F.col("event_date").isin(dates))
+    last = (events.select("event_date").distinct().orderBy("event_date").limit(days)
+            .agg(F.max("event_date")).scalar())
+    return events.where(F.col("event_date") <= last)
 
 
 def staging_frame(events: DataFrame) -> DataFrame:
@@ -109,17 +124,19 @@ def load_summary(staging: DataFrame) -> DataFrame:
             distinct_of("product_id").alias("unique_products"), "min_date", "max_date")
 
 
-def write_partitioned(clean: DataFrame, path: str, max_records_per_file: int = 5_000_000,
+def write_partitioned(df: DataFrame, path: str, max_records_per_file: int = 5_000_000,
                       partition_cols: tuple[str, ...] = ("event_date",)) -> None:
     """Date-partitioned, ZSTD Parquet (``event_date=YYYY-MM-DD`` folders).
     A date present in this batch replaces that date's folder (dynamic
     overwrite); other dates are untouched.
 
-    No shuffle: input splits are time-ordered, so each task touches few
-    dates; sorting by (date, user) inside tasks gives one sequential file per
-    date and tight row-group statistics on ``user_id``.
+    Rows are rebalanced by the folder columns: adaptive execution splits a
+    large date over several tasks and merges small ones, so the number of
+    files follows the data size, not tasks x dates.  Sorting by (date, user)
+    inside tasks gives tight row-group statistics on ``user_id``.
     """
-    (clean.sortWithinPartitions(*partition_cols, "user_id")
+    (df.hint("rebalance", *partition_cols)
+     .sortWithinPartitions(*partition_cols, *[c for c in ("user_id",) if c in df.columns])
      .write.mode("overwrite")
      .option("partitionOverwriteMode", "dynamic")
      .option("compression", "zstd")
@@ -143,6 +160,7 @@ def write_staging_jdbc(staging: DataFrame, url: str, table: str, properties: dic
 def write_staging_table(staging: DataFrame, table: str) -> None:
     """Full replace of the staging table each run."""
     (staging_frame(staging)
+     .hint("rebalance", "event_date")
      .sortWithinPartitions("event_date", "user_id")
      .write.mode("overwrite").format("parquet").partitionBy("event_date")
      .saveAsTable(table))

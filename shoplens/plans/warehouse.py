@@ -77,24 +77,26 @@ class Warehouse:
         return marts.product_matrix(self.fact)
 
 
-def materialize(df: DataFrame, path: str, sort_by: tuple[str, ...] = ()) -> DataFrame:
+# Folder column of the layers that are filtered by date.
+FOLDERS = {"clean": "event_date", "fact": "event_date", "sessions": "session_date",
+           "funnel": "event_date"}
+
+
+def materialize(df: DataFrame, path: str, folder: str | None = None) -> DataFrame:
     """Write a layer as Parquet and read it back: later layers scan files
     (column pruning, filter pushdown) instead of re-deriving the plan, and
     the lineage is cut, so a lost executor never replays upstream work.
 
-    ``sort_by`` orders rows inside each task (no shuffle), so Parquet
-    row-group min/max statistics let range filters skip data."""
-    if sort_by:
-        df = df.sortWithinPartitions(*sort_by)
-    df.write.mode("overwrite").parquet(path)
-    return df.sparkSession.read.parquet(path)
-
-
-# Row order inside the files of each materialized layer (the access paths
-# the dashboards filter on).
-LAYOUT = {"clean": ("event_date", "user_id"), "fact": ("event_date", "user_id"),
-          "sessions": ("session_date", "user_id"),
-          "funnel": ("event_date",)}
+    With ``folder`` the table has one folder per date, so a date filter
+    opens only those; files are sized by adaptive execution."""
+    if folder:
+        (df.hint("rebalance", folder)
+         .sortWithinPartitions(folder, *[c for c in ("user_id",) if c in df.columns])
+         .write.mode("overwrite").option("partitionOverwriteMode", "static")
+         .option("compression", "zstd").partitionBy(folder).parquet(path))
+    else:
+        df.write.mode("overwrite").option("compression", "zstd").parquet(path)
+    return df.sparkSession.read.parquet(path).select(*df.columns)
 
 
 class MaterializedWarehouse(Warehouse):
@@ -115,7 +117,13 @@ class MaterializedWarehouse(Warehouse):
 
     def build(self, layer: str) -> DataFrame:
         """Materialize one layer (``fact``, ``sessions``, ``funnel`` ...)."""
-        df = materialize(getattr(self, layer), self._path(layer), LAYOUT.get(layer, ()))
+        if layer == "fact":
+            # A stored layer of its own, so that a hot user can be split.
+            first = materialize(facts.user_first_dates(self.stg), self._path("first_dates"))
+            source = facts.fact_events(self.stg, first)
+        else:
+            source = getattr(self, layer)
+        df = materialize(source, self._path(layer), FOLDERS.get(layer))
         self.__dict__[layer] = df
         return df
 
@@ -149,16 +157,16 @@ class CsvPipeline(MaterializedWarehouse):
         super().__init__(spark, raw_dir, out_dir)
         self.sample_days = sample_days
 
-    @cached_property
-    def raw(self) -> DataFrame:
-        from shoplens.sources.raw_csv import read_raw_csv
-        return read_raw_csv(self.spark, self.data_dir)
-
     @cached_property
     def clean(self) -> DataFrame:
         events = ingest.read_partitioned(self.spark, self._path("events"))
         return ingest.staging_frame(ingest.first_partitions(events, self.sample_days))
 
+    def reopen(self, layers) -> None:
+        """Use the tables of an earlier run."""
+        for layer in layers:
+            self.__dict__[layer] = self.spark.read.parquet(self._path(layer))
+
 
 def _has_data(spark: SparkSession, path: str) -> bool:
     """Whether ``path`` holds readable Parquet data (missing folder or no
@@ -174,11 +182,15 @@ def _has_data(spark: SparkSession, path: str) -> bool:
 def run_pipeline(spark: SparkSession, raw_dir: str, out_dir: str,
                  checkpoint_root: str | None = None, full_refresh: bool = False,
                  sample_weeks: int | None = None, sample_days: int | None = None,
-                 threads: int = 4, check: str = "all", files_per_batch: int = 1) -> dict:
+                 threads: int = 4, check: str = "all", files_per_batch: int = 1,
+                 mode: str = "replace", publish: bool = True, prefix: str = "") -> dict:
     """Ingest new raw files, rebuild staging, facts and marts, validate.
 
-    Returns ``{"batches", "tables", "seconds", "checks"}``; the tables are
-    Parquet folders under ``out_dir`` (a shared folder on a cluster).
+    Returns ``status`` (``success``, ``no_new_files`` if nothing had to be
+    rebuilt, ``no_data``), ``files`` (statistics per file of this run),
+    ``batches``, ``total_rows``, ``tables`` (Parquet folders under
+    ``out_dir``, a shared folder on a cluster), ``names`` (catalog tables),
+    ``seconds`` and ``checks``.
     """
     from shoplens.plans.checks import validate
     from shoplens.streaming.incremental import run_incremental_ingest
@@ -186,27 +198,31 @@ def run_pipeline(spark: SparkSession, raw_dir: str, out_dir: str,
     out_dir = out_dir.rstrip("/")
     seconds: dict[str, float] = {}
     t0 = time.perf_counter()
-    batches = run_incremental_ingest(spark, raw_dir, f"{out_dir}/events",
-                                     checkpoint_root or f"{out_dir}/_checkpoints",
-                                     sample_weeks=sample_weeks, full_refresh=full_refresh,
-                                     files_per_batch=files_per_batch)
+    result = run_incremental_ingest(spark, raw_dir, f"{out_dir}/events",
+                                    checkpoint_root or f"{out_dir}/_checkpoints",
+                                    sample_weeks=sample_weeks, full_refresh=full_refresh,
+                                    mode=mode, files_per_batch=files_per_batch)
     seconds["ingest"] = time.perf_counter() - t0
+    result |= {"tables": {}, "names": [], "seconds": seconds, "checks": {}, "warehouse": None}
     if not _has_data(spark, f"{out_dir}/events"):
-        return {"batches": batches, "status": "no_data", "tables": {}, "seconds": seconds,
-                "checks": {}, "warehouse": None}
+        return result | {"status": "no_data"}
     p = CsvPipeline(spark, raw_dir, out_dir, sample_days=sample_days)
-    for layer in ("clean", "fact"):     # staging table, then the shared fact table
-        t0 = time.perf_counter()
-        p.build(layer)
-        seconds[layer] = time.perf_counter() - t0
-    seconds.update(p.build_many(MART_LAYERS, threads))
+    layers = ("clean", "fact", *MART_LAYERS)
+    if result["status"] == "no_new_files" and sample_days is None and all(
+            _has_data(spark, p._path(layer)) for layer in layers):
+        p.reopen(layers)
+    else:
+        for layer in ("clean", "fact"):     # staging table, then the shared fact table
+            t0 = time.perf_counter()
+            p.build(layer)
+            seconds[layer] = time.perf_counter() - t0
+        seconds.update(p.build_many(MART_LAYERS, threads))
+    if publish:
+        result["names"] = register_tables(p, layers, prefix)
     t0 = time.perf_counter()
-    results = validate(p, check)
+    result["checks"] = validate(p, check)
     seconds["checks"] = time.perf_counter() - t0
-    return {"batches": batches, "status": "success",
-            "tables": {k: p._path(k) for k in ("events", "clean", "fact",
-                                                                   *MART_LAYERS)},
-            "seconds": seconds, "checks": results, "warehouse": p}
+    return result | {"tables": {k: p._path(k) for k in ("events", *layers)}, "warehouse": p}
 
 
 # Catalog names of the layers (schema, table), as the models are known.
@@ -237,3 +253,20 @@ def publish_tables(wh: Warehouse, layers=("fact", "sessions", *MART_LAYERS[1:]),
         getattr(wh, layer).write.mode("overwrite").saveAsTable(name)
         names.append(name)
     return names
+
+
+def register_tables(wh: MaterializedWarehouse, layers, prefix: str = "") -> list[str]:
+    """Name the stored layers in the catalog (external tables over their
+    folders, nothing is copied); the staging model becomes a view."""
+    spark, names = wh.spark, []
+    for layer in layers:
+        schema, table = TABLE_NAMES[layer]
+        spark.sql(f"CREATE DATABASE IF NOT EXISTS {prefix}{schema}")
+        name = f"{prefix}{schema}.{table}"
+        spark.sql(f"DROP TABLE IF EXISTS {name}")
+        spark.catalog.createTable(name, path=wh._path(layer), source="parquet")
+        if layer in FOLDERS:
+            spark.catalog.recoverPartitions(name)
+        names.append(name)
+    wh.stg.createOrReplaceTempView(f"{prefix}stg_events_model")
+    return names

@@ -12,7 +12,8 @@ PRICE_BUCKETS = ("unknown", "0-10", "10-50", "50-100", "100-500", "500+")
 PRICE_BUCKET_EDGES = ((10, "0-10"), (50, "10-50"), (100, "50-100"), (500, "100-500"))
 USER_TYPES = ("new", "returning")
 FUNNEL_STAGES = (0, 1, 2, 3)  # none, view, cart, purchase
-RAW_TIME_FORMAT = "yyyy-MM-dd HH:mm:ss 'UTC'"
+# a time of day followed by a zone
+ZONED_TIME = r":\d{2}(\.\d+)?\s*(UTC|Z|[+-]\d{2}(:?\d{2})?)$"
 MONEY = T.DecimalType(12, 2)
 
 # CSV edge: explicit types, no inference pass.

@@ -1,52 +1,68 @@
-"""Incremental raw-file ingest as a Structured Streaming query.
-
-The file source's checkpoint is the ledger of processed files: a run picks
-up only files it has not seen, and a run that fails before committing its
-batch redoes that batch on the next start.  ``trigger(availableNow=True)``
-makes each run a bounded job (process what is there, then stop).
-
-* by default one file per micro-batch (``maxFilesPerTrigger=1``), the
-  original per-file semantics; ``files_per_batch > 1`` amortizes scheduling
-  over many small files, and the first-N-weeks sample still uses each
-  file's own first date (a per-file minimum, at most ``files_per_batch``
-  rows, joined back).  The source orders files by modification time;
-* each batch is cleaned and written to the date-partitioned sink.  In
-  ``replace`` mode a date present in a later file replaces that date's
-  folder (the original behaviour: rows of the earlier file for that date
-  are lost); ``per_file`` mode also partitions by source file, which is
-  lossless and still idempotent on replay;
-* batch statistics are collected with ``observe`` in the same pass as the
-  write, over the unfiltered rows, and appended to ``<out>/_ingest_log``;
-* a full refresh starts a new checkpoint generation, so every file is
-  processed again.
+"""Incremental raw-file ingest against a ledger of processed file names.
+
+A run lists the ``*.csv`` names under the raw folder (a metadata-only read,
+so any file system Spark reads will do), takes away the names that the
+ledger table holds for the current generation, and processes the rest in
+name order, ``files_per_batch`` at a time.  A name counts as new however old
+its file is.  A full refresh starts a new generation, in which no name is
+known yet.
+
+* Each batch is cleaned and written to the date-partitioned sink, and only
+  then entered in the ledger, one row per file; a run that dies in between
+  redoes that batch, which overwrites the same date folders.
+* In ``replace`` mode a date belongs to the last file (by name) that has a
+  kept row of it, across runs and inside a batch alike, so the batch size
+  never decides which rows survive.  ``per_file`` mode also partitions by
+  source file, which is lossless.
+* The first-N-weeks sample uses each file's own first date.
+* Statistics per file are observed in the same pass as the write.
+
+The streaming file source is not used here: its ledger orders by
+modification time and forgets or skips files by age.
 """
 
 from __future__ import annotations
 
-import os
-import re
+from functools import reduce
 
-from pyspark.sql import DataFrame, Observation, SparkSession
+from py4j.protocol import Py4JJavaError
+from pyspark.errors import AnalysisException
+from pyspark.sql import Column, DataFrame, Observation, SparkSession, Window
 from pyspark.sql import functions as F
 
 from shoplens.plans.ingest import (clean_events, invalid_price_flag, parsed_time,
-                                   sample_first_weeks, write_partitioned)
-from shoplens.schema import RAW_CSV_SCHEMA, VALID_EVENT_TYPES
+                                   write_partitioned)
+from shoplens.schema import VALID_EVENT_TYPES
+from shoplens.sources.raw_csv import list_raw_files, read_raw_csv
 
-LOG_DIR = "_ingest_log"
-LOG_SCHEMA = ("batch_id long, file string, total_rows long, invalid_event_types long, "
-              "invalid_prices long, min_time timestamp_ntz, max_time timestamp_ntz, "
-              "processed_rows long, partitions long")
+LEDGER = "ledger"
+LEDGER_SCHEMA = ("generation long, batch_id long, file string, total_rows long, "
+                 "unparsed_rows long, invalid_event_types long, invalid_prices long, "
+                 "min_time timestamp_ntz, max_time timestamp_ntz, processed_rows long, "
+                 "partitions long")
+STATISTICS = [c.split()[0] for c in LEDGER_SCHEMA.split(", ")][3:]
 
 
-def _generation_dir(checkpoint_root: str, full_refresh: bool) -> str:
-    os.makedirs(checkpoint_root, exist_ok=True)
-    gens = sorted(int(m.group(1)) for d in os.listdir(checkpoint_root)
-                  if (m := re.fullmatch(r"gen-(\d+)", d)))
-    current = gens[-1] if gens else 0
-    if full_refresh or not gens:
-        current += 1
-    return os.path.join(checkpoint_root, f"gen-{current}")
+def ingest_log(spark: SparkSession, checkpoint_root: str) -> DataFrame:
+    """The ledger: one row per generation and file (the latest, if a batch
+    was entered twice)."""
+    try:
+        rows = spark.read.schema(LEDGER_SCHEMA).parquet(f"{checkpoint_root}/{LEDGER}")
+    except AnalysisException:                   # no run yet
+        return spark.createDataFrame([], LEDGER_SCHEMA)
+    latest = Window.partitionBy("generation", "file").orderBy(F.desc("batch_id"))
+    return rows.withColumn("_n", F.row_number().over(latest)).where("_n = 1").drop("_n")
+
+
+def _new_files(spark: SparkSession, raw_dir: str, ledger: DataFrame, generation: int) -> list[str]:
+    """Paths of the files whose names the generation has not seen, by name."""
+    listed = list_raw_files(spark, raw_dir)
+    seen = ledger.where(F.col("generation") == generation).select(F.col("file").alias("name"))
+    return [r["path"] for r in listed.join(seen, "name", "left_anti").orderBy("name").collect()]
+
+
+def _name(path: str) -> str:
+    return path.rsplit("/", 1)[-1]
 
 
 def _sample_per_file(clean: DataFrame, weeks: int) -> DataFrame:
@@ -58,64 +74,95 @@ def _sample_per_file(clean: DataFrame, weeks: int) -> DataFrame:
             .drop("_first"))
 
 
-def _batch_writer(out_dir: str, sample_weeks: int | None, mode: str, files_per_batch: int):
-    def write_batch(batch: DataFrame, batch_id: int) -> None:
-        spark = batch.sparkSession
-        ts = parsed_time(batch)
-        obs_raw = Observation(f"raw_{batch_id}")
-        observed = batch.withColumn("_src", F.input_file_name()).observe(
-            obs_raw,
-            F.count(F.lit(1)).alias("total_rows"),
-            F.count_if(F.col("event_type").isin(*VALID_EVENT_TYPES) == F.lit(False))
-             .alias("invalid_event_types"),
-            F.count_if(invalid_price_flag()).alias("invalid_prices"),
-            F.min(ts).alias("min_time"), F.max(ts).alias("max_time"),
-            F.concat_ws(",", F.array_sort(F.collect_set("_src"))).alias("file"))
-        extra = ("_src",)
-        if mode == "per_file":
-            observed = observed.withColumn(
-                "source_file", F.regexp_extract(F.col("_src"), r"([^/]+)$", 1))
-            extra = ("_src", "source_file")
-        clean = clean_events(observed, keep=extra)
-        if sample_weeks and files_per_batch > 1:
-            clean = _sample_per_file(clean, sample_weeks)
-        else:
-            clean = sample_first_weeks(clean, sample_weeks)
+def _last_file_of_each_date(clean: DataFrame) -> DataFrame:
+    """Rows of the last file (by name) among those that hold a date."""
+    last = clean.groupBy("event_date").agg(F.max("_src").alias("_src"))
+    return clean.join(last, ["event_date", "_src"], "left_semi")
+
+
+def _per_file(files: list[str], metrics: dict) -> list[Column]:
+    """Every metric once per file: name -> f(rows of this file)."""
+    return [metric(F.col("_src") == name).alias(f"{key}_{i}")
+            for i, name in enumerate(files) for key, metric in metrics.items()]
+
+
+def _found(observation: Observation, df: DataFrame, metrics: list[Column]) -> dict:
+    """The observed metrics; counted anew if nothing was written, since
+    adaptive execution then drops the observed part of the plan."""
+    try:
+        return observation.get
+    except Py4JJavaError:
+        return df.agg(*metrics).first().asDict()
+
+
+def _raw_batch(spark: SparkSession, paths: list[str]) -> DataFrame:
+    return reduce(DataFrame.unionByName, [
+        read_raw_csv(spark, p).withColumn("_src", F.lit(_name(p))) for p in paths])
+
+
+def _run_batch(spark: SparkSession, paths: list[str], out_dir: str, sample_weeks: int | None,
+               mode: str) -> list[dict]:
+    """Clean and write some files; the statistics of each."""
+    files = [_name(p) for p in paths]
+    raw = _raw_batch(spark, paths)
+    ts = parsed_time(raw)
+    bad_type = F.col("event_type").isin(*VALID_EVENT_TYPES) == F.lit(False)
+    before, after = Observation(), Observation()
+    raw_metrics = _per_file(files, {
+        "total_rows": lambda own: F.count_if(own),
+        "unparsed_rows": lambda own: F.count_if(own & F.col("unparsed")),
+        "invalid_event_types": lambda own: F.count_if(own & bad_type),
+        "invalid_prices": lambda own: F.count_if(own & invalid_price_flag()),
+        "min_time": lambda own: F.min(F.when(own, ts)),
+        "max_time": lambda own: F.max(F.when(own, ts))})
+    clean = clean_events(raw.observe(before, *raw_metrics), keep=("_src",))
+    if sample_weeks:
+        clean = _sample_per_file(clean, sample_weeks)
+    clean_metrics = _per_file(files, {
+        "processed_rows": lambda own: F.count_if(own),
+        "partitions": lambda own: F.size(F.collect_set(F.when(own, F.col("event_date"))))})
+    kept, clean = clean, clean.observe(after, *clean_metrics)
+    folders: tuple[str, ...] = ("event_date",)
+    if mode == "per_file":
+        clean = clean.withColumnRenamed("_src", "source_file")
+        folders = ("event_date", "source_file")
+    elif len(files) > 1:
+        clean = _last_file_of_each_date(clean).drop("_src")
+    else:
         clean = clean.drop("_src")
-        obs_out = Observation(f"out_{batch_id}")
-        clean = clean.observe(obs_out, F.count(F.lit(1)).alias("processed_rows"),
-                              F.size(F.collect_set("event_date")).alias("partitions"))
-        write_partitioned(clean, out_dir,
-                          partition_cols=("event_date", "source_file") if mode == "per_file"
-                          else ("event_date",))
-        stats = {**obs_raw.get, **obs_out.get, "batch_id": batch_id}
-        cols = [c.split()[0] for c in LOG_SCHEMA.split(", ")]
-        (spark.createDataFrame([tuple(stats.get(c) for c in cols)], LOG_SCHEMA)
-         .write.mode("append").parquet(os.path.join(out_dir, LOG_DIR)))
-    return write_batch
+    write_partitioned(clean, out_dir, partition_cols=folders)
+    found = _found(before, raw, raw_metrics) | _found(after, kept, clean_metrics)
+    return [{"file": name, **{k: found[f"{k}_{i}"] for k in STATISTICS}}
+            for i, name in enumerate(files)]
 
 
 def run_incremental_ingest(spark: SparkSession, raw_dir: str, out_dir: str,
                            checkpoint_root: str, sample_weeks: int | None = None,
                            full_refresh: bool = False, mode: str = "replace",
-                           files_per_batch: int = 1) -> int:
-    """Process the raw CSV files not yet seen; return the number of batches."""
+                           files_per_batch: int = 1) -> dict:
+    """Process the raw CSV files not yet seen.
+
+    Returns ``status`` (``success`` or ``no_new_files``), ``files`` (the
+    statistics of each file of this run), ``batches`` and ``total_rows`` (raw
+    rows of the whole generation so far).
+    """
     if mode not in ("replace", "per_file"):
         raise ValueError(mode)
-    checkpoint = _generation_dir(checkpoint_root, full_refresh)
-    stream = (spark.readStream.schema(RAW_CSV_SCHEMA)
-              .option("header", True)
-              .option("maxFilesPerTrigger", files_per_batch)
-              .option("pathGlobFilter", "*.csv")
-              .csv(raw_dir))
-    query = (stream.writeStream
-             .foreachBatch(_batch_writer(out_dir, sample_weeks, mode, files_per_batch))
-             .option("checkpointLocation", checkpoint)
-             .trigger(availableNow=True)
-             .start())
-    query.awaitTermination()
-    return sum(1 for p in query.recentProgress if p.get("numInputRows", 0) > 0)
-
-
-def ingest_log(spark: SparkSession, out_dir: str) -> DataFrame:
-    return spark.read.parquet(os.path.join(out_dir, LOG_DIR))
+    ledger = ingest_log(spark, checkpoint_root)
+    newest = ledger.agg(F.max("generation"), F.max("batch_id")).first()
+    generation = (newest[0] or 0) + (1 if full_refresh or not newest[0] else 0)
+    batch_id = newest[1] or 0
+    paths = _new_files(spark, raw_dir, ledger, generation)
+    known = (ledger.where(F.col("generation") == generation)
+             .agg(F.coalesce(F.sum("total_rows"), F.lit(0))).first()[0])
+    done: list[dict] = []
+    batches = 0
+    for k in range(0, len(paths), files_per_batch):
+        batch_id, batches = batch_id + 1, batches + 1
+        stats = _run_batch(spark, paths[k:k + files_per_batch], out_dir, sample_weeks, mode)
+        rows = [tuple([generation, batch_id, s["file"], *(s[c] for c in STATISTICS)]) for s in stats]
+        (spark.createDataFrame(rows, LEDGER_SCHEMA).coalesce(1)
+         .write.mode("append").parquet(f"{checkpoint_root}/{LEDGER}"))
+        done += stats
+    return {"status": "success" if done else "no_new_files", "files": done, "batches": batches,
+            "total_rows": known + sum(s["total_rows"] for s in done)}

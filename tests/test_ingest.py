@@ -2,7 +2,7 @@ import datetime as dt
 import os
 import time
 
-from pyspark.sql import functions as F
+import pytest
 
 from shoplens.plans import ingest
 from shoplens.plans.staging import stg_events
@@ -25,11 +25,21 @@ def _row(ts, etype="view", price="10.5", user=1, session="s1", code="a.b"):
     return (ts, etype, 7, 99, code, "brandx", price, user, session)
 
 
-def test_discovery(tmpdir_path):
-    assert list_raw_files(os.path.join(tmpdir_path, "missing")) == []
+def test_discovery(spark, tmpdir_path):
+    assert list_raw_files(spark, os.path.join(tmpdir_path, "missing")).count() == 0
     for n in ("b.csv", "a.csv", "notes.txt"):
-        open(os.path.join(tmpdir_path, n), "w").close()
-    assert list_raw_files(tmpdir_path) == ["a.csv", "b.csv"]
+        with open(os.path.join(tmpdir_path, n), "w") as f:
+            f.write(HEADER)
+    assert sorted(r.name for r in list_raw_files(spark, tmpdir_path).collect()) == ["a.csv", "b.csv"]
+
+
+def _run(spark, tmp, **kw):
+    return run_incremental_ingest(spark, os.path.join(tmp, "raw"), os.path.join(tmp, "processed"),
+                                  os.path.join(tmp, "ckpt"), **kw)
+
+
+def _rows(spark, tmp):
+    return sorted(map(tuple, ingest.read_partitioned(spark, os.path.join(tmp, "processed")).collect()))
 
 
 def test_clean_rules_and_stats(spark, tmpdir_path):
@@ -91,31 +101,114 @@ def test_partitioned_sink_replaces_only_rewritten_dates(spark, tmpdir_path):
         "event_date=2024-01-01", "event_date=2024-01-02", "event_date=2024-01-03"]
 
 
-def test_incremental_streaming_ingest(spark, tmpdir_path):
+def test_incremental_ingest(spark, tmpdir_path):
     raw_dir = os.path.join(tmpdir_path, "raw")
-    out = os.path.join(tmpdir_path, "processed")
-    ckpt = os.path.join(tmpdir_path, "ckpt")
     os.makedirs(raw_dir)
     now = time.time()
     _csv(os.path.join(raw_dir, "2019-Oct.csv"),
          [_row("2024-01-01 01:00:00 UTC"), _row("2024-01-02 01:00:00 UTC", price="-5")], now - 300)
-    _csv(os.path.join(raw_dir, "2019-Nov.csv"),
-         [_row("2024-01-05 01:00:00 UTC", user=3)], now - 200)
+    _csv(os.path.join(raw_dir, "2019-Nov.csv"), [_row("2024-01-05 01:00:00 UTC", user=3)], now - 200)
 
-    assert run_incremental_ingest(spark, raw_dir, out, ckpt) == 2
-    assert ingest.read_partitioned(spark, out).count() == 3
-    assert run_incremental_ingest(spark, raw_dir, out, ckpt) == 0       # nothing new
+    first = _run(spark, tmpdir_path)
+    assert first["batches"] == 2 and first["status"] == "success" and first["total_rows"] == 3
+    assert [f["file"] for f in first["files"]] == ["2019-Nov.csv", "2019-Oct.csv"]     # by name
+    assert first["files"][1]["invalid_prices"] == 1 and first["files"][1]["partitions"] == 2
+    assert len(_rows(spark, tmpdir_path)) == 3
+    again = _run(spark, tmpdir_path)
+    assert (again["status"], again["batches"], again["files"]) == ("no_new_files", 0, [])
+    assert again["total_rows"] == 3
 
     _csv(os.path.join(raw_dir, "2019-Dec.csv"), [_row("2024-01-09 01:00:00 UTC", user=4)], now - 100)
-    assert run_incremental_ingest(spark, raw_dir, out, ckpt) == 1       # only the new file
-    assert ingest.read_partitioned(spark, out).count() == 4
+    third = _run(spark, tmpdir_path)
+    assert [f["file"] for f in third["files"]] == ["2019-Dec.csv"] and third["total_rows"] == 4
+    before = _rows(spark, tmpdir_path)
+    refreshed = _run(spark, tmpdir_path, full_refresh=True)
+    assert refreshed["batches"] == 3 and refreshed["total_rows"] == 4
+    assert _rows(spark, tmpdir_path) == before                              # idempotent
+    log = ingest_log(spark, os.path.join(tmpdir_path, "ckpt"))
+    assert log.count() == 6 and log.where("generation = 2").count() == 3
 
-    assert run_incremental_ingest(spark, raw_dir, out, ckpt, full_refresh=True) == 3
-    assert ingest.read_partitioned(spark, out).count() == 4            # idempotent replay
-    log = ingest_log(spark, out)
-    assert log.count() == 6
-    first = log.where(F.col("batch_id") == 0).orderBy("total_rows").collect()
-    assert any(r.invalid_prices == 1 and r.total_rows == 2 and r.partitions == 2 for r in first)
+
+def test_an_old_file_that_arrives_late_is_new(spark, tmpdir_path):
+    raw_dir = os.path.join(tmpdir_path, "raw")
+    os.makedirs(raw_dir)
+    _csv(os.path.join(raw_dir, "new.csv"), [_row("2024-02-01 01:00:00 UTC")])
+    assert _run(spark, tmpdir_path)["batches"] == 1
+    _csv(os.path.join(raw_dir, "old.csv"), [_row("2024-01-01 01:00:00 UTC")], time.time() - 30 * 86400)
+    assert [f["file"] for f in _run(spark, tmpdir_path)["files"]] == ["old.csv"]
+    assert len(_rows(spark, tmpdir_path)) == 2
+
+
+def test_many_files_are_all_counted(spark, tmpdir_path):
+    raw_dir = os.path.join(tmpdir_path, "raw")
+    os.makedirs(raw_dir)
+    for k in range(105):
+        _csv(os.path.join(raw_dir, f"{k:03d}.csv"), [_row(f"2024-01-{k % 28 + 1:02d} 01:00:00 UTC", user=k)])
+    r = _run(spark, tmpdir_path, files_per_batch=35, mode="per_file")
+    assert len(r["files"]) == 105 and r["batches"] == 3 and r["total_rows"] == 105
+    assert len(_rows(spark, tmpdir_path)) == 105
+
+
+def test_batch_size_does_not_change_the_rows(spark, tmpdir_path):
+    results = []
+    for n in (1, 2, 3):
+        tmp = os.path.join(tmpdir_path, str(n))
+        os.makedirs(os.path.join(tmp, "raw"))
+        for name, days in (("a", (1, 2)), ("b", (2, 3)), ("c", (3, 4))):
+            _csv(os.path.join(tmp, "raw", f"{name}.csv"),
+                 [_row(f"2024-01-{d:02d} 0{k}:00:00 UTC", user=ord(name)) for d in days for k in range(2)])
+        r = _run(spark, tmp, files_per_batch=n)
+        results.append((_rows(spark, tmp), [{k: v for k, v in f.items()} for f in r["files"]]))
+    assert results[0] == results[1] == results[2]
+    assert [(x[1].day, x[8]) for x in results[0][0]] == [
+        (1, 97)] * 2 + [(2, 98)] * 2 + [(3, 99)] * 2 + [(4, 99)] * 2
+
+
+def test_folders_may_be_uris(spark, tmpdir_path):
+    raw_dir = os.path.join(tmpdir_path, "raw")
+    os.makedirs(raw_dir)
+    _csv(os.path.join(raw_dir, "a.csv"), [_row("2024-01-01 01:00:00 UTC")])
+    here = set(os.listdir("."))
+    r = run_incremental_ingest(spark, f"file://{raw_dir}", f"file://{tmpdir_path}/processed",
+                               f"file://{tmpdir_path}/ckpt")
+    assert r["batches"] == 1 and set(os.listdir(".")) == here
+    assert len(_rows(spark, tmpdir_path)) == 1
+
+
+def test_header_order_and_bad_values(spark, tmpdir_path):
+    path = os.path.join(tmpdir_path, "f.csv")
+    with open(path, "w") as f:
+        f.write("user_id,extra,price,event_time,Event_Type,product_id,category_id,category_code,brand,user_session\n")
+        f.write("7,x,100000.004,2024-01-01 00:00:00 UTC,view,1,2,a.b,q,s\n")
+        f.write("8,x,-0.004,2024-01-01T00:00:01Z,cart,1,2,a.b,q,s\n")
+        f.write("9,x,20000000000,2024-01-01 00:00:02.5 UTC,purchase,1,2,a.b,q,s\n")
+        f.write("10,x,NaN,2024-01-01 02:00:03+02,purchase,1,2,a.b,q,s\n")
+        f.write("eleven,x,5.005,2024-01-01,view,1,2,a.b,q,s\n")
+        f.write("12,x,5,yesterday,view,1,2,a.b,q,s\n")
+    raw = read_raw_csv(spark, path)
+    got = sorted(ingest.clean_events(raw).collect(), key=lambda r: (r.user_id or 0, r.event_timestamp))
+    assert [(r.user_id, r.event_timestamp.second, None if r.price is None else float(r.price)) for r in got] == [
+        (None, 0, 5.01), (7, 0, None), (8, 1, None), (9, 2, None), (10, 3, None)]
+    assert {r.event_timestamp.date() for r in got} == {dt.date(2024, 1, 1)}
+    s = ingest.ingest_stats(raw).first()
+    assert s.invalid_prices == 4 and s.total_rows == 6 and s.processed_rows == 5
+    assert raw.where("unparsed").count() == 2
+    with open(path, "w") as f:
+        f.write("event_time,price\n")
+    with pytest.raises(ValueError, match="user_session"):
+        read_raw_csv(spark, path)
+
+
+def test_files_follow_the_data_not_the_tasks(spark, tmpdir_path):
+    rows = [(dt.datetime(2024, 1, d, h), "view", 1, 1, "a.b", "x", 1.0, d * h, "s")
+            for d in range(1, 29) for h in range(20)]
+    raw = spark.createDataFrame(rows, "event_time timestamp_ntz, event_type string, product_id long, "
+                                "category_id long, category_code string, brand string, price double, "
+                                "user_id long, user_session string").repartition(8)
+    out = os.path.join(tmpdir_path, "ev")
+    ingest.write_partitioned(ingest.clean_events(raw), out)
+    files = [f for _, _, names in os.walk(out) for f in names if f.endswith(".parquet")]
+    assert len(files) == 28
 
 
 def test_incremental_per_file_mode_is_lossless(spark, tmpdir_path):
@@ -145,8 +238,9 @@ def test_incremental_file_with_no_valid_rows(spark, tmpdir_path):
     out = os.path.join(tmpdir_path, "processed")
     os.makedirs(raw_dir)
     _csv(os.path.join(raw_dir, "bad.csv"), [_row("garbage"), _row("2024-01-01 01:00:00 UTC", etype="x")])
-    assert run_incremental_ingest(spark, raw_dir, out, os.path.join(tmpdir_path, "ck")) == 1
-    r = ingest_log(spark, out).first()
+    assert run_incremental_ingest(spark, raw_dir, out, os.path.join(tmpdir_path, "ck"))["batches"] == 1
+    r = ingest_log(spark, os.path.join(tmpdir_path, "ck")).first()
+    assert r.unparsed_rows == 1
     assert r.total_rows == 2 and r.processed_rows == 0 and r.invalid_event_types == 1
 
 
@@ -165,29 +259,31 @@ def test_staging_table_and_summary(spark, tmpdir_path):
     spark.sql("DROP TABLE shoplens_test_staging")
 
 
-def test_replay_after_crash_is_idempotent(spark, tmpdir_path):
-    """A crash after a batch wrote its files but before the commit record:
-    the next run replays that batch and the output is unchanged."""
+def test_replay_after_crash_is_idempotent(spark, tmpdir_path, monkeypatch):
+    """A crash after a batch wrote its files but before its ledger entry:
+    the next run redoes that batch and the output is unchanged."""
+    from shoplens.streaming import incremental
     raw_dir = os.path.join(tmpdir_path, "raw")
-    out = os.path.join(tmpdir_path, "processed")
-    ckpt = os.path.join(tmpdir_path, "ckpt")
     os.makedirs(raw_dir)
-    now = time.time()
     _csv(os.path.join(raw_dir, "a.csv"), [_row("2024-01-01 01:00:00 UTC", user=1),
-                                          _row("2024-01-02 01:00:00 UTC", user=1)], now - 20)
+                                          _row("2024-01-02 01:00:00 UTC", user=1)])
     _csv(os.path.join(raw_dir, "b.csv"), [_row("2024-01-02 05:00:00 UTC", user=2),
-                                          _row("2024-01-03 05:00:00 UTC", user=2)], now - 10)
-    assert run_incremental_ingest(spark, raw_dir, out, ckpt) == 2
-    before = sorted(map(tuple, ingest.read_partitioned(spark, out).collect()))
-    commits = os.path.join(ckpt, "gen-1", "commits")
-    os.remove(os.path.join(commits, "1"))              # batch 1 never committed
-    crc = os.path.join(commits, ".1.crc")
-    if os.path.exists(crc):
-        os.remove(crc)
-    assert run_incremental_ingest(spark, raw_dir, out, ckpt) == 1      # replayed
-    after = sorted(map(tuple, ingest.read_partitioned(spark, out).collect()))
-    assert after == before
-    assert run_incremental_ingest(spark, raw_dir, out, ckpt) == 0
+                                          _row("2024-01-03 05:00:00 UTC", user=2)])
+    whole = incremental._run_batch
+
+    def dies(spark, paths, *rest):
+        out = whole(spark, paths, *rest)
+        if paths[0].endswith("b.csv"):
+            raise RuntimeError("lost")
+        return out
+    monkeypatch.setattr(incremental, "_run_batch", dies)
+    with pytest.raises(RuntimeError, match="lost"):
+        _run(spark, tmpdir_path)
+    before = _rows(spark, tmpdir_path)
+    monkeypatch.setattr(incremental, "_run_batch", whole)
+    assert [f["file"] for f in _run(spark, tmpdir_path)["files"]] == ["b.csv"]
+    assert _rows(spark, tmpdir_path) == before
+    assert _run(spark, tmpdir_path)["batches"] == 0
 
 
 def test_many_files_per_batch_keep_per_file_sample(spark, tmpdir_path):
@@ -202,7 +298,7 @@ def test_many_files_per_batch_keep_per_file_sample(spark, tmpdir_path):
          [_row(f"2024-01-{d:02d} 05:00:00 UTC", user=2) for d in range(10, 28)], now - 10)
     n = run_incremental_ingest(spark, raw_dir, out, os.path.join(tmpdir_path, "ck"),
                                sample_weeks=1, files_per_batch=10, mode="per_file")
-    assert n == 1
+    assert n["batches"] == 1
     got = ingest.read_partitioned(spark, out).collect()
     assert sorted(r.event_date.day for r in got if r.user_id == 1) == list(range(1, 9))
     assert sorted(r.event_date.day for r in got if r.user_id == 2) == list(range(10, 18))

@@ -36,6 +36,17 @@ def test_end_to_end_incremental(spark, tmpdir_path):
     assert ret[(dt.date(2024, 1, 1), 1)] == 1      # user 2 came back in week 1
     assert ret[(dt.date(2024, 1, 8), 0)] == 1      # user 4's cohort
 
+    assert r2["total_rows"] == 7 and [f["file"] for f in r2["files"]] == ["b.csv"]
+    assert spark.table("staging.stg_events").count() == 7
+    assert spark.table("marts.fact_events").where("event_date = DATE'2024-01-09'").count() == 2
+    assert set(r2["names"]) == {"staging.stg_events", "marts.fact_events", "marts.fact_sessions",
+                                "marts.mart_funnel_daily", "marts.mart_retention_cohort_weekly",
+                                "marts.mart_category_growth_weekly", "marts.mart_rfm",
+                                "marts.mart_price_performance", "marts.mart_product_matrix"}
+    again = run_pipeline(spark, raw, out, check="date_range")
+    assert again["status"] == "no_new_files" and "fact" not in again["seconds"]
+    assert again["warehouse"].fact.count() == 7
+
     r3 = run_pipeline(spark, raw, out, sample_days=2, check="date_range")
     assert r3["batches"] == 0
     (rng,) = r3["checks"]["date_range"]
@@ -69,4 +80,4 @@ def test_no_raw_files(spark, tmpdir_path):
     raw = os.path.join(tmpdir_path, "raw")
     os.makedirs(raw)
     r = run_pipeline(spark, raw, os.path.join(tmpdir_path, "out"))
-    assert r["status"] == "no_data" and r["batches"] == 0 and r["checks"] == {}
+    assert r["files"] == [] and r["status"] == "no_data" and r["batches"] == 0 and r["checks"] == {}
