@@ -59,16 +59,12 @@ def _share(df: DataFrame, column: str, low: str, high: str) -> Column:
     return (c - first).cast("double") / (last - first).cast("double")
 
 
-def _bounds(df: DataFrame, searches: list[_Search]) -> None:
-    """Set the first bounds: smallest and largest value in scope."""
-    keys = list(dict.fromkeys((s.column, s.scope) for s in searches))
-    parts = [_scoped(df, scope).agg(
-        F.lit(i).alias("i"), F.min(c).cast("string").alias("low"),
-        F.max(c).cast("string").alias("high")) for i, (c, scope) in enumerate(keys)]
-    found = {keys[r["i"]]: r for r in reduce(DataFrame.unionByName, parts).collect()}
-    for s in searches:
-        r = found[s.column, s.scope]
-        s.low, s.high = r["low"], r["high"]
+def _bounds(df: DataFrame, columns: Sequence[str]) -> tuple[int, dict[str, tuple]]:
+    """(rows, column -> (smallest, largest value as text, values))."""
+    row = df.agg(F.count(F.lit(1)).alias("n"), *[x for c in columns for x in (
+        F.min(c).cast("string").alias(f"low_{c}"), F.max(c).cast("string").alias(f"high_{c}"),
+        F.count(c).alias(f"n_{c}"))]).first()
+    return row["n"], {c: (row[f"low_{c}"], row[f"high_{c}"], row[f"n_{c}"]) for c in columns}
 
 
 def _narrow(df: DataFrame, searches: list[_Search]) -> None:
@@ -95,61 +91,51 @@ def _narrow(df: DataFrame, searches: list[_Search]) -> None:
             s.below += r["n"]
 
 
-def _settle(df: DataFrame, searches: list[_Search]) -> None:
-    if not searches:
-        return
-    _bounds(df, searches)
+def _settle(df: DataFrame, searches: list[_Search], bounds: dict[str, tuple]) -> None:
+    for s in searches:
+        s.low, s.high = bounds[s.column][:2]
     while open_ones := [s for s in searches if s.low != s.high]:
         _narrow(df, open_ones)
 
 
-def rows_at(df: DataFrame, wanted: dict[str, tuple[Sequence[str], Sequence[int]]]
-            ) -> dict[str, list[list[str]]]:
+def rows_at(df: DataFrame, wanted: dict[str, tuple[Sequence[str], Sequence[int]]],
+            bounds: dict[str, tuple] | None = None) -> dict[str, list[list[str]]]:
     """The keys of the rows at given 0-based positions of ascending orders.
 
     ``wanted``: name -> ((key columns), positions); the key columns are
     numeric without NULLs, one or two of them (two must be a total order).
-    Returns the keys as exact text.  ``df`` should be a stored table.
+    Returns the keys as exact text.  ``df`` should be a stored table or a
+    cheap projection of one; ``bounds`` are the columns' known extremes.
     """
+    if bounds is None:
+        bounds = _bounds(df, sorted({c for cols, _ in wanted.values() for c in cols}))[1]
     first = {(name, p): _Search(cols[0], p) for name, (cols, ps) in wanted.items() for p in ps}
-    _settle(df, list(first.values()))
-    second = {}
-    for (name, p), s in first.items():
-        cols = wanted[name][0]
-        if len(cols) > 1:
-            # how many rows of this value stand before the position
-            second[name, p] = _Search(cols[1], p, scope=(cols[0], s.low))
-    under = _rows_under(df, {(s.column, s.low) for k, s in first.items() if k in second})
-    for k, s in second.items():
-        s.position -= under[first[k].column, first[k].low]
-    _settle(df, list(second.values()))
+    _settle(df, list(first.values()), bounds)
+    # Among the rows of that value, the position left by those below it.
+    second = {k: _Search(wanted[k[0]][0][1], k[1] - s.below, scope=(s.column, s.low))
+              for k, s in first.items() if len(wanted[k[0]][0]) > 1}
+    _settle(df, list(second.values()), bounds)
     return {name: [[first[name, p].low] + ([second[name, p].low] if (name, p) in second else [])
                    for p in ps] for name, (_, ps) in wanted.items()}
 
 
-def _rows_under(df: DataFrame, values: set[tuple[str, str]]) -> dict[tuple[str, str], int]:
-    if not values:
-        return {}
-    keys = sorted(values)
-    r = df.agg(*[F.count_if(F.col(c) < _literal(df, c, v)).alias(f"n{i}")
-                 for i, (c, v) in enumerate(keys)]).first()
-    return {k: r[f"n{i}"] for i, k in enumerate(keys)}
-
-
 def tile_starts(n: int, k: int) -> list[int]:
     """0-based first positions of tiles 2..k of NTILE(k) over ``n`` rows."""
     q, r = divmod(n, k)
     return [p for j in range(1, k) if (p := j * q + min(j, r)) < n]
 
 
-def add_ntiles(df: DataFrame, specs: dict[str, Sequence[str]], k: int) -> DataFrame:
+def add_ntiles(df: DataFrame, specs: dict[str, Sequence[str]], k: int,
+               stored: bool = False) -> DataFrame:
     """NTILE(k) columns, one per ``out -> ascending (value, tie-break)``.
 
-    The input is stored once; the k - 1 rows where a tile begins are found
-    and every row is compared with them."""
-    df = reliable(df)
-    starts = tile_starts(df.count(), k)
-    cuts = rows_at(df, {out: (keys, starts) for out, keys in specs.items()}) if starts else {}
+    The input is stored once, unless it is a table already; the k - 1 rows
+    where a tile begins are found and every row is compared with them."""
+    if not stored:
+        df = reliable(df)
+    n, bounds = _bounds(df, sorted({c for keys in specs.values() for c in keys}))
+    starts = tile_starts(n, k)
+    cuts = rows_at(df, {out: (keys, starts) for out, keys in specs.items()}, bounds) if starts else {}
     for out, keys in specs.items():
         tile = F.lit(1).cast("long")
         for cut in cuts.get(out, []):
@@ -164,15 +150,15 @@ def add_ntiles(df: DataFrame, specs: dict[str, Sequence[str]], k: int) -> DataFr
 
 def percentiles_cont(df: DataFrame, columns: Sequence[str], p: float) -> dict[str, float | None]:
     """Exact PERCENTILE_CONT(p) of several columns of a stored table."""
-    sizes = df.agg(*[F.count(c).alias(c) for c in columns]).first()
+    bounds = _bounds(df, columns)[1]
     wanted, share = {}, {}
     for c in columns:
-        if sizes[c]:
-            at = (sizes[c] - 1) * p
+        if size := bounds[c][2]:
+            at = (size - 1) * p
             low, high = math.floor(at), math.ceil(at)
             wanted[c] = ((c,), sorted({low, high}))
             share[c] = at - low
-    found = rows_at(df, wanted) if wanted else {}
+    found = rows_at(df, wanted, bounds) if wanted else {}
     out: dict[str, float | None] = {c: None for c in columns}
     for c, keys in found.items():
         low, high = float(keys[0][0]), float(keys[-1][0])

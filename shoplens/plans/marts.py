@@ -123,8 +123,8 @@ def rfm(fact: DataFrame, k: int = 5) -> DataFrame:
         F.count_distinct(F.when(et == "purchase", F.col("user_session"))).alias("frequency"),
         _zero_if_null(F.sum(F.when(et == "purchase", F.col("price")).otherwise(F.lit(0))))
          .alias("monetary")))
-    max_date = scalar(per_user.agg(F.max("last_seen_date")))
-    lowest = scalar(per_user.agg(F.min("user_id")))
+    ends = per_user.agg(F.max("last_seen_date"), F.min("user_id")).first()
+    max_date, lowest = F.lit(ends[0]).cast("date"), F.lit(ends[1]).cast("long")
     scored = (per_user
               .withColumn("recency_days", F.datediff(max_date, "last_seen_date").cast("long"))
               .withColumn("_recent", F.col("recency_days") <= RECENT_DAYS)
@@ -134,7 +134,7 @@ def rfm(fact: DataFrame, k: int = 5) -> DataFrame:
     scored = add_ntiles(scored, {
         "r_score": ["_neg_recency", "_uid"],
         "f_score": ["frequency", "_uid"],
-        "m_score": ["monetary", "_uid"]}, k)
+        "m_score": ["monetary", "_uid"]}, k, stored=True)
     r, f, m = F.col("r_score"), F.col("f_score"), F.col("m_score")
     recent = F.col("_recent")
     champions, loyal, potentials, new, at_risk, lost, others = RFM_SEGMENTS
