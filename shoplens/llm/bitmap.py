@@ -8,7 +8,8 @@ result, and a saturated bitmap merely lets everything through.
 from __future__ import annotations
 
 import numpy as np
-from pyspark.sql import DataFrame
+import pandas as pd
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 MAX_BITS = 1 << 27          # 16 MB, whatever the number of hashes
@@ -44,3 +45,21 @@ def contains(bitmap: np.ndarray, hashes: np.ndarray) -> np.ndarray:
     at = np.flatnonzero(found)
     found[at] = probe(hashes[at] >> np.uint64(PROBE_SHIFT))
     return found
+
+
+def split(df: DataFrame, key: Column, members: DataFrame, column: str
+          ) -> tuple[DataFrame, DataFrame]:
+    """(rows whose ``key`` may be among ``members``, rows whose key is not).
+
+    Lets a join move only the rows that it may touch: the second frame needs
+    no join at all.  ``key`` is a long; only it goes through Python.  ``df``
+    is read once for each frame.
+    """
+    shared = df.sparkSession.sparkContext.broadcast(build(members, column))   # of fixed size
+
+    @F.pandas_udf("boolean")
+    def maybe(keys: pd.Series) -> pd.Series:
+        return pd.Series(contains(shared.value, keys.to_numpy().view("uint64")))
+
+    hit = maybe(key)
+    return df.where(hit), df.where(~hit)

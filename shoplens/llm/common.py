@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 from shoplens.session import ensure_checkpoint_dir
 from shoplens.sources.tables import read_table
 
-__all__ = ["read_table", "materialize", "positions_in_groups", "md5_rank"]
+__all__ = ["read_table", "materialize", "positions_in_groups", "md5_rank", "document_name"]
 
 
 def materialize(df: DataFrame, name: str) -> DataFrame:
@@ -26,6 +26,11 @@ def materialize(df: DataFrame, name: str) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
+def document_name(doc_id: Column, text_hash: Column) -> Column:
+    """One long for (doc_id, text hash), the identity of a document."""
+    return F.xxhash64(doc_id.cast("long"), text_hash)
+
+
 def shuffle_partitions(spark: SparkSession) -> int:
     return int(spark.conf.get("spark.sql.shuffle.partitions", "200"))
 

@@ -32,7 +32,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from shoplens.llm import bitmap
-from shoplens.llm.common import materialize
+from shoplens.llm.common import document_name, materialize
 
 ROLL_LINES = 2              # lines under the rolling hash
 DIVISOR = 2                 # a boundary after every second line on average
@@ -146,22 +146,28 @@ def repeated_chunks(docs: DataFrame) -> DataFrame:
 
 def dedup_lines(docs: DataFrame) -> DataFrame:
     """``docs`` with the repeated chunks taken out of ``text``, plus
-    ``removed_chunks`` (how many)."""
+    ``removed_chunks`` (how many).
+
+    Only documents that may lose something are joined with their lists; the
+    texts of all others are not moved.
+    """
     gone = materialize(repeated_chunks(docs).select(
-        F.col("doc_id").alias("_id"), F.col("text_hash").alias("_hash"),
-        F.col("gone").alias("_gone")), "gone")
+        F.col("doc_id").alias("_id"), F.col("text_hash").alias("_hash"), F.col("gone").alias("_gone"),
+        document_name(F.col("doc_id"), F.col("text_hash")).alias("_name")), "gone")
 
     @F.pandas_udf("string")
     def cut(texts: pd.Series, lists: pd.Series) -> pd.Series:
         return pd.Series([without(t, g) for t, g in zip(texts.tolist(), lists.tolist())],
                          dtype=object)
 
-    joined = docs.join(gone, docs["doc_id"].cast("long").eqNullSafe(gone["_id"])
-                       & F.xxhash64(docs["text"]).eqNullSafe(gone["_hash"]), "left")
+    own = F.xxhash64(docs["text"])
+    some, rest = bitmap.split(docs, document_name(docs["doc_id"], own), gone, "_name")
+    columns = [c for c in docs.columns if c != "removed_chunks"]
+    joined = some.join(gone, some["doc_id"].cast("long").eqNullSafe(gone["_id"])
+                       & F.xxhash64(some["text"]).eqNullSafe(gone["_hash"]), "left")
     touched = gone["_gone"].isNotNull()
-    # Only the texts that lose something go through Python.
-    text = F.when(touched, cut(F.when(touched, docs["text"]), gone["_gone"])).otherwise(docs["text"])
-    return joined.select(
-        *[text.alias("text") if c == "text" else docs[c] for c in docs.columns
-          if c != "removed_chunks"],
+    text = F.when(touched, cut(F.when(touched, some["text"]), gone["_gone"])).otherwise(some["text"])
+    changed = joined.select(
+        *[text.alias("text") if c == "text" else some[c] for c in columns],
         F.coalesce(F.size(gone["_gone"]), F.lit(0)).alias("removed_chunks"))
+    return changed.unionByName(rest.select(*columns, F.lit(0).alias("removed_chunks")))
