@@ -127,7 +127,7 @@ judged AS (
 SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, base_failed,
        (NOT base_failed AND word_chars / n_words BETWEEN 2.0 AND 15.0
         AND n_symbols / n_words <= 0.1 AND shouts / n_words <= 0.3 AND capitals / n_words <= 0.4
-        AND stops / n_words BETWEEN 0.02 AND 0.8 AND n_dup_lines / n_lines <= 0.3
+        AND stops / n_words BETWEEN 0.02 AND 0.8 AND n_dup_lines / n_lines <= 0.5
         AND n_repeat_words / n_words <= 0.5) AS kept
 FROM judged"""
 

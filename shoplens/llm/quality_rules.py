@@ -41,7 +41,7 @@ RULES: list[tuple[str, float | None, float | None]] = [
     ("shout_ratio", None, 0.3),            # exclamation marks a word
     ("capital_ratio", None, 0.4),          # words without a lower-case letter
     ("stop_word_ratio", 0.02, 0.8),        # function words a word
-    ("dup_line_ratio", None, 0.3),         # repeated lines a line
+    ("dup_line_ratio", None, 0.5),         # repeated lines a line
     ("repeat_ratio", None, 0.5),           # words in repeated 3-word windows
 ]
 
