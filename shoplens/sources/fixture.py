@@ -6,7 +6,7 @@ deterministic rules shape them into the raw contract (event_time,
 event_type, product_id, category_id, category_code, brand, price, user_id,
 user_session) so that every model, edge case and segment is exercised.
 Every input row gives one raw row.  The cohort rules move a row to another
-user (``user_id + 1,000,000 * zone``) instead of dropping it, so weekly
+user (``user_id % 10 + 1,000,000 * zone``) instead of dropping it, so weekly
 cohorts, churned users and retention gaps exist among all rows.  The DuckDB
 oracle repeats the same rules.
 """
@@ -25,6 +25,8 @@ REPEAT_DAYS = 30                  # a third of the events each in days 0-, 30- a
 SESSION_SECONDS = 129600          # 36-hour session ids, so sessions cross midnight
 SHARED_SESSION_UPTO = 4           # users 0..4 share session ids
 ZONE_STEP = 1_000_000             # distance of the user ids of the zones
+ZONE_USERS = 10                   # users of each zone other than 0
+CHURN_DAY = 55                    # first day without every fifth user (plus 7 a cohort)
 NULL_TYPE_EVERY = 211             # event_id divisible: NULL event type
 NULL_TIME_EVERY = 331             # ... NULL time
 NULL_USER_EVERY = 401             # ... NULL user
@@ -48,7 +50,7 @@ def raw_events(events: DataFrame, part: DataFrame) -> DataFrame:
     dy, null_string = F.col("dy"), F.lit(None).cast("string")
 
     zone = (F.when(dy < 7 * (uid % 4), 1)
-            .when((uid % 5 == 0) & (dy >= 12 + 7 * (uid % 4)), 2)
+            .when((uid % 5 == 0) & (dy >= CHURN_DAY + 7 * (uid % 4)), 2)
             .when((uid % 3 == 0) & dy.between(14, 20), 3)
             .otherwise(0))
 
@@ -77,7 +79,7 @@ def raw_events(events: DataFrame, part: DataFrame) -> DataFrame:
              .when(rule == 4, F.lit(-0.004))
              .when(rule == 5, F.lit(2e10))
              .when(rule == 6, F.lit(float("nan")))
-             .otherwise(value * 3))
+             .otherwise(value * (3 + 9 * (eid % 4))))
 
     # Wall-clock micros since the epoch; NTZ arithmetic, so no time zone.
     micros = F.expr("timestampdiff(MICROSECOND, TIMESTAMP_NTZ'1970-01-01 00:00:00', time)")
@@ -94,7 +96,8 @@ def raw_events(events: DataFrame, part: DataFrame) -> DataFrame:
         code.alias("category_code"),
         F.when(size % 7 == 0, null_string).otherwise(F.col("p_brand")).alias("brand"),
         price.alias("price"),
-        unless(NULL_USER_EVERY, (uid + zone * ZONE_STEP).cast("long")).alias("user_id"),
+        unless(NULL_USER_EVERY, F.when(zone == 0, uid).otherwise(
+            uid % ZONE_USERS + zone * ZONE_STEP).cast("long")).alias("user_id"),
         unless(NULL_SESSION_EVERY, session).alias("user_session"),
     )
 

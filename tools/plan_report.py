@@ -30,24 +30,25 @@ PATTERNS = {
 def main(argv):
     data_dir = argv[1] if len(argv) > 1 else "/root/testdata/sf0.01"
     from shoplens.session import get_spark
-    import __spark_entry__ as entry
+    from shoplens import registry
     spark = get_spark("local[8]", shuffle_partitions=8,
                       extra={"spark.ui.showConsoleProgress": "false"})
     spark.sparkContext.setLogLevel("ERROR")
     spark.conf.set("spark.sql.maxMetadataStringLength", "10000")
     print("# Physical plans of the registered queries\n")
-    print(f"Generated by `tools/plan_report.py` on `{data_dir}` (initial adaptive plan, before "
-          "runtime re-planning). Counts of operators per plan; `scan cols` lists the columns "
+    print(f"Generated by `tools/plan_report.py` on `{data_dir}` (final adaptive plan, after "
+          "the query ran). Counts of operators per plan; `scan cols` lists the columns "
           "each Parquet scan reads. `single exch` comes from global aggregates (one partial "
-          "row per task), windows over small results (weeks, segments), and the one-bucket "
-          "case of the ranking operator (measured rows <= 1M).\n")
+          "row per task) and windows over small results (weeks).\n")
     print("| query | " + " | ".join(PATTERNS) + " | scan cols |")
     print("| --- | " + " | ".join("---" for _ in PATTERNS) + " | --- |")
-    for name, fn in entry.queries().items():
+    for name, fn in registry.queries().items():
         buf = io.StringIO()
+        df = fn(spark, data_dir)
+        df.collect()                    # the plan as executed
         with contextlib.redirect_stdout(buf):
-            fn(spark, data_dir).explain()
-        plan = buf.getvalue()
+            df.explain()
+        plan = buf.getvalue().split("== Initial Plan ==")[0]
         counts = [str(len(re.findall(p, plan))) for p in PATTERNS.values()]
         scans = []
         for line in plan.splitlines():
