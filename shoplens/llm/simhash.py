@@ -37,7 +37,8 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from shoplens.llm.common import materialize
+from shoplens.llm import bitmap
+from shoplens.llm.common import document_name, materialize
 from shoplens.llm.components import components
 
 SHINGLE_WORDS = 3
@@ -179,21 +180,30 @@ def keep_one(docs: DataFrame, threshold: int = MAX_BITS, width: int = SHINGLE_WO
     printed = materialize(docs.select(name.alias("name"),
                                       fingerprints(F.col("text"), width).alias("print")), "prints")
     found = _components_of(printed, "name", threshold)
-    kept = materialize(found.select("component").distinct()
-                       .select(F.col("component.doc_id").alias("_keep_id"),
-                               F.col("component.text_hash").alias("_keep_text")), "kept")
+    away = materialize(
+        printed.join(found, "print").where(F.col("name") != F.col("component"))
+        .select("name").distinct().select(
+            F.col("name.doc_id").alias("_id"), F.col("name.text_hash").alias("_text"),
+            document_name(F.col("name.doc_id"), F.col("name.text_hash")).alias("_name")), "away")
+    # Rows equal in doc_id and text answer to the same name; all but one go.
+    twice = materialize(
+        printed.groupBy("name").agg(F.count("*").alias("n")).where("n > 1").select(
+            F.col("name.doc_id").alias("_id"), F.col("name.text_hash").alias("_text"),
+            document_name(F.col("name.doc_id"), F.col("name.text_hash")).alias("_name")), "twice")
 
-    def named(other: DataFrame) -> Column:
-        return (docs["doc_id"].eqNullSafe(other["_keep_id"])
-                & F.xxhash64(docs["text"]).eqNullSafe(other["_keep_text"]))
+    def named(df: DataFrame, other: DataFrame) -> Column:
+        return (df["doc_id"].eqNullSafe(other["_id"])
+                & F.xxhash64(df["text"]).eqNullSafe(other["_text"]))
 
-    stay = docs.join(kept, named(kept), "left_semi")
-    # Rows equal in doc_id and text answer to the same name; all but one go.
-    twice = materialize(printed.groupBy("name").agg(F.count("*").alias("n")).where("n > 1")
-                        .select(F.col("name.doc_id").alias("_keep_id"),
-                                F.col("name.text_hash").alias("_keep_text")), "twice")
+    def split(df: DataFrame, other: DataFrame) -> tuple[DataFrame, DataFrame]:
+        name = document_name(df["doc_id"], F.xxhash64(df["text"]))
+        return bitmap.split(df, name, other, "_name")
+
+    some, rest = split(docs, away)
+    stay = some.join(away, named(some, away), "left_anti").unionByName(rest)
     if twice.isEmpty():
         return stay
-    single = stay.join(twice, named(twice), "left_anti")
-    return single.unionByName(
-        stay.join(twice, named(twice), "left_semi").dropDuplicates(["doc_id", "text"]))
+    some, rest = split(stay, twice)
+    single = some.join(twice, named(some, twice), "left_anti")
+    double = some.join(twice, named(some, twice), "left_semi").dropDuplicates(["doc_id", "text"])
+    return rest.unionByName(single).unionByName(double)
