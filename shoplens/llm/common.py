@@ -3,14 +3,17 @@
 from __future__ import annotations
 
 import uuid
+from collections.abc import Iterator
 
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from shoplens.session import ensure_checkpoint_dir
 from shoplens.sources.tables import read_table
 
-__all__ = ["read_table", "materialize", "positions_in_groups", "md5_rank", "document_name"]
+__all__ = ["read_table", "materialize", "positions_in_groups", "md5_rank", "document_name",
+           "slices"]
 
 
 def materialize(df: DataFrame, name: str) -> DataFrame:
@@ -26,6 +29,13 @@ def materialize(df: DataFrame, name: str) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
+def slices(batches: Iterator[pa.RecordBatch], rows: int = 1000) -> Iterator[pa.RecordBatch]:
+    """Arrow batches cut small, so that few texts are Python objects at once."""
+    for batch in batches:
+        for k in range(0, batch.num_rows, rows):
+            yield batch.slice(k, rows)
+
+
 def document_name(doc_id: Column, text_hash: Column) -> Column:
     """One long for (doc_id, text hash), the identity of a document."""
     return F.xxhash64(doc_id.cast("long"), text_hash)

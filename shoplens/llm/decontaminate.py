@@ -32,14 +32,14 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from shoplens.llm import bitmap
-from shoplens.llm.common import materialize
+from shoplens.llm.common import document_name, materialize, slices
 
 # Five selected tokens each.
 MASKS = ("11111", "110111", "111011", "1011011", "1101101")
 WINDOW = 13
 LEAST_TOKENS = 5
 BATCH_CHARS = 1 << 20
-MEMO_WORDS = 300_000
+MEMO_WORDS = 100_000
 
 _WORD = re.compile(r"\w+")
 _OFFSETS = tuple(tuple(i for i, c in enumerate(m) if c == "1") for m in MASKS)
@@ -163,7 +163,7 @@ def segments(docs: DataFrame, seen: np.ndarray) -> DataFrame:
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         kind = pa.list_(pa.struct([("hash", pa.int64()), ("at", pa.int32())]))
-        for batch in batches:
+        for batch in slices(batches):
             ids = batch.column("doc_id").to_pylist()
             hashes = batch.column("text_hash").to_pylist()
             for begin, texts in batched(batch.column("text").to_pylist()):
@@ -247,8 +247,11 @@ def overlaps(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
 
 def decontaminate(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
     """The rows of ``docs`` that overlap no benchmark item."""
-    bad = materialize(overlaps(docs, benchmark)
-                      .select(F.col("doc_id").alias("_bad_id"), F.col("text_hash").alias("_bad_text"))
-                      .distinct(), "contaminated")
-    return docs.join(bad, docs["doc_id"].cast("long").eqNullSafe(bad["_bad_id"])
-                     & F.xxhash64(docs["text"]).eqNullSafe(bad["_bad_text"]), "left_anti")
+    bad = materialize(
+        overlaps(docs, benchmark).select("doc_id", "text_hash").distinct().select(
+            F.col("doc_id").alias("_id"), F.col("text_hash").alias("_text"),
+            document_name(F.col("doc_id"), F.col("text_hash")).alias("_name")), "contaminated")
+    name = document_name(docs["doc_id"], F.xxhash64(docs["text"]))
+    some, rest = bitmap.split(docs, name, bad, "_name")
+    return some.join(bad, some["doc_id"].cast("long").eqNullSafe(bad["_id"])
+                     & F.xxhash64(some["text"]).eqNullSafe(bad["_text"]), "left_anti").unionByName(rest)

@@ -32,7 +32,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from shoplens.llm import bitmap
-from shoplens.llm.common import document_name, materialize
+from shoplens.llm.common import document_name, materialize, slices
 
 ROLL_LINES = 2              # lines under the rolling hash
 DIVISOR = 2                 # a boundary after every second line on average
@@ -102,7 +102,7 @@ def _chunk_rows(docs: DataFrame, repeated: np.ndarray | None) -> DataFrame:
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         import xxhash
-        for batch in batches:
+        for batch in slices(batches):
             row, number, body = [], [], []
             for r, text in enumerate(batch.column("text").to_pylist()):
                 for k, chunk in passages(text or ""):

@@ -32,7 +32,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from shoplens.llm import tokens
-from shoplens.llm.common import materialize, md5_rank, positions_in_groups
+from shoplens.llm.common import materialize, md5_rank, positions_in_groups, slices
 
 CAPACITY = 1024
 END_ID = 2
@@ -55,7 +55,7 @@ def pieces(docs: DataFrame, tokenizer: str, ranks: str | None,
     end = array("I", [END_ID]).tobytes()
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in slices(batches):
             doc_ids = batch.column("doc_id").to_pylist()
             texts = ["" if t is None else t for t in batch.column("text").to_pylist()]
             out: list[tuple] = []

@@ -26,7 +26,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 BATCH_BYTES = 1 << 20        # texts handed to the tokenizer at once
-MEMO_SEGMENTS = 300_000      # distinct segments in each half of a worker's memo
+MEMO_SEGMENTS = 100_000      # distinct segments in each half of a worker's memo
 MEMO_SEGMENT_CHARS = 64      # longer segments are encoded each time
 
 _SPACES = re.compile(r"\s\s")

@@ -82,3 +82,14 @@ def test_empty_sides(spark, docs, no_docs):
     assert D.overlaps(no_docs, bench).count() == 0
     assert D.overlaps(docs, bench.limit(0)).count() == 0
     assert D.decontaminate(docs, bench.limit(0)).count() == docs.count()
+
+
+def test_split_keeps_every_row(spark):
+    df = spark.range(2000).withColumn("text", F.concat(F.lit("t"), F.col("id").cast("string")))
+    members = spark.createDataFrame([(k,) for k in range(0, 2000, 7)], "m long").select(
+        F.xxhash64("m").alias("h"))
+    some, rest = bitmap.split(df, F.xxhash64("id"), members, "h")
+    a, b = ({r.id for r in x.collect()} for x in (some, rest))
+    assert not a & b and len(a) + len(b) == 2000 and set(range(0, 2000, 7)) <= a
+    some, rest = bitmap.split(df, F.xxhash64("id"), members.limit(0), "h")
+    assert some.count() == 0 and rest.count() == 2000

@@ -64,3 +64,13 @@ def test_pack(docs, rows, no_docs):
             at += length
         assert at <= 1024
     assert packing.pack(no_docs).count() == 0
+
+
+def test_slices_keep_all_rows():
+    import pyarrow as pa
+
+    from shoplens.llm.common import slices
+    batch = pa.RecordBatch.from_arrays([pa.array(range(2500))], ["x"])
+    parts = list(slices([batch, batch.slice(0, 0)], 1000))
+    assert [p.num_rows for p in parts] == [1000, 1000, 500]
+    assert [v for p in parts for v in p.column("x").to_pylist()] == list(range(2500))
