@@ -26,7 +26,7 @@ def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def repeated_lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """All documents, without line chunks that occur earlier in the corpus."""
+    """All documents, without passages of lines that occur earlier in the corpus."""
     out = line_dedup.dedup_lines(docs).drop("removed_chunks")
     return out.withColumn("n_chars", F.length("text").cast(docs.schema["n_chars"].dataType))
 

@@ -1,23 +1,32 @@
-"""Line deduplication over content-defined chunks of lines.
-
-A text is cut into chunks of lines.  A rolling hash over the last
-``ROLL_LINES`` line hashes chooses the boundaries, so a passage that moved
-to another place, or stands between other lines, is cut at the same lines
-again.  A line of more than ``LONG_LINE_WORDS`` words is a passage by itself
-and gets a chunk of its own.  Chunks of several lines (or one long line)
-that occur more than once in the corpus are removed, except for the first
-occurrence: the smallest (doc_id, text hash, chunk number).
-
-Hashes only propose.  Chunk hashes are counted first; the texts of chunks
+"""Line deduplication over windows of lines.
+
+A run of consecutive lines is a passage if it has at least ``MIN_LINES``
+lines with text and ``MIN_WORDS`` words, or more than ``LONG_LINE_WORDS``
+words.  Every line of a passage that also stands at an earlier place of the
+corpus is removed; places are ordered by (doc_id, text hash, line).
+
+No passage has to be found as a whole.  Its windows are enough: from each
+line the shortest passage that begins there, and up to each line the shortest
+one that ends there.  A longer run stays a passage, so the first window of a
+repeated run and the windows that end at its later lines lie inside the run,
+repeat with it and cover all its lines; and a window that repeats is itself a
+repeated passage.  A text of n lines has at most 2 n windows, none longer than
+``MAX_LINES`` lines, wherever the run begins and whatever stands around it.
+
+Hashes only propose.  Window hashes are counted first; the texts of windows
 whose hash repeats are then grouped by their bytes, and only equal bytes
 count as an occurrence.  A fixed-size bitmap of the repeated hashes decides
-which chunk texts are stored at all, so unique text is not moved before the
-last join, which brings each document its list of removed chunks.
+which window texts are stored at all, so unique text is not moved before the
+last join, which brings each document its list of repeated windows.
+
+Blank lines belong to the line with text before them (those at the top to the
+first one) and go with it.
 
 Defined results: a null text stays null, an empty one empty; a text whose
-chunks are all removed becomes empty; rows equal in doc_id and text are one
-document and stay equal; a chunk that repeats inside one document keeps its
-first place; a null doc_id orders before all others; other columns pass
+lines are all removed becomes empty; rows equal in doc_id and text are one
+document and stay equal; a passage that repeats inside one document keeps its
+first place, also if the places overlap (a line repeated many times in a row
+is left once); a null doc_id orders before all others; other columns pass
 through; an empty table gives no rows.
 """
 
@@ -34,119 +43,164 @@ from pyspark.sql import functions as F
 from shoplens.llm import bitmap
 from shoplens.llm.common import document_name, materialize, slices
 
-ROLL_LINES = 2              # lines under the rolling hash
-DIVISOR = 2                 # a boundary after every second line on average
 MIN_LINES = 2
-MAX_LINES = 16
-MIN_WORDS = 10              # shorter chunks repeat by chance
-LONG_LINE_WORDS = 50
-_MIX = 0x9E3779B97F4A7C15
-_LOW = (1 << 64) - 1
-_ROLL_BITS = 64 // ROLL_LINES
+MIN_WORDS = 10              # shorter passages repeat by chance
+LONG_LINE_WORDS = 50        # a single line of more words is a passage
+MAX_LINES = max(MIN_LINES, MIN_WORDS)       # of a window: every line has a word
+_MIX = np.uint64(0x9E3779B97F4A7C15)
 
 
 def chunks(lines: list[bytes]) -> list[tuple[int, int]]:
-    """(first line, end line) of the chunks, in order and without gaps."""
-    import xxhash
-    out: list[tuple[int, int]] = []
-    begin, roll = 0, 0
-    for i, line in enumerate(lines):
-        if len(line) > 2 * LONG_LINE_WORDS and len(line.split()) > LONG_LINE_WORDS:
-            if begin < i:
-                out.append((begin, i))
-            out.append((i, i + 1))
-            begin, roll = i + 1, 0
-            continue
-        own = xxhash.xxh64_intdigest(line)
-        # the shift moves a line's bits out after ROLL_LINES steps
-        roll = (roll << _ROLL_BITS | own & (1 << _ROLL_BITS) - 1) & _LOW
-        size = i + 1 - begin
-        cut = (roll * _MIX & _LOW) >> 40
-        if size >= MAX_LINES or (size >= MIN_LINES and cut % DIVISOR == 0):
-            out.append((begin, i + 1))
-            begin = i + 1
-    if begin < len(lines):
-        out.append((begin, len(lines)))
-    return out
+    """(first line, end line) of each line with text and the blank lines that
+    belong to it, in order and without gaps."""
+    starts = [i for i, line in enumerate(lines) if line.strip()] or [0]
+    starts[0] = 0
+    return list(zip(starts, [*starts[1:], len(lines)])) if lines else []
+
+
+def _bounds(words: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """For lines of so many words: the end of the window that begins at each
+    line and the start of the one that ends with it.  Windows that do not fit
+    end beyond the last line or start at -1."""
+    total = np.concatenate(([0], np.cumsum(words)))
+    at = np.arange(len(words))
+    ends = np.minimum(
+        np.searchsorted(total, total[:-1] + LONG_LINE_WORDS, "right"),
+        np.maximum(at + MIN_LINES, np.searchsorted(total, total[:-1] + MIN_WORDS, "left")))
+    starts = np.maximum(
+        np.searchsorted(total, total[1:] - LONG_LINE_WORDS, "left") - 1,
+        np.minimum(at + 1 - MIN_LINES, np.searchsorted(total, total[1:] - MIN_WORDS, "right") - 1))
+    return ends, np.maximum(starts, -1)
+
+
+def windows(words: np.ndarray, lengths: np.ndarray) -> tuple[np.ndarray, ...]:
+    """(document, number, first line, end line) of all windows of documents of
+    ``lengths`` lines.  A document of n lines numbers the windows by their
+    first line, then, from n on, by their last line those that are not the
+    shortest from their first line."""
+    high = np.cumsum(lengths)
+    document = np.repeat(np.arange(len(lengths)), lengths)
+    begin = (high - lengths)[document]
+    at = np.arange(len(words))
+    ends, starts = _bounds(words)
+    a = np.flatnonzero(ends <= high[document])
+    b = np.flatnonzero((starts >= begin) & (ends[starts] != at + 1))
+    return (np.concatenate((document[a], document[b])),
+            np.concatenate(((at - begin)[a], (lengths[document] + at - begin)[b])),
+            np.concatenate((a, starts[b])), np.concatenate((ends[a], b + 1)))
+
+
+def _text_lines(texts: list[str | None]) -> tuple[list[bytes], np.ndarray, np.ndarray]:
+    """(the lines with text, their words, lines of each text) of some texts."""
+    lines, words, lengths = [], [], []
+    for text in texts:
+        raw = (text or "").encode("utf-8", "surrogatepass").split(b"\n")
+        before = len(lines)
+        for a, b in chunks(raw):
+            unit = b"\n".join(raw[a:b])
+            count = len(unit.split())
+            if count:
+                lines.append(unit)
+                words.append(count)
+        lengths.append(len(lines) - before)
+    return lines, np.array(words, dtype="int64"), np.array(lengths, dtype="int64")
 
 
 def passages(text: str) -> Iterator[tuple[int, bytes]]:
-    """(chunk number, bytes) of the chunks that may be removed."""
-    raw = text.encode("utf-8", "surrogatepass")
-    lines = raw.split(b"\n")
-    if len(lines) < MIN_LINES and len(raw) <= 2 * LONG_LINE_WORDS:
-        return
-    for k, (a, b) in enumerate(chunks(lines)):
-        chunk = b"\n".join(lines[a:b])
-        words = len(chunk.split())
-        several = b - a >= MIN_LINES and sum(1 for x in lines[a:b] if x.strip()) >= MIN_LINES
-        if words > LONG_LINE_WORDS or several and words >= MIN_WORDS:
-            yield k, chunk
+    """(number, bytes) of the windows of a text."""
+    lines, words, lengths = _text_lines([text])
+    _, number, first, end = windows(words, lengths)
+    for k, a, b in zip(number.tolist(), first.tolist(), end.tolist()):
+        yield k, b"\n".join(lines[a:b])
 
 
 def without(text: str | None, gone: list[int] | None) -> str | None:
-    """The text without the chunks of the given numbers."""
+    """The text without the lines of the windows of the given numbers."""
     if text is None or gone is None or len(gone) == 0:
         return text
     lines = text.encode("utf-8", "surrogatepass").split(b"\n")
-    removed = set(gone)
-    kept = [x for k, (a, b) in enumerate(chunks(lines)) if k not in removed for x in lines[a:b]]
+    units = chunks(lines)
+    n = len(units)
+    ends, starts = _bounds(np.array([len(b" ".join(lines[a:b]).split()) for a, b in units]))
+    keep = np.ones(n, dtype=bool)
+    for k in gone:
+        if k < n:
+            keep[k:ends[k]] = False
+        else:
+            keep[starts[k - n]:k - n + 1] = False
+    kept = [x for (a, b), k in zip(units, keep.tolist()) if k for x in lines[a:b]]
     return b"\n".join(kept).decode("utf-8", "surrogatepass")
 
 
+def _window_hashes(lines: np.ndarray, first: np.ndarray, end: np.ndarray) -> np.ndarray:
+    """One hash per window from the hashes of its lines."""
+    out = np.zeros(len(first), dtype="uint64")
+    for k in range(MAX_LINES):
+        at = np.flatnonzero(first + k < end)
+        h = (out[at] + lines[first[at] + k]) * _MIX
+        out[at] = h ^ h >> np.uint64(29)
+    return out
+
+
 def _chunk_rows(docs: DataFrame, repeated: np.ndarray | None) -> DataFrame:
-    """The removable chunks of ``docs(doc_id, text_hash, text)``: all hashes,
-    or, given a bitmap, the chunks whose hash may be in it with their bytes."""
+    """The windows of ``docs(doc_id, text_hash, text)``: all hashes, or, given
+    a bitmap, the windows whose hash may be in it with their bytes."""
     shared = (None if repeated is None else
               docs.sparkSession.sparkContext.broadcast(repeated))     # of fixed size
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         import xxhash
-        for batch in slices(batches):
-            row, number, body = [], [], []
-            for r, text in enumerate(batch.column("text").to_pylist()):
-                for k, chunk in passages(text or ""):
-                    row.append(r)
-                    number.append(k)
-                    body.append(chunk)
-            hashes = np.fromiter(map(xxhash.xxh64_intdigest, body), "uint64", len(body))
-            at = (np.arange(len(body)) if shared is None else
-                  np.flatnonzero(bitmap.contains(shared.value, hashes)))
-            take = pa.array(np.array(row, dtype="int64")[at])
-            arrays = [pa.array(hashes[at].view("int64")),
-                      batch.column("doc_id").take(take), batch.column("text_hash").take(take),
-                      pa.array(np.array(number, dtype="int32")[at])]
-            if shared is not None:
-                arrays.append(pa.array([body[i] for i in at], pa.binary()))
-            yield pa.RecordBatch.from_arrays(arrays, names[:len(arrays)])
-
-    names = ["hash", "doc_id", "text_hash", "chunk", "body"]
-    kind = "hash long, doc_id long, text_hash long, chunk int"
-    return docs.mapInArrow(run, kind + ", body binary" * (shared is not None))
+        for batch in slices(batches, 200):
+            lines, words, lengths = _text_lines(batch.column("text").to_pylist())
+            document, number, first, end = windows(words, lengths)
+            hashes = _window_hashes(
+                np.fromiter(map(xxhash.xxh64_intdigest, lines), "uint64", len(lines)), first, end)
+            if shared is None:
+                yield pa.RecordBatch.from_arrays([pa.array(hashes.view("int64"))], ["hash"])
+                continue
+            at = np.flatnonzero(bitmap.contains(shared.value, hashes))
+            take = pa.array(document[at])
+            body = [b"\n".join(lines[a:b]) for a, b in zip(first[at].tolist(), end[at].tolist())]
+            yield pa.RecordBatch.from_arrays(
+                [pa.array(hashes[at].view("int64")),
+                 batch.column("doc_id").take(take), batch.column("text_hash").take(take),
+                 pa.array(number[at].astype("int32")), pa.array(body, pa.binary())],
+                ["hash", "doc_id", "text_hash", "chunk", "body"])
+
+    return docs.mapInArrow(run, "hash long" if shared is None else
+                           "hash long, doc_id long, text_hash long, chunk int, body binary")
 
 
 def repeated_chunks(docs: DataFrame) -> DataFrame:
-    """(doc_id, text_hash, gone): the chunk numbers each document loses."""
+    """(doc_id, text_hash, gone): the windows of each document that stand at
+    an earlier place."""
     keyed = docs.select(F.col("doc_id").cast("long"), F.xxhash64("text").alias("text_hash"),
                         "text")
     hashes = materialize(_chunk_rows(keyed, None).groupBy("hash")
                          .agg(F.count("*").alias("n")).where("n > 1").select("hash"), "repeated")
     found = materialize(_chunk_rows(keyed, bitmap.build(hashes, "hash")), "chunks")
     place = F.struct("doc_id", "text_hash", "chunk")
-    first = materialize(found.groupBy("hash", "body").agg(
-        F.min(place).alias("first"), F.max(place).alias("last"))
-        .where(~F.col("first").eqNullSafe(F.col("last")))
-        .select("hash", "body", "first"), "first")
-    later = (found.join(first, ["hash", "body"])
-             .where(~place.eqNullSafe(F.col("first")))
-             .select("doc_id", "text_hash", "chunk"))
+    bodies = materialize(found.groupBy("hash", "body").agg(
+        F.min(place).alias("first"), F.max(place).alias("last")), "first")
+    # A hash of one body needs no bytes to find it again; others are joined by them.
+    single = materialize(bodies.groupBy("hash").agg(
+        F.count("*").alias("n"), F.min("first").alias("first"), F.max("last").alias("last")),
+        "single")
+    moved = ~F.col("first").eqNullSafe(F.col("last"))
+    mixed = single.where("n > 1").select("hash")
+    several = bodies.where(moved).join(mixed, "hash", "left_semi").select("hash", "body", "first")
+    later = (found.drop("body").join(single.where("n = 1").where(moved).select("hash", "first"),
+                                     "hash").select("first", "doc_id", "text_hash", "chunk")
+             .unionByName(found.join(several, ["hash", "body"])
+                          .select("first", "doc_id", "text_hash", "chunk"))
+             .where(~place.eqNullSafe(F.col("first"))))
     return later.groupBy("doc_id", "text_hash").agg(
         F.sort_array(F.collect_set("chunk")).alias("gone"))
 
 
 def dedup_lines(docs: DataFrame) -> DataFrame:
-    """``docs`` with the repeated chunks taken out of ``text``, plus
-    ``removed_chunks`` (how many).
+    """``docs`` with the repeated passages taken out of ``text``, plus
+    ``removed_chunks`` (how many of its windows stand at an earlier place).
 
     Only documents that may lose something are joined with their lists; the
     texts of all others are not moved.
