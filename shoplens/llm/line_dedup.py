@@ -19,8 +19,8 @@ count as an occurrence.  A fixed-size bitmap of the repeated hashes decides
 which window texts are stored at all, so unique text is not moved before the
 last join, which brings each document its list of repeated windows.
 
-Blank lines belong to the line with text before them (those at the top to the
-first one) and go with it.
+Blank lines count for nothing and are not compared: they belong to the line
+with text before them (those at the top to the first one) and go with it.
 
 Defined results: a null text stays null, an empty one empty; a text whose
 lines are all removed becomes empty; rows equal in doc_id and text are one
@@ -96,11 +96,10 @@ def _text_lines(texts: list[str | None]) -> tuple[list[bytes], np.ndarray, np.nd
     for text in texts:
         raw = (text or "").encode("utf-8", "surrogatepass").split(b"\n")
         before = len(lines)
-        for a, b in chunks(raw):
-            unit = b"\n".join(raw[a:b])
-            count = len(unit.split())
+        for line in raw:
+            count = len(line.split())
             if count:
-                lines.append(unit)
+                lines.append(line)
                 words.append(count)
         lengths.append(len(lines) - before)
     return lines, np.array(words, dtype="int64"), np.array(lengths, dtype="int64")

@@ -67,3 +67,26 @@ def test_runs_as_brute_force_finds_them(spark):
     want = brute(docs)
     assert 40 < sum(want[d] != t for d, t in docs) < 110
     assert dedup(spark, docs) == want
+
+
+def test_blank_lines_count_for_nothing(spark):
+    """Paragraphs between blank lines go as a run, however they are spaced."""
+    rng = random.Random(9)
+    for words in (5, 20, 45):
+        passage = [own(rng, words) for _ in range(12)]
+        docs = [(0, "\n".join([own(rng), *passage, own(rng)])),
+                (1, own(rng) + "\n\n" + "\n\n".join(passage) + "\n\n" + "end " + own(rng)),
+                (2, "\n \n" + own(rng) + "\n" + "\n\t\n\n".join(passage) + "\n\n\nend " + own(rng)),
+                (3, "\n\n" + "\n\n".join(passage) + "\n"), (4, "\n \n"), (5, "\n \n")]
+        got = dedup(spark, docs)
+        assert got[0] == docs[0][1] and got[3] == "" and got[4] == got[5] == "\n \n"
+        for k, gap in ((1, "\n\n"), (2, "\n")):
+            head, tail = docs[k][1].split(passage[0])[0], docs[k][1][docs[k][1].index("end "):]
+            assert head.endswith(gap) and got[k] == head + tail
+
+
+def test_length_is_judged_over_the_whole_run(spark):
+    """Many short lines make one passage; each chunk of them would be too short."""
+    notice = [f"n{k} n{k}" for k in range(12)]
+    docs = [(k, "\n".join([f"own {k}", *notice, f"end {k}"])) for k in range(4)]
+    assert dedup(spark, docs) == {k: t if k == 0 else f"own {k}\nend {k}" for k, t in docs}
