@@ -4,7 +4,10 @@ Texts become lower-case word tokens (letters, digits, underscore), each one
 a 64-bit hash.  A seed is the hash of the tokens that a fixed mask selects
 around a place; positions under a zero are ignored, so a replaced word there
 does not spoil the seed.  ``MASKS`` catch every placement of up to
-two replaced words in a window of ``WINDOW`` tokens (tested).
+two replaced words in a window of ``WINDOW`` tokens.  An item that is shorter
+is compared as a whole; where ``MASKS`` miss a placement that the comparison
+accepts, ``SHORT_MASKS`` add seeds for items of that length, down to single
+words (all tested).  Documents get them only if the benchmark has such items.
 
 Training and test seeds are joined by hash.  A hit names a diagonal: the
 document place minus the item place.  Along it, tokens are compared one by
@@ -15,9 +18,9 @@ Only tokens around possible hits are stored: a fixed-size bitmap of all test
 seeds thins out the training seeds before the join.  The join itself,
 the diagonals and the comparison are ordinary shuffles.
 
-Defined results: null and empty texts match nothing; items of fewer than
-five tokens have no seed and match nothing; rows that share doc_id and text
-are one document; a null doc_id is reported as null; an empty table on
+Defined results: null, empty and wordless texts match nothing; an item of
+fewer than five tokens matches wherever it stands word for word; rows that
+share doc_id and text are one document; a null doc_id is reported as null; an empty table on
 either side gives no rows.
 """
 
@@ -34,18 +37,22 @@ from pyspark.sql import functions as F
 from shoplens.llm import bitmap
 from shoplens.llm.common import document_name, materialize, slices
 
-# Five selected tokens each.
+# Five selected tokens each, fewer in items of up to five.
 MASKS = ("11111", "110111", "111011", "1011011", "1101101")
+SHORT_MASKS = {1: ("1",), 2: ("11",), 3: ("111",), 4: ("1111",),
+               5: ("1111", "10111", "11011", "11101"), 6: ("101111", "111101"),
+               10: ("11000111",), 11: ("101111",)}
+EVERY_MASK = tuple(dict.fromkeys(MASKS + sum(SHORT_MASKS.values(), ())))
 WINDOW = 13
-LEAST_TOKENS = 5
+LEAST_TOKENS = 1
 BATCH_CHARS = 1 << 20
 MEMO_WORDS = 100_000
 
 _WORD = re.compile(r"\w+")
-_OFFSETS = tuple(tuple(i for i, c in enumerate(m) if c == "1") for m in MASKS)
+_OFFSETS = tuple(tuple(i for i, c in enumerate(m) if c == "1") for m in EVERY_MASK)
 _FACTORS = np.array([0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F, 0x165667B19E3779F9,
                      0xD6E8FEB86659FD93, 0xA0761D6478BD642F], dtype="uint64")
-SPAN = max(map(len, MASKS))
+SPAN = max(map(len, EVERY_MASK))
 
 
 class _WordHashes(dict):
@@ -69,7 +76,7 @@ def token_hashes(text: str | None) -> np.ndarray:
 
 def seeds(tokens: np.ndarray, mask: int) -> np.ndarray:
     """The seed hash of one mask at each place where it fits."""
-    n = len(tokens) - len(MASKS[mask]) + 1
+    n = len(tokens) - len(EVERY_MASK[mask]) + 1
     if n <= 0:
         return np.zeros(0, dtype="uint64")
     total = np.full(n, mask + 1, dtype="uint64")
@@ -80,6 +87,14 @@ def seeds(tokens: np.ndarray, mask: int) -> np.ndarray:
     return total ^ total >> np.uint64(29)
 
 
+def masks_for(sizes: list[int]) -> list[int]:
+    """The masks (places in ``EVERY_MASK``) that find items of these sizes."""
+    names = {m for n in sizes for m in SHORT_MASKS.get(n, ())}
+    if any(n >= len(MASKS[0]) for n in sizes):
+        names |= set(MASKS)
+    return [k for k, m in enumerate(EVERY_MASK) if m in names]
+
+
 # -- test side ------------------------------------------------------------
 
 def item_tokens(benchmark: DataFrame) -> DataFrame:
@@ -101,7 +116,7 @@ def item_seeds(items: DataFrame) -> DataFrame:
             for item, tokens in zip(batch.column("item").to_pylist(),
                                     batch.column("tokens").to_pylist()):
                 own = np.array(tokens, dtype="int64").view("uint64")
-                for mask in range(len(MASKS)):
+                for mask in masks_for([len(own)]):
                     h = seeds(own, mask).view("int64")
                     if len(h):
                         yield pa.RecordBatch.from_arrays(
@@ -117,12 +132,13 @@ SEGMENTS = ("doc_id long, text_hash long, start int, tokens array<long>, "
             "hits array<struct<hash:long,at:int>>")
 
 
-def _segments(lengths: np.ndarray, tokens: np.ndarray, maybe) -> Iterator[tuple]:
+def _segments(lengths: np.ndarray, tokens: np.ndarray, masks: list[int],
+              maybe) -> Iterator[tuple]:
     """(document, start, tokens, hashes, places) around possible hits."""
     ends = np.cumsum(lengths)
     document = np.repeat(np.arange(len(lengths)), lengths)
     found_at, found_hash = [], []
-    for mask in range(len(MASKS)):
+    for mask in masks:
         h = seeds(tokens, mask)
         if not len(h):
             continue
@@ -147,8 +163,9 @@ def _segments(lengths: np.ndarray, tokens: np.ndarray, maybe) -> Iterator[tuple]
         yield doc, low - begin, tokens[low:high], h[a:b], at[a:b] - begin
 
 
-def segments(docs: DataFrame, seen: np.ndarray) -> DataFrame:
-    """Stretches of ``docs(doc_id, text_hash, text)`` with possible hits."""
+def segments(docs: DataFrame, seen: np.ndarray, masks: list[int]) -> DataFrame:
+    """Stretches of ``docs(doc_id, text_hash, text)`` with possible hits of
+    the given masks."""
     shared = docs.sparkSession.sparkContext.broadcast(seen)     # of fixed size
 
     def batched(texts: list[str | None]) -> Iterator[tuple[int, list]]:
@@ -169,7 +186,7 @@ def segments(docs: DataFrame, seen: np.ndarray) -> DataFrame:
             for begin, texts in batched(batch.column("text").to_pylist()):
                 own = [token_hashes(t) for t in texts]
                 lengths = np.array([len(x) for x in own], dtype="int64")
-                rows = list(_segments(lengths, np.concatenate(own),
+                rows = list(_segments(lengths, np.concatenate(own), masks,
                                       lambda h: bitmap.contains(shared.value, h)))
                 if rows:
                     yield pa.RecordBatch.from_arrays([
@@ -229,7 +246,9 @@ def overlaps(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
     test = materialize(item_seeds(items), "test_seeds")
     keyed = docs.select(F.col("doc_id").cast("long"), F.xxhash64("text").alias("text_hash"),
                         "text")
-    stretch = materialize(segments(keyed, bitmap.build(test, "hash"))
+    sizes = (items.select(F.least(F.size("tokens"), F.lit(WINDOW)).alias("n"))
+             .distinct().toArrow().column("n").to_pylist())             # at most WINDOW values
+    stretch = materialize(segments(keyed, bitmap.build(test, "hash"), masks_for(sizes))
                           .withColumn("segment", F.monotonically_increasing_id()), "segments")
     train = stretch.select("segment", F.explode("hits").alias("hit")).select(
         "segment", F.col("hit.hash").alias("hash"), F.col("hit.at").alias("doc_at"))
