@@ -219,13 +219,18 @@ def best_window(segment: np.ndarray, start: int, item: np.ndarray,
     return int(sums[k]), window, low + k + diagonal
 
 
+def _arrays(column: pa.ListArray) -> Iterator[np.ndarray]:
+    """The rows of a list column as views of its values."""
+    values, ends = column.values.to_numpy(), column.offsets.to_pylist()
+    return (values[a:b] for a, b in zip(ends, ends[1:]))
+
+
 def _verify(pairs: DataFrame) -> DataFrame:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            cols = [batch.column(c).to_pylist() for c in
-                    ("start", "tokens", "item_tokens", "diagonal")]
-            best = [best_window(np.array(t, dtype="int64"), s, np.array(i, dtype="int64"), d)
-                    for s, t, i, d in zip(*cols)]
+            best = [best_window(t, s, i, d) for s, t, i, d in zip(
+                batch.column("start").to_pylist(), _arrays(batch.column("tokens")),
+                _arrays(batch.column("item_tokens")), batch.column("diagonal").to_pylist())]
             same, window, place = (np.array(x, dtype="int32") for x in
                                    (zip(*best) if best else ((), (), ())))
             kept = pa.array(5 * same >= 4 * window)
@@ -254,8 +259,15 @@ def overlaps(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
         "segment", F.col("hit.hash").alias("hash"), F.col("hit.at").alias("doc_at"))
     hits = materialize(train.join(test, "hash").select(
         "segment", "item", (F.col("doc_at") - F.col("at")).alias("diagonal")).distinct(), "hits")
-    sides = (hits.join(stretch.drop("hits"), "segment")
-             .join(items.select("item", "item_id", F.col("tokens").alias("item_tokens")), "item"))
+    # A hit takes along only the part of its segment that its item can cover.
+    reach = items.select("item", F.size("tokens").alias("n"))
+    low = F.greatest("start", "diagonal")
+    high = F.least(F.col("start") + F.size("tokens"), F.col("diagonal") + F.col("n"))
+    parts = hits.join(reach, "item").join(stretch.drop("hits"), "segment").select(
+        "doc_id", "text_hash", "item", "diagonal", low.alias("start"),
+        F.slice("tokens", low - F.col("start") + 1, high - low).alias("tokens"))
+    sides = parts.join(
+        items.select("item", "item_id", F.col("tokens").alias("item_tokens")), "item")
     found = _verify(sides.select("doc_id", "text_hash", "item_id", "start", "tokens",
                                  "item_tokens", "diagonal"))
     best = F.max(F.struct("matched", (-F.col("place")).alias("back"), "window"))

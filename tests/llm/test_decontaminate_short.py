@@ -35,3 +35,21 @@ def test_short_items_as_brute_force_finds_them(spark):
                                   "item_id long, text string")
     found = D.overlaps(df, bench)
     assert {(r.doc_id, r.item_id, r.matched) for r in found.collect()} == want
+
+
+def test_a_hit_carries_no_more_than_its_item_covers(spark, monkeypatch):
+    passage = " ".join(f"p{k}" for k in range(20))
+    df = spark.createDataFrame([(1, " x ".join([passage] * 60)), (2, "y " + passage)],
+                               "doc_id long, text string")
+    bench = spark.createDataFrame([(7, "z " + passage + " z"), (8, "p3 p4")],
+                                  "item_id long, text string")
+    verify, carried = D._verify, []
+
+    def spy(pairs):
+        carried.extend(pairs.selectExpr("size(tokens)", "size(item_tokens)").collect())
+        return verify(pairs)
+
+    monkeypatch.setattr(D, "_verify", spy)
+    found = {(r.doc_id, r.item_id, r.matched, r.place) for r in D.overlaps(df, bench).collect()}
+    assert found == {(1, 7, 13, 0), (2, 7, 13, 1), (1, 8, 2, 3), (2, 8, 2, 4)}
+    assert len(carried) >= 120 and all(t <= i + D.WINDOW for t, i in carried)
