@@ -11,8 +11,9 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from shoplens.llm import (chat, decontaminate, hilbert, html_blocks, line_crf, line_dedup,
-                          packing, quality_rules, simhash, tokens)
+from shoplens.llm import (chat, decontaminate, hilbert, html_blocks, importance, line_crf,
+                          line_dedup, merkle, packing, quality_rules, secret_scan, simhash,
+                          tokens)
 from shoplens.llm.common import materialize, read_table
 from shoplens.llm.oracles import ORACLE_SQL  # noqa: F401
 
@@ -86,6 +87,38 @@ def op10_benchmark_decontamination(spark: SparkSession, sf_dir: str) -> DataFram
         F.max("matched").alias("matched"), F.max("window").alias("window"))
 
 
+def op11_importance_resampling(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = importance.resample(read_table(spark, sf_dir, "documents"),
+                                read_table(spark, sf_dir, "benchmark"))
+    return found.select("doc_id", "n_features", "weight", "score", "rank")
+
+
+def op12_secret_scans(spark: SparkSession, sf_dir: str) -> DataFrame:
+    model = secret_scan.train(secret_scan.labelled_samples(spark))
+    docs = read_table(spark, sf_dir, "documents").select("doc_id", "text")
+    found = secret_scan.scan(docs, model)
+    return found.select(
+        "doc_id", "secrets.n_assign", "secrets.n_access", "secrets.n_hex",
+        F.sha2(secret_scan.span_list(F.col("secrets.base")), 256).alias("base_sha256"),
+        secret_scan.span_list(F.col("secrets.spans")).alias("spans"))
+
+
+TAMPERED = 7                # one document of so many, by the checksum of its id
+
+
+def op13_merkle_manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Proofs of all documents, with a tampered ``n_chars`` for some."""
+    docs = read_table(spark, sf_dir, "documents")
+    more = (F.col("n_chars").cast("decimal(20,0)") + 1).cast("string")
+    changed = merkle.leaf_of([more if c == "n_chars" else F.col(c) for c in merkle.FIELDS])
+    hit = F.crc32(F.col("doc_id").cast("string")) % TAMPERED == 0
+    rows = merkle.leaves(docs, claimed=F.when(hit & F.col("n_chars").isNotNull(), changed))
+    return merkle.manifest(rows).select(
+        F.col("key").alias("doc_id"), "leaf", "subroot", "root",
+        F.sha2(F.array_join("proof", ""), 256).alias("proof_sha256"), "folded_root",
+        (F.col("folded_root") == F.col("root")).alias("verified"))
+
+
 QUERIES: dict[str, QueryFn] = {f.__name__: f for f in (
     op1_html_extraction,
     op2_hilbert_sharding,
@@ -97,4 +130,7 @@ QUERIES: dict[str, QueryFn] = {f.__name__: f for f in (
     op8_token_counts,
     op9_line_dedup,
     op10_benchmark_decontamination,
+    op11_importance_resampling,
+    op12_secret_scans,
+    op13_merkle_manifest,
 )}
