@@ -13,7 +13,7 @@ from shoplens.session import ensure_checkpoint_dir
 from shoplens.sources.tables import read_table
 
 __all__ = ["read_table", "materialize", "positions_in_groups", "md5_rank", "document_name",
-           "slices"]
+           "slices", "unused"]
 
 
 def materialize(df: DataFrame, name: str) -> DataFrame:
@@ -36,6 +36,14 @@ def slices(batches: Iterator[pa.RecordBatch], rows: int = 1000) -> Iterator[pa.R
             yield batch.slice(k, rows)
 
 
+def unused(df: DataFrame, name: str) -> str:
+    """A column name that ``df`` does not have yet."""
+    taken = {c.lower() for c in df.columns}
+    while name.lower() in taken:
+        name = f"_{name}"
+    return name
+
+
 def document_name(doc_id: Column, text_hash: Column) -> Column:
     """One long for (doc_id, text hash), the identity of a document."""
     return F.xxhash64(doc_id.cast("long"), text_hash)

@@ -19,6 +19,8 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from shoplens.llm.common import unused
+
 WHITE = " \t\n\x0b\f\r"
 SYMBOLS = "#*$%&|<>"
 
@@ -176,4 +178,5 @@ def apply_rules(df: DataFrame, text: str = "text",
 
 def keep_good(df: DataFrame, text: str = "text") -> DataFrame:
     """The rows of ``df`` that the rules keep, with the columns of ``df``."""
-    return apply_rules(df, text, measure="_quality").where("_quality.kept").drop("_quality")
+    name = unused(df, "_quality")
+    return apply_rules(df, text, measure=name).where(F.col(name).kept).drop(name)
