@@ -3,6 +3,13 @@
 Five stages, each one an operator of ``shoplens.llm``; every stage reads
 what the one before it has written and hands on all the rows it keeps, with
 the columns of ``documents``.  The last one returns the packing plan.
+
+Defined results: null and empty texts have no words and go with the first
+stage; repeated rows share the fate of the first stage, lose the same lines
+and leave one of them in the third; ties are broken by the smallest doc_id,
+a null one first; texts of any length are taken whole; columns beyond those
+of ``documents`` are kept, whatever their names, and ``n_chars`` follows the
+text where it exists; an empty table gives an empty plan.
 """
 
 from __future__ import annotations
@@ -14,6 +21,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from shoplens.llm import decontaminate, line_dedup, packing, quality_rules, simhash
+from shoplens.llm.common import unused
 from shoplens.session import ensure_checkpoint_dir
 from shoplens.sources.tables import read_table
 
@@ -27,7 +35,10 @@ def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 def repeated_lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """All documents, without passages of lines that occur earlier in the corpus."""
-    out = line_dedup.dedup_lines(docs).drop("removed_chunks")
+    name = unused(docs, "removed_chunks")
+    out = line_dedup.dedup_lines(docs, name).drop(name)
+    if "n_chars" not in docs.columns:
+        return out
     return out.withColumn("n_chars", F.length("text").cast(docs.schema["n_chars"].dataType))
 
 
