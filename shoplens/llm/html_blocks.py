@@ -15,7 +15,9 @@ white space.  Character references are decoded, white space inside a block
 becomes one space, and blank blocks vanish.  Scripts, styles, templates and
 other unrendered elements never give text.  Unclosed and stray tags are
 repaired the way browsers do for paragraphs, list items and table cells;
-a tag cut off by the end of the page is dropped.
+a tag cut off by the end of the page is dropped.  Quotes belong to attributes
+only right after ``=``; elsewhere they are ordinary characters.  A path is a
+hashed set, kept per open tag, so every ancestor counts at any depth.
 
 Defined results: null or empty html gives an empty text; so does a page
 without a main block; repeated rows repeat their text; extra columns are
@@ -29,7 +31,7 @@ import os
 import re
 import zlib
 from collections.abc import Iterator
-from functools import cache
+from functools import cache, lru_cache
 from typing import NamedTuple
 
 import numpy as np
@@ -40,7 +42,6 @@ PATH_SIZE = 192             # hashed path dimensions
 WORD_SIZE = 48              # hashed word dimensions
 COUNTS = 8
 HIDDEN = 24
-PATH_DEPTH = 24             # nearest ancestors that a path vector knows
 BATCH_CHARS = 2 << 20
 WEIGHTS = os.path.join(os.path.dirname(__file__), "html_blocks.npz")
 
@@ -59,18 +60,22 @@ CLOSES = {"li": ("li",), "dt": ("dt", "dd"), "dd": ("dt", "dd"), "tr": ("tr", "t
 SCOPE = frozenset("ul ol dl table body html article section main nav aside header footer form "
                   "div".split())
 
+# An attribute as HTML reads it: quotes mean something only right after ``=``;
+# a quoted value without an end is no value, so its tag ends at the next ``>``.
+_KEY = r"(?:=[^\s/>=]*+|[^\s/>=]++)"
+_VALUE = r"""\s*+=\s*+("[^"]*+"|'[^']*+'|[^\s>"'][^\s>]*+|(?=>))"""
 _TOKEN = re.compile(
     r"<!--.*?(?:-->|\Z)"
-    r"|<(/?)([a-zA-Z][^\s/>]*)((?:[^>\"']|\"[^\"]*\"|'[^']*')*)>"
+    r"|<(/?)([a-zA-Z][^\s/>]*+)((?:[\s/]++|" + _KEY + "(?:" + _VALUE.replace("(", "(?:", 1) + r")?+)*+)(>|\Z)"
     r"|<[!?][^>]*>?"
-    r"|</?[a-zA-Z][^>]*\Z"
     r"|[^<]+|<", re.S)
-_ATTRIBUTE = re.compile(r"""(?:^|\s)(class|id|role)\s*=\s*("[^"]*"|'[^']*'|[^\s"'>]+)""", re.I | re.S)
+_ATTRIBUTE = re.compile(f"({_KEY})(?:{_VALUE})?+", re.S)
+_NAMING = frozenset(("class", "id", "role"))
 _NAME = re.compile(r"[a-z]+|[A-Z][a-z]*")
 
 
 class Block(NamedTuple):
-    path: tuple[str, ...]       # ancestors' tags with their name tokens, outermost first
+    path: int                   # bits of the path vector: all ancestors' tags and names
     text: str
     link_chars: int
 
@@ -79,16 +84,38 @@ def _label(tag: str, attributes: str) -> str:
     """A tag with the words of its class, id and role, such as ``div ad top``."""
     names = []
     if "=" in attributes:
-        for _, value in _ATTRIBUTE.findall(attributes):
-            names += [n.lower() for n in _NAME.findall(value.strip("\"'"))]
+        for key, value in _ATTRIBUTE.findall(attributes):
+            if value and key.lower() in _NAMING:
+                names += [n.lower() for n in _NAME.findall(value.strip("\"'"))]
     return " ".join([tag, *dict.fromkeys(names)])
 
 
+def _bucket(name: str, size: int) -> int:
+    return zlib.crc32(name.encode("utf-8", "surrogatepass")) % size
+
+
+@lru_cache(100_000)
+def _label_bits(label: str) -> int:
+    """The path buckets of one label."""
+    tag, *names = label.split(" ")
+    features = [] if tag in ("html", "body") else ["tag " + tag, "2tag " + tag]
+    features += [kind + n for n in names for kind in ("name ", "2name ")]
+    out = 0
+    for f in features:
+        out |= 1 << _bucket(f, PATH_SIZE)
+    return out
+
+
+@lru_cache(10_000)
+def _leaf_bit(tag: str) -> int:
+    return 1 << _bucket("leaf " + tag, PATH_SIZE)
+
+
 def blocks(page: str) -> list[Block]:
     """The leaf text blocks of a page in order."""
     out: list[Block] = []
     stack: list[str] = []           # open block tags
-    labels: list[str] = []
+    paths: list[int] = [0]          # path bits down to each of them
     text: list[str] = []
     links: list[str] = []
     in_link = hidden = 0            # hidden: how deep inside unrendered tags
@@ -98,7 +125,7 @@ def blocks(page: str) -> list[Block]:
             body = " ".join("".join(text).split())
             if body:
                 linked = " ".join("".join(links).split())
-                out.append(Block(tuple(labels[-PATH_DEPTH:]), body, len(linked)))
+                out.append(Block(paths[-1] | (_leaf_bit(stack[-1]) if stack else 0), body, len(linked)))
             text.clear()
             links.clear()
 
@@ -106,7 +133,7 @@ def blocks(page: str) -> list[Block]:
         nonlocal hidden
         for tag in stack[depth:]:
             hidden -= tag in HIDDEN_TAGS
-        del stack[depth:], labels[depth:]
+        del stack[depth:], paths[depth + 1:]
 
     at, size = 0, len(page)
     while at < size:
@@ -121,6 +148,8 @@ def blocks(page: str) -> list[Block]:
                     if in_link:
                         links.append(piece)
             continue
+        if not m.group(4):                              # cut off by the end of the page
+            continue
         tag = tag.lower()
         if m.group(1):                                  # closing tag
             if tag == "a":
@@ -146,7 +175,7 @@ def blocks(page: str) -> list[Block]:
                 flush()
                 body = page[at:end.start() if end else size]
                 stack.append(tag)
-                labels.append(_label(tag, m.group(3)))
+                paths.append(paths[-1] | _label_bits(_label(tag, m.group(3))))
                 text.append(html.unescape(body))
                 flush()
                 pop_to(len(stack) - 1)
@@ -166,7 +195,7 @@ def blocks(page: str) -> list[Block]:
             if stack[depth] in closed:
                 pop_to(depth)
         stack.append(tag)
-        labels.append(_label(tag, m.group(3)))
+        paths.append(paths[-1] | _label_bits(_label(tag, m.group(3))))
         hidden += tag in HIDDEN_TAGS
     flush()
     return out
@@ -174,23 +203,10 @@ def blocks(page: str) -> list[Block]:
 
 # -- vectors --------------------------------------------------------------
 
-def _bucket(name: str, size: int) -> int:
-    return zlib.crc32(name.encode("utf-8", "surrogatepass")) % size
-
-
-def path_vector(path: tuple[str, ...]) -> np.ndarray:
-    out = np.zeros(PATH_SIZE, dtype="float32")
-    for label in path:
-        tag, *names = label.split(" ")
-        if tag not in ("html", "body"):
-            out[_bucket("tag " + tag, PATH_SIZE)] = 1.0
-            out[_bucket("2tag " + tag, PATH_SIZE)] = 1.0
-        for n in names:
-            out[_bucket("name " + n, PATH_SIZE)] = 1.0
-            out[_bucket("2name " + n, PATH_SIZE)] = 1.0
-    if path:
-        out[_bucket("leaf " + path[-1].split(" ")[0], PATH_SIZE)] = 1.0
-    return out
+def path_vector(path: int) -> np.ndarray:
+    """The path bits as numbers."""
+    raw = np.frombuffer(path.to_bytes(PATH_SIZE // 8, "little"), "uint8")
+    return np.unpackbits(raw, bitorder="little").astype("float32")
 
 
 class _WordBuckets(dict):
@@ -270,9 +286,9 @@ class Labeller:
 
     def __init__(self, w: Weights):
         self.w = w
-        self.paths: dict[tuple, np.ndarray] = {}
+        self.paths: dict[int, np.ndarray] = {}
 
-    def _path(self, path: tuple[str, ...]) -> np.ndarray:
+    def _path(self, path: int) -> np.ndarray:
         found = self.paths.get(path)
         if found is None:
             if len(self.paths) > 20_000:

@@ -1,4 +1,5 @@
 import os
+import random
 
 import numpy as np
 import pyarrow.parquet as pq
@@ -45,7 +46,86 @@ def test_blocks():
     assert texts("<p>a</p></div></x><p>b") == ["a", "b"]
     deep = "<div>" * 3000 + "t" + "</div>" * 3000
     assert texts(deep) == ["t"]
-    assert len(H.blocks(deep)[0].path) <= H.PATH_DEPTH
+
+
+def test_every_ancestor_counts():
+    """A container's name reaches its blocks through a hundred levels."""
+    for n in (1, 30, 100, 3000):
+        page = "<div class='sidebar'>" + "<div>" * n + f"<p>{P}</p>" + "</div>" * n + f"</div><p>{Q}</p>"
+        inner, outer = H.blocks(page)
+        assert inner.path & H._label_bits("div sidebar") == H._label_bits("div sidebar")
+        assert outer.path == H._label_bits("p") | H._leaf_bit("p")
+    deep = ("<body><article><h1>River</h1>" + f"<p>{P}</p><p>{Q}</p></article><aside class='sidebar'>"
+            + "<div>" * 100 + f"<p>{P}</p>" + "</div>" * 100 + "</aside>")
+    assert H.main_texts([deep]) == [TEXT]
+
+
+def machine(page):
+    """(is a tag, name or text) of a page, by the states of an HTML reader;
+    a quoted value without an end is no value."""
+    out, i = [], 0
+    while i < len(page):
+        j = i + 1 + (page[i + 1:i + 2] == "/")
+        if page[i] != "<" or not page[j:j + 1].isalpha():
+            out.append((False, page[i]))
+            i += 1
+            continue
+        k = j
+        while k < len(page) and page[k] not in " />":
+            k += 1
+        name, state = page[j:k], "before"
+        while k < len(page) and page[k] != ">":
+            c = page[k]
+            if state == "before":
+                state = "before" if c in " /" else "name"
+            elif state == "name":
+                state = "value" if c == "=" else "after" if c == " " else "before" if c == "/" else "name"
+            elif state == "after":
+                if c != " ":
+                    state = "value" if c == "=" else "before" if c == "/" else "name"
+            elif state == "value":
+                if c in "\"'":
+                    end = page.find(c, k + 1)
+                    if end < 0:
+                        state = "name"
+                    else:
+                        k, state = end, "before"
+                elif c != " ":
+                    state = "unquoted"
+            elif state == "unquoted" and c == " ":
+                state = "before"
+            k += 1
+        if k < len(page):
+            out.append((True, name.lower()))
+        i = k + 1
+    return out
+
+
+def test_stray_quotes_against_a_state_machine():
+    rng = random.Random(5)
+    parts = ["'", '"', "=", " ", "/", ">", "<b", "<p", "</p", "</b", "x", "it's", "class", "title=", "='", '="', ">word "]
+    for _ in range(6000):
+        page = "".join(rng.choice(parts) for _ in range(rng.randrange(1, 16)))
+        got, at = [], 0
+        while at < len(page):
+            m = H._TOKEN.match(page, at)
+            at = m.end()
+            if m.group(2) is None:
+                got += [(False, c) for c in m.group()]
+            elif m.group(4):
+                got.append((True, m.group(2).lower()))
+        assert got == machine(page), page
+
+
+def test_stray_quotes_lose_no_text():
+    paragraphs = [f"Paragraph {k}: {P}" for k in range(4)]
+    for odd in ("<b title=it's>", "<a href=x\">", "<b title='a'b'>", "<i x=\"y\"z>", "<b '>", "<b \">", "<b =\">",
+                "<a href=a=\"b>"):
+        page = "<article>" + "".join(f"<p>The {odd}end.</b></a></i> {x}</p>" for x in paragraphs) + "</article>"
+        want = "\n\n".join(f"The end. {x}" for x in paragraphs)
+        assert H.main_texts([page]) == [want], odd
+    assert [b.text for b in H.blocks("<p title=\"no end>text</p><p>more")] == ["text", "more"]
+    assert H._label("div", " title=\"x class='ad'\" class=main") == "div main"
 
 
 def test_batching_does_not_matter():
