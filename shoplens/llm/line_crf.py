@@ -21,7 +21,6 @@ label every score is 0.5; extra columns are ignored.
 
 from __future__ import annotations
 
-import zlib
 from collections.abc import Iterator
 from dataclasses import dataclass
 
@@ -34,7 +33,7 @@ from pyspark.sql import functions as F
 from shoplens.llm.quality_rules import STOP_WORDS, SYMBOLS
 
 TRAIN_DOCS = 3000
-TRAIN_LINES = 200
+TRAIN_LINES = 100_000       # of all training documents together
 ROUNDS = 250
 RATE = 0.1
 PENALTY = 1e-3
@@ -214,36 +213,50 @@ def held_out(doc_id: Column, folds: int = FOLDS) -> Column:
     return F.coalesce(F.crc32(doc_id.cast("string").cast("binary")) % folds == 0, F.lit(False))
 
 
-def training_rows(docs: DataFrame, labels: DataFrame, target: str = "quality") -> DataFrame:
-    """(label, lines, x) of the bounded training sample, x row by row."""
+def training_documents(docs: DataFrame, labels: DataFrame, target: str = "quality") -> DataFrame:
+    """(doc_id, text_hash, label) of the bounded sample: a local table of at
+    most ``TRAIN_DOCS`` rows, each doc_id once."""
     chosen = (labels.where(F.col("doc_id").isNotNull() & F.col(target).isNotNull()
                            & ~held_out(F.col("doc_id")))
               .groupBy("doc_id").agg(F.min(target).cast("int").alias("label"))
               .orderBy(F.xxhash64("doc_id"), "doc_id").limit(TRAIN_DOCS))
+    text = F.coalesce("text", F.lit(""))
+    lines = F.length(text) - F.length(F.replace(text, F.lit("\n"), F.lit(""))) + 1
+    sizes = (docs.select(F.col("doc_id").cast("long"), F.xxhash64("text").alias("text_hash"),
+                         lines.alias("lines"))
+             .join(F.broadcast(chosen.select(F.col("doc_id").cast("long"), "label")), "doc_id")
+             .groupBy("doc_id", "label").agg(F.min(F.struct("text_hash", "lines")).alias("one"))
+             .orderBy(F.xxhash64("doc_id"), "doc_id"))
+    kept, room = [], TRAIN_LINES
+    for row in sizes.collect():                         # at most TRAIN_DOCS rows
+        if row["one"]["lines"] <= room:
+            room -= row["one"]["lines"]
+            kept.append((row["doc_id"], row["one"]["text_hash"], row["label"]))
+    return docs.sparkSession.createDataFrame(kept, "doc_id long, text_hash long, label int")
+
 
+def training_rows(docs: DataFrame, labels: DataFrame, target: str = "quality") -> DataFrame:
+    """(doc_id, label, lines, x) of the bounded sample, x row by row."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            xs, ns = [], []
-            for doc_id, text in zip(batch.column("doc_id").to_pylist(),
-                                    batch.column("text").to_pylist()):
-                x = features(lines_of(text))
-                spare = max(0, len(x) - TRAIN_LINES)
-                begin = zlib.crc32(str(doc_id).encode()) % (spare + 1)
-                x = x[begin:begin + TRAIN_LINES]
-                xs.append(x.astype("float32").tobytes())
-                ns.append(len(x))
+            found = [features(lines_of(text)) for text in batch.column("text").to_pylist()]
             yield pa.RecordBatch.from_arrays(
-                [batch.column("doc_id"), batch.column("label"), pa.array(ns, pa.int32()),
-                 pa.array(xs, pa.binary())], ["doc_id", "label", "lines", "x"])
-
-    return (docs.select(F.col("doc_id").cast("long"), "text")
-            .join(F.broadcast(chosen.select(F.col("doc_id").cast("long"), "label")), "doc_id")
+                [batch.column("doc_id"), batch.column("label"),
+                 pa.array([len(x) for x in found], pa.int32()),
+                 pa.array([x.astype("float32").tobytes() for x in found], pa.binary())],
+                ["doc_id", "label", "lines", "x"])
+
+    sample = training_documents(docs, labels, target)
+    rows = (docs.select(F.col("doc_id").cast("long"), F.xxhash64("text").alias("text_hash"), "text")
+            .join(F.broadcast(sample), ["doc_id", "text_hash"])
             .select("doc_id", "label", "text")
             .mapInArrow(run, "doc_id long, label int, lines int, x binary"))
+    # Rows of one id and text are equal; any of them stands for all.
+    return rows.groupBy("doc_id").agg(*[F.first(c).alias(c) for c in ("label", "lines", "x")])
 
 
 def fit(docs: DataFrame, labels: DataFrame, target: str = "quality") -> Field:
-    """Train on the bounded sample (at most TRAIN_DOCS x TRAIN_LINES lines)."""
+    """Train on the bounded sample (TRAIN_DOCS documents, TRAIN_LINES lines)."""
     rows = training_rows(docs, labels, target).toArrow().sort_by("doc_id")
     if not rows.num_rows:
         return Field.blank()

@@ -77,6 +77,31 @@ def test_held_out_labels_never_train(spark, docs):
     assert used and all(zlib.crc32(str(k).encode()) % 5 for k in used)
 
 
+def test_a_hot_id_trains_once(spark):
+    """20,000 rows of one labelled id are one training document."""
+    hot = spark.range(20_000).select(F.lit(1).cast("long").alias("doc_id"), F.lit("hot text\nof two lines").alias("text"))
+    mixed = spark.range(500).select(F.lit(2).cast("long").alias("doc_id"), F.concat(F.lit("v"), "id").alias("text"))
+    rest = spark.range(3, 5003).select(F.col("id").alias("doc_id"), F.lit("a line").alias("text"))
+    labels = spark.range(1, 5003).select(F.col("id").alias("doc_id"), F.lit(1).alias("quality"), F.lit(0).alias("toxic"))
+    rows = C.training_rows(hot.unionAll(mixed).unionAll(rest), labels).collect()
+    ids = [r.doc_id for r in rows]
+    assert len(ids) == len(set(ids)) <= C.TRAIN_DOCS and len(ids) > 2900
+    assert all(len(r.x) == 4 * C.WIDTH * r.lines for r in rows)
+
+
+def test_documents_train_whole_or_not(spark, monkeypatch):
+    monkeypatch.setattr(C, "TRAIN_LINES", 300)
+    docs = spark.createDataFrame([(k, "\n".join(["x y"] * n)) for k, n in enumerate([5, 1000, 40, 200, 90, 301, 8, 0, 60] * 3)],
+                                 "doc_id long, text string")
+    labels = docs.select("doc_id", F.lit(1).alias("quality"))
+    sizes = {r.doc_id: (r.text or "").count("\n") + 1 for r in docs.collect()}
+    rows = C.training_rows(docs, labels).collect()
+    assert rows and sum(r.lines for r in rows) <= 300 and all(r.lines == sizes[r.doc_id] for r in rows)
+    left = 300 - sum(r.lines for r in rows)
+    skipped = [n for k, n in sizes.items() if k not in {r.doc_id for r in rows} and zlib.crc32(str(k).encode()) % 5]
+    assert all(n > left for n in skipped)
+
+
 @pytest.mark.skipif(not os.path.exists("/root/testdata/sf0.01"), reason="no test data")
 def test_held_out_accuracy(spark):
     docs = spark.read.parquet("/root/testdata/sf0.01/documents.parquet")
