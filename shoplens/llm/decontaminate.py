@@ -19,7 +19,8 @@ seeds thins out the training seeds before the join.  The join itself,
 the diagonals and the comparison are ordinary shuffles.
 
 Defined results: null, empty and wordless texts match nothing; an item of
-fewer than five tokens matches wherever it stands word for word; rows that
+fewer than five tokens matches wherever it stands word for word; items of
+equal tokens are one item with the smallest of their ids (a null id last); rows that
 share doc_id and text are one document; a null doc_id is reported as null; an empty table on
 either side gives no rows.
 """
@@ -97,16 +98,29 @@ def masks_for(sizes: list[int]) -> list[int]:
 
 # -- test side ------------------------------------------------------------
 
-def item_tokens(benchmark: DataFrame) -> DataFrame:
-    """(item_id, tokens) of the benchmark items, one row per distinct text."""
+def _tokens(benchmark: DataFrame) -> DataFrame:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             rows = [token_hashes(t).view("int64") for t in batch.column("text").to_pylist()]
             yield pa.RecordBatch.from_arrays(
                 [batch.column("item_id").cast(pa.int64()), pa.array(rows, pa.list_(pa.int64()))],
                 ["item_id", "tokens"])
-    return benchmark.select("item_id", "text").mapInArrow(
-        run, "item_id long, tokens array<long>")
+    return (benchmark.select("item_id", "text").mapInArrow(run, "item_id long, tokens array<long>")
+            .where(F.size("tokens") >= LEAST_TOKENS))
+
+
+def item_tokens(benchmark: DataFrame) -> DataFrame:
+    """(item_id, copies, tokens), one row per distinct sequence of tokens: the
+    smallest id that has it stands for all of them."""
+    return _tokens(benchmark).groupBy("tokens").agg(
+        F.min("item_id").alias("item_id"), F.count("*").alias("copies"))
+
+
+def item_groups(benchmark: DataFrame) -> DataFrame:
+    """(item_id, represented_by) of every benchmark item with a word."""
+    own = _tokens(benchmark)
+    return own.join(item_tokens(benchmark).select("tokens", F.col("item_id").alias("represented_by")),
+                    "tokens").select("item_id", "represented_by")
 
 
 def item_seeds(items: DataFrame) -> DataFrame:
@@ -244,9 +258,11 @@ def _verify(pairs: DataFrame) -> DataFrame:
 
 
 def overlaps(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
-    """(doc_id, text_hash, item_id, matched, window, place): the verified
-    overlaps of ``docs(doc_id, text)`` with ``benchmark(item_id, text)``."""
-    items = materialize(item_tokens(benchmark).where(F.size("tokens") >= LEAST_TOKENS)
+    """(doc_id, text_hash, item_id, copies, matched, window, place): the
+    verified overlaps of ``docs(doc_id, text)`` with ``benchmark(item_id,
+    text)``.  Items of equal tokens are found once, as the smallest of their
+    ids; ``item_groups`` has the members."""
+    items = materialize(item_tokens(benchmark)
                         .withColumn("item", F.monotonically_increasing_id()), "items")
     test = materialize(item_seeds(items), "test_seeds")
     keyed = docs.select(F.col("doc_id").cast("long"), F.xxhash64("text").alias("text_hash"),
@@ -271,8 +287,10 @@ def overlaps(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
     found = _verify(sides.select("doc_id", "text_hash", "item_id", "start", "tokens",
                                  "item_tokens", "diagonal"))
     best = F.max(F.struct("matched", (-F.col("place")).alias("back"), "window"))
-    return found.groupBy("doc_id", "text_hash", "item_id").agg(best.alias("best")).select(
-        "doc_id", "text_hash", "item_id", F.col("best.matched").alias("matched"),
+    links = found.groupBy("doc_id", "text_hash", "item_id").agg(best.alias("best"))
+    copies = items.select(F.col("item_id").alias("_own"), "copies")
+    return links.join(copies, F.col("item_id").eqNullSafe(F.col("_own"))).select(
+        "doc_id", "text_hash", "item_id", "copies", F.col("best.matched").alias("matched"),
         F.col("best.window").alias("window"), (-F.col("best.back")).alias("place"))
 
 

@@ -80,11 +80,13 @@ def op9_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op10_benchmark_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Contaminated documents only: one row per document and benchmark item."""
+    """Contaminated documents only: one row per document and distinct benchmark
+    item, under the smallest id of the ``item_copies`` equal ones."""
     found = decontaminate.overlaps(read_table(spark, sf_dir, "documents"),
                                    read_table(spark, sf_dir, "benchmark"))
     return found.groupBy("doc_id", "item_id").agg(
-        F.max("matched").alias("matched"), F.max("window").alias("window"))
+        F.max("matched").alias("matched"), F.max("window").alias("window"),
+        F.max("copies").alias("item_copies"))
 
 
 def op11_importance_resampling(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -10,7 +10,13 @@ from shoplens.llm import decontaminate as D
 
 
 def brute(docs, items):
+    """{(doc_id, smallest id of the equal items): (matched, window)}"""
     out = {}
+    first = {}
+    for i, item in items:
+        own = tuple(D._WORD.findall((item or "").lower()))
+        first[own] = min(first.get(own, i), i)
+    items = [(i, item) for i, item in items if first[tuple(D._WORD.findall((item or "").lower()))] == i]
     for d, text in docs:
         w = D._WORD.findall((text or "").lower())
         for i, item in items:
@@ -77,6 +83,18 @@ def test_overlaps(spark, cases):
     assert sorted(str(r.doc_id) for r in clean.collect()) == sorted(str(d) for d, _ in docs if d not in bad)
 
 
+def test_copies_on_both_sides_give_no_pairs(spark):
+    """40 copies of a document and 50 of an item: 40 links, 50 memberships."""
+    text = " ".join(f"word{k}" for k in range(20))
+    docs = spark.createDataFrame([(k, f"before {text} after") for k in range(40)], "doc_id long, text string")
+    items = spark.createDataFrame([(k, text.upper() if k % 2 else text) for k in range(7, 57)] + [(99, "other " + text[7:])],
+                                  "item_id long, text string")
+    got = D.overlaps(docs, items.where("item_id < 99")).collect()
+    assert len(got) == 40 and {(r.item_id, r.copies) for r in got} == {(7, 50)}
+    groups = {r.item_id: r.represented_by for r in D.item_groups(items).collect()}
+    assert groups == {**{k: 7 for k in range(7, 57)}, 99: 99}
+
+
 def test_empty_sides(spark, docs, no_docs):
     bench = spark.createDataFrame([(1, "one two three four five six")], "item_id long, text string")
     assert D.overlaps(no_docs, bench).count() == 0
