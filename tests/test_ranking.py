@@ -1,4 +1,5 @@
 import random
+from decimal import Decimal
 
 import numpy as np
 import pytest
@@ -6,6 +7,7 @@ from pyspark.sql import Window
 from pyspark.sql import functions as F
 
 from shoplens.operators.ranking import add_ntiles, percentile_cont
+from shoplens.session import reliable
 
 
 def _window_ntile(df, keys, k):
@@ -82,3 +84,62 @@ def test_no_global_window(spark):
     df = spark.createDataFrame([(i, i % 3) for i in range(50)], "id long, key long")
     plan = add_ntiles(df, {"t": ["key", "id"]}, 5)._jdf.queryExecution().executedPlan().toString()
     assert "Window" not in plan and "SinglePartition" not in plan and "Exchange" not in plan
+
+
+def _scans(monkeypatch, run):
+    """Passes over the table: aggregating ones and fetches."""
+    from shoplens.operators import ranking
+    seen = []
+    for name in ("_count", "_fetch"):
+        real = getattr(ranking, name)
+        monkeypatch.setattr(ranking, name, lambda *a, real=real, name=name: (seen.append(name), real(*a))[1])
+    return run(), seen
+
+
+@pytest.mark.parametrize("fetch", [1, 7, 200])
+def test_small_pieces_are_reached_by_sketches(spark, monkeypatch, fetch):
+    """Without rows to collect, the passes alone settle every position."""
+    from shoplens.operators import ranking
+    monkeypatch.setattr(ranking, "FETCH", fetch)
+    rnd = random.Random(6)
+    rows = [(k if k else None, 0 if rnd.random() < 0.6 else rnd.randrange(40), rnd.randrange(10 ** 9),
+             Decimal(rnd.randrange(10 ** 7)) / 100 if rnd.random() < 0.7 else Decimal(0), rnd.lognormvariate(0, 30))
+            for k in range(3000)]
+    df = reliable(spark.createDataFrame(rows, "id long, hot long, wide long, money decimal(22,2), real double"))
+    at = [0, 1, 599, 1500, 2400, 2999]
+    got = ranking.rows_at(df, {c: ((c, "id"), at) for c in ("hot", "wide", "money", "real")})
+    for j, c in enumerate(("hot", "wide", "money", "real"), 1):
+        order = sorted(rows, key=lambda r: (r[j], -1 if r[0] is None else r[0]))
+        kind = (int, int, Decimal, float)[j - 1]
+        assert [(kind(v), None if i is None else int(i)) for v, i in got[c]] == [(order[p][j], order[p][0]) for p in at]
+
+
+def test_a_pass_scans_once_for_all_searches(spark, monkeypatch):
+    from shoplens.operators import ranking
+    monkeypatch.setattr(ranking, "FETCH", 50)
+    df = reliable(spark.range(0, 30_000, 1, 4).selectExpr(
+        "id", "hash(id) a", "if(id % 3 = 0, 5, hash(id, 1) % 9) b", "cast(hash(id, 2) as double) c"))
+    for k in (5, 50):
+        cuts, seen = _scans(monkeypatch, lambda k=k: ranking.add_ntiles(
+            df, {"x": ["a", "id"], "y": ["b", "id"], "z": ["c", "id"]}, k, stored=True))
+        assert seen.count("_count") <= 4 and seen.count("_fetch") <= 3, seen
+        sizes = {c: sorted(r["count"] for r in cuts.groupBy(c).count().collect()) for c in "xyz"}
+        assert all(len(s) == k and s[-1] - s[0] <= 1 for s in sizes.values())
+
+
+def test_small_tables_need_one_pass_and_one_fetch(spark, monkeypatch):
+    df = reliable(spark.range(5000).selectExpr("id", "hash(id) a", "id % 7 b"))
+    from shoplens.operators.ranking import add_ntiles as ntiles
+    _, seen = _scans(monkeypatch, lambda: ntiles(df, {"x": ["a", "id"], "y": ["b", "id"]}, 5, stored=True))
+    assert seen == ["_count", "_fetch"]
+
+
+def test_null_tie_break_is_the_first_of_its_value(spark):
+    df = spark.createDataFrame([(None, 1)] + [(k, 1 if k < 8 else 0) for k in range(-3, 12)], "id long, key long")
+    got = {r.id: r.t for r in add_ntiles(df, {"t": ["key", "id"]}, 5).collect()}
+    assert got == _window_ntile(df, ["key", F.col("id").asc_nulls_first()], 5)
+
+
+def test_empty_table(spark):
+    df = spark.createDataFrame([], "id long, key long")
+    assert add_ntiles(df, {"t": ["key", "id"]}, 5).count() == 0
