@@ -6,6 +6,8 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from shoplens.functions import first_match, price_bucket, revenue
+from shoplens.operators.skew import with_key_aggregate
+
 
 def user_first_dates(stg: DataFrame) -> DataFrame:
     """One row per user: first event date (map-side partial min, so a hot
@@ -16,13 +18,14 @@ def user_first_dates(stg: DataFrame) -> DataFrame:
 def fact_events(stg: DataFrame, first: DataFrame | None = None) -> DataFrame:
     """Staging events + price bucket, first event date, user type, revenue.
 
-    The first date comes from ``first`` (``user_first_dates``), joined on
-    user_id (LEFT, so a NULL user finds no match and counts as returning).
-    Pass it as a stored table where a user may be hot: adaptive execution
-    then splits that user's partition, which it cannot do when the other
-    side is an aggregate of the same plan.
+    The first date is the smallest of the user's; a NULL user has none and
+    counts as returning.  With ``first`` (``user_first_dates`` as a stored
+    table) it comes from a left join, which adaptive execution splits where a
+    user is hot.  Without it the dates are found in the same plan, and hot
+    users are dealt out there.
     """
-    joined = stg.join(user_first_dates(stg) if first is None else first, on="user_id", how="left")
+    joined = (with_key_aggregate(stg, "user_id", F.min("event_date"), "first_event_date")
+              if first is None else stg.join(first, on="user_id", how="left"))
     return joined.select(
         "event_timestamp", "event_date", "event_week", "event_month", "event_type",
         "product_id", "category_id", "category_code", "category_l1", "category_l2",

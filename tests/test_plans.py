@@ -109,6 +109,7 @@ def _event_scans(df):
 
 
 @pytest.mark.parametrize("name, most", [("check_latest_funnel", 2), ("mart_retention_cohort_weekly", 2),
-                                        ("kpi_dau", 1), ("bi_kpi_cards", 2)])
+                                        ("kpi_dau", 1), ("bi_kpi_cards", 2), ("fact_events", 2),
+                                        ("mart_funnel_daily", 2), ("mart_category_growth_weekly", 1)])
 def test_event_scans(spark, name, most):
     assert _event_scans(registry.queries()[name](spark, SF)) <= most
