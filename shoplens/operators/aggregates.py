@@ -9,7 +9,7 @@ the shuffle -- and then counts users per key with plain sums.
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Callable, Sequence
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -34,10 +34,27 @@ def users_with(flag: str, user: str = "user_id") -> Column:
     return F.count_if((F.col(flag) == 1) & F.col(user).isNotNull())
 
 
-def distinct_count_by(events: DataFrame, keys: Sequence[str], column: str, out: str) -> DataFrame:
-    """COUNT(DISTINCT column) per keys as distinct-then-count."""
-    return (events.select(*keys, column).distinct()
-            .groupBy(*keys).agg(F.count(column).alias(out)))
+def tagged_ids(events: DataFrame, keys: Sequence[str], ids: dict[str, str],
+               measures: dict[str, dict[str, tuple[Column, Callable[[Column], Column]]]]) -> DataFrame:
+    """One row per (keys, kind, id): several distinct counts in one shuffle.
+
+    ``ids`` maps a kind to its column; every event becomes one row per kind,
+    tagged with it.  ``measures`` has the aggregates of a kind: name ->
+    (input column, aggregate); they are NULL for rows of other kinds.  Counting
+    a kind's rows per key gives COUNT(DISTINCT its column).  The first level is
+    a partial aggregate, so an id that many events share is one row a task
+    before the shuffle.
+    """
+    inputs = {name: c for kind in measures.values() for name, (c, _) in kind.items()}
+    tags = F.array(*[F.struct(F.lit(kind).alias("kind"), F.col(column).cast("long").alias("id"))
+                     for kind, column in ids.items()])
+    tagged = (events.select(*keys, *[c.alias(f"_{n}") for n, c in inputs.items()],
+                            F.explode(tags).alias("_tag"))
+              .select(*keys, F.col("_tag.kind").alias("kind"), F.col("_tag.id").alias("id"),
+                      *[F.when(F.col("_tag.kind") == kind, F.col(f"_{name}")).alias(name)
+                        for kind, own in measures.items() for name in own]))
+    return tagged.groupBy(*keys, "kind", "id").agg(
+        *[agg(F.col(name)).alias(name) for own in measures.values() for name, (_, agg) in own.items()])
 
 
 def share_of_total(df: DataFrame, column: str, out: str = "pct") -> DataFrame:

@@ -5,11 +5,11 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from shoplens.functions import first_match, ratio_pct, round_ratio, week_start
-from shoplens.operators.aggregates import (distinct_count_by, user_stage_flags,
+from shoplens.functions import first_match, ratio_pct, round_ratio
+from shoplens.operators.aggregates import (STAGE_TYPES, tagged_ids, user_stage_flags,
                                            users_with)
 from shoplens.operators.joins import scalar
-from shoplens.operators.ranking import add_ntiles, percentiles_cont
+from shoplens.operators.ranking import add_ntiles, percentiles_cont, survey
 from shoplens.operators.windows import previous_row
 from shoplens.session import reliable
 
@@ -47,19 +47,40 @@ def funnel_daily(fact: DataFrame) -> DataFrame:
         F.when(c > 0, ratio_pct(p, c)).otherwise(F.lit(0)).alias("cart_to_purchase_rate_pct"))
 
 
+WEEK_BITS = 64
+
+
+def user_week_bits(fact: DataFrame) -> DataFrame:
+    """(user_id, word, cohort, weeks): the weeks a user was active in, as the
+    bits of one long per ``WEEK_BITS`` weeks; weeks are numbered from Monday,
+    1970-01-05.  The bits are merged map-side, so a user costs one row per
+    task and word, however many events there are."""
+    def week(day: str):
+        # Exact for dates before 1970 as well: floor, not truncation.
+        return F.floor((F.unix_date(F.col(day)) - 4) / 7).cast("int")
+
+    active = fact.where(F.col("user_id").isNotNull()).select(
+        "user_id", week("event_date").alias("_week"), week("first_event_date").alias("_cohort"))
+    bit = F.call_function("shiftleft", F.lit(1).cast("long"), F.pmod("_week", F.lit(WEEK_BITS)))
+    return (active.groupBy("user_id", F.floor(F.col("_week") / WEEK_BITS).cast("int").alias("word"))
+            .agg(F.bit_or(bit).alias("weeks"), F.min("_cohort").alias("cohort")))
+
+
 def retention_cohort_weekly(fact: DataFrame) -> DataFrame:
-    """Weekly cohorts.  The cohort week comes from the fact's first date, so
-    one distinct of (user, week) pairs (partial aggregate) is enough, then
-    counts per (cohort, week number).  The cohort size equals the week-0
-    count (every user is active in the cohort week), so no second pass."""
-    ca = (fact.where(F.col("user_id").isNotNull())
-          .select("user_id", week_start("event_date").alias("activity_week"),
-                  week_start("first_event_date").alias("cohort_week"))
-          .distinct()
-          .withColumn("week_number",
-                      F.floor(F.datediff("activity_week", "cohort_week") / 7).cast("long")))
-    weekly = ca.groupBy("cohort_week", "week_number").agg(
-        F.count("user_id").alias("active_users"))
+    """Weekly cohorts from the users' week bits: users with equal cohort and
+    bits are counted as one row before the bits are taken apart, so the
+    second shuffle has one row per pattern and task.  The cohort size equals
+    the week-0 count (every user is active in the cohort week), so no second
+    pass."""
+    patterns = (user_week_bits(fact).groupBy("cohort", "word", "weeks")
+                .agg(F.count(F.lit(1)).alias("users")))
+    bits = F.array(*[F.lit(b) for b in range(WEEK_BITS)])
+    active = F.filter(bits, lambda b: F.getbit("weeks", b) == 1)
+    weekly = (patterns.select("cohort", "word", "users", F.explode(active).alias("_bit"))
+              .groupBy(F.date_add(F.lit("1970-01-05").cast("date"), F.col("cohort") * 7).alias("cohort_week"),
+                       (F.col("word") * WEEK_BITS + F.col("_bit") - F.col("cohort")).cast("long")
+                       .alias("week_number"))
+              .agg(F.sum("users").alias("active_users")))
     # (cohort, week number) rows only: a window over this small result.
     cohort = Window.partitionBy("cohort_week")
     r = weekly.withColumn("cohort_size", F.max(
@@ -74,23 +95,27 @@ def retention_cohort_weekly(fact: DataFrame) -> DataFrame:
 
 def category_growth_weekly(fact: DataFrame) -> DataFrame:
     """Weekly category metrics with revenue share and week-over-week growth.
+    Distinct users and products are counted in one pass over tagged ids.
     LAG takes the previous *present* week of the category."""
     keys = ["event_week", "category_l1"]
     cat = fact.where(F.col("category_l1").isNotNull() & (F.col("category_l1") != ""))
-    is_purchase = (F.col("event_type") == "purchase").cast("long")
-    per_user = user_stage_flags(cat, keys, {
-        "_purchases": F.sum(is_purchase),
-        "_revenue": F.sum("revenue")})
-    users = per_user.groupBy(*keys).agg(
-        F.count("user_id").alias("unique_users"),
-        users_with("has_view").alias("view_users"),
-        users_with("has_cart").alias("cart_users"),
-        users_with("has_purchase").alias("purchasers"),
+    is_type = {t: F.col("event_type") == t for t in STAGE_TYPES}
+    ids = tagged_ids(cat, keys, {"user": "user_id", "product": "product_id"}, {"user": {
+        **{f"has_{t}": (c.cast("int"), F.max) for t, c in is_type.items()},
+        "_purchases": (is_type["purchase"].cast("long"), F.sum),
+        "_revenue": (F.col("revenue"), F.sum)}})
+
+    def users(condition=F.lit(True)):
+        return F.count_if((F.col("kind") == "user") & F.col("id").isNotNull() & condition)
+
+    weekly = ids.groupBy(*keys).agg(
+        users().alias("unique_users"),
+        users(F.col("has_view") == 1).alias("view_users"),
+        users(F.col("has_cart") == 1).alias("cart_users"),
+        users(F.col("has_purchase") == 1).alias("purchasers"),
         F.sum("_purchases").alias("purchase_count"),
-        F.sum("_revenue").alias("revenue"))
-    products = distinct_count_by(cat, keys, "product_id", "unique_products")
-    weekly = users.join(products, keys, "left").withColumn(
-        "unique_products", _zero_if_null(F.col("unique_products")))
+        F.sum("_revenue").alias("revenue"),
+        F.count_if((F.col("kind") == "product") & F.col("id").isNotNull()).alias("unique_products"))
     # Small frame from here on: (weeks x categories) rows.
     week = Window.partitionBy("event_week")
     w = previous_row(weekly.withColumn("total_revenue", F.sum("revenue").over(week)),
@@ -114,27 +139,25 @@ def category_growth_weekly(fact: DataFrame) -> DataFrame:
 
 def rfm(fact: DataFrame, k: int = 5) -> DataFrame:
     """Recency / frequency / monetary quintiles and segments.  NTILE ties are
-    broken by user_id ascending; the quintile bounds come from the exact
-    selection of the ranking operator, never from a global window.  The
-    newest date is taken from the per-user rows, not from a second scan."""
+    broken by user_id ascending (a NULL user, one group, first); the quintile
+    bounds come from the exact selection of the ranking operator, never from
+    a global window.  Its first scan also gives the newest date."""
     et = F.col("event_type")
     per_user = reliable(fact.groupBy("user_id").agg(
         F.max("event_date").alias("last_seen_date"),
         F.count_distinct(F.when(et == "purchase", F.col("user_session"))).alias("frequency"),
         _zero_if_null(F.sum(F.when(et == "purchase", F.col("price")).otherwise(F.lit(0))))
-         .alias("monetary")))
-    ends = per_user.agg(F.max("last_seen_date"), F.min("user_id")).first()
-    max_date, lowest = F.lit(ends[0]).cast("date"), F.lit(ends[1]).cast("long")
-    scored = (per_user
-              .withColumn("recency_days", F.datediff(max_date, "last_seen_date").cast("long"))
-              .withColumn("_recent", F.col("recency_days") <= RECENT_DAYS)
-              .withColumn("_neg_recency", -F.col("recency_days"))
-              # Total, non-NULL tie-break: a NULL user (one group) sorts first.
-              .withColumn("_uid", F.coalesce("user_id", lowest - 1, F.lit(0))))
-    scored = add_ntiles(scored, {
-        "r_score": ["_neg_recency", "_uid"],
-        "f_score": ["frequency", "_uid"],
-        "m_score": ["monetary", "_uid"]}, k, stored=True)
+         .alias("monetary"))).withColumn("_day", F.unix_date("last_seen_date"))
+    known = survey(per_user, ["_day", "frequency", "monetary"])
+    newest = F.lit(int(known["_day"]["high"] or 0))
+    # The longest recency is the earliest day, so its ascending order is the
+    # days' own.
+    scored = add_ntiles(per_user, {
+        "r_score": ["_day", "user_id"],
+        "f_score": ["frequency", "user_id"],
+        "m_score": ["monetary", "user_id"]}, k, stored=True, known=known)
+    scored = (scored.withColumn("recency_days", (newest - F.col("_day")).cast("long"))
+              .withColumn("_recent", F.col("recency_days") <= RECENT_DAYS))
     r, f, m = F.col("r_score"), F.col("f_score"), F.col("m_score")
     recent = F.col("_recent")
     champions, loyal, potentials, new, at_risk, lost, others = RFM_SEGMENTS

@@ -153,3 +153,67 @@ def test_rfm_with_null_user(spark):
     assert len(r) == 4
     assert sorted(x.f_score for x in r) == [1, 2, 3, 4]
     assert [x.f_score for x in r if x.user_id is None] == [1]     # frequency 0, sorts first
+
+
+def test_retention_over_many_weeks(spark):
+    """Years of weeks take several words of bits a user; against counting."""
+    import random
+    rng = random.Random(4)
+    start = dt.datetime(1969, 6, 4)
+    rows = []
+    for user in [*range(40), None]:
+        first = rng.randrange(900)
+        for _ in range(rng.randrange(1, 60)):
+            at = start + dt.timedelta(days=first + (rng.randrange(1500) if user != 3 else 0))
+            rows.append((at, "view", 1, "a.b", "1.00", user, "s"))
+    got = {(r.cohort_week, r.week_number): (r.active_users, r.cohort_size, float(r.retention_rate_pct), r.week_label)
+           for r in marts.retention_cohort_weekly(facts.fact_events(events(spark, rows))).collect()}
+
+    def monday(day):
+        return day - dt.timedelta(days=day.weekday())
+    weeks = {}
+    for at, *_, user, _ in rows:
+        if user is not None:
+            weeks.setdefault(user, set()).add(monday(at.date()))
+    active = {}
+    for user, own in weeks.items():
+        for w in own:
+            active.setdefault((min(own), (w - min(own)).days // 7), set()).add(user)
+    assert max(n for _, n in active) > 128
+    want = {}
+    for (cohort, n), users in active.items():
+        size = len(active[cohort, 0])
+        rate = (Decimal(len(users)) * 100 / size).quantize(Decimal("0.01"), rounding="ROUND_HALF_UP")
+        want[cohort, n] = (len(users), size, float(rate), f"Week {n}" if n else "Week 0 (Cohort)")
+    assert got == want
+
+
+def test_week_bits_are_one_row_per_user_and_word(spark):
+    rows = [(dt.datetime(2024, 1, 1) + dt.timedelta(days=k % 60), "view", 1, "a.b", "1.00", 7, "s") for k in range(300)]
+    bits = marts.user_week_bits(facts.fact_events(events(spark, rows))).collect()
+    assert 1 <= len(bits) <= 2 and sum(bin(r.weeks & (2 ** 64 - 1)).count("1") for r in bits) == 9
+
+
+def test_growth_counts_distinct_users_and_products(spark):
+    import random
+    rng = random.Random(8)
+    rows = [(dt.datetime(2024, 1, 1) + dt.timedelta(days=rng.randrange(30)), rng.choice(["view", "cart", "purchase"]),
+             rng.choice([None, *range(6)]), rng.choice(["a.x", "b.y", "", None]), rng.choice([None, "2.00"]),
+             rng.choice([None, *range(5)]), "s") for _ in range(400)]
+    fact = facts.fact_events(events(spark, rows))
+    got = {(r.event_week, r.category_l1): (r.unique_users, r.view_users, r.cart_users, r.purchasers, r.unique_products,
+                                           r.purchase_count, float(r.revenue))
+           for r in marts.category_growth_weekly(fact).collect()}
+    want = {}
+    for at, kind, product, code, price, user, _ in rows:
+        if code:
+            week = at.date() - dt.timedelta(days=at.weekday())
+            own = want.setdefault((week, code[0]), [set(), set(), set(), set(), set(), 0, 0.0])
+            if user is not None:
+                own[0].add(user)
+                own[1 + ["view", "cart", "purchase"].index(kind)].add(user)
+            if product is not None:
+                own[4].add(product)
+            own[5] += kind == "purchase"
+            own[6] += float(price or 0) * (kind == "purchase")
+    assert got == {k: (*map(len, v[:5]), *v[5:]) for k, v in want.items()}
