@@ -137,17 +137,26 @@ def category_growth_weekly(fact: DataFrame) -> DataFrame:
         (rev - F.coalesce(prev_r, F.lit(0))).alias("revenue_delta"))
 
 
-def rfm(fact: DataFrame, k: int = 5) -> DataFrame:
-    """Recency / frequency / monetary quintiles and segments.  NTILE ties are
-    broken by user_id ascending (a NULL user, one group, first); the quintile
-    bounds come from the exact selection of the ranking operator, never from
-    a global window.  Its first scan also gives the newest date."""
-    et = F.col("event_type")
-    per_user = reliable(fact.groupBy("user_id").agg(
+def rfm_users(fact: DataFrame) -> DataFrame:
+    """One row per user: last day, purchase sessions, purchase value."""
+    bought = F.col("event_type") == "purchase"
+    return fact.groupBy("user_id").agg(
         F.max("event_date").alias("last_seen_date"),
-        F.count_distinct(F.when(et == "purchase", F.col("user_session"))).alias("frequency"),
-        _zero_if_null(F.sum(F.when(et == "purchase", F.col("price")).otherwise(F.lit(0))))
-         .alias("monetary"))).withColumn("_day", F.unix_date("last_seen_date"))
+        F.count_distinct(F.when(bought, F.col("user_session"))).alias("frequency"),
+        _zero_if_null(F.sum(F.when(bought, F.col("price")).otherwise(F.lit(0)))).alias("monetary"))
+
+
+def rfm(fact: DataFrame, k: int = 5) -> DataFrame:
+    """Recency / frequency / monetary quintiles and segments of ``fact``."""
+    return rfm_scores(rfm_users(fact), k)
+
+
+def rfm_scores(users: DataFrame, k: int = 5) -> DataFrame:
+    """The mart from ``rfm_users``.  NTILE ties are broken by user_id
+    ascending (a NULL user, one group, first); the quintile bounds come from
+    the exact selection of the ranking operator, never from a global window.
+    Its first scan also gives the newest date."""
+    per_user = reliable(users).withColumn("_day", F.unix_date("last_seen_date"))
     known = survey(per_user, ["_day", "frequency", "monetary"])
     newest = F.lit(int(known["_day"]["high"] or 0))
     # The longest recency is the earliest day, so its ascending order is the
