@@ -8,6 +8,7 @@ instead of re-deriving the facts.
 from __future__ import annotations
 
 from concurrent.futures import ThreadPoolExecutor
+from dataclasses import dataclass
 from functools import cached_property
 import time
 
@@ -77,25 +78,47 @@ class Warehouse:
         return marts.product_matrix(self.fact)
 
 
-# Folder column of the layers that are filtered by date.
-FOLDERS = {"clean": "event_date", "fact": "event_date", "sessions": "session_date",
-           "funnel": "event_date"}
+@dataclass(frozen=True)
+class Layout:
+    """How a layer is stored: one folder per date, rows of a file in an order
+    that keeps a category's and a product's rows together (min/max of the row
+    groups), and Bloom filters on the ids that are looked up."""
+    folder: str | None = None
+    order: tuple[str, ...] = ()
+    bloom: tuple[str, ...] = ()
 
 
-def materialize(df: DataFrame, path: str, folder: str | None = None) -> DataFrame:
+IDS = ("user_session", "user_id", "product_id")
+LAYOUTS = {
+    "clean": Layout("event_date", ("category_code", "product_id"), IDS),
+    "fact": Layout("event_date", ("category_l1", "product_id"), IDS),
+    "sessions": Layout("session_date", ("user_id",), ("user_session", "user_id")),
+    "funnel": Layout("event_date"),
+    "rfm": Layout(None, ("user_id",), ("user_id",)),
+}
+
+
+def materialize(df: DataFrame, path: str, folder: str | None = None,
+                layout: Layout | None = None, **options) -> DataFrame:
     """Write a layer as Parquet and read it back: later layers scan files
     (column pruning, filter pushdown) instead of re-deriving the plan, and
     the lineage is cut, so a lost executor never replays upstream work.
 
-    With ``folder`` the table has one folder per date, so a date filter
-    opens only those; files are sized by adaptive execution."""
-    if folder:
-        (df.hint("rebalance", folder)
-         .sortWithinPartitions(folder, *[c for c in ("user_id",) if c in df.columns])
-         .write.mode("overwrite").option("partitionOverwriteMode", "static")
-         .option("compression", "zstd").partitionBy(folder).parquet(path))
-    else:
-        df.write.mode("overwrite").option("compression", "zstd").parquet(path)
+    With a ``folder`` (or one in ``layout``) the table has one folder per
+    date, so a date filter opens only those; files are sized by adaptive
+    execution.  ``options`` go to the writer."""
+    layout = layout or Layout(folder, tuple(c for c in ("user_id",) if folder and c in df.columns))
+    keys = [c for c in (layout.folder, *layout.order) if c]
+    rows = df.hint("rebalance", layout.folder) if layout.folder else df
+    write = (rows.sortWithinPartitions(*keys) if keys else rows).write.mode("overwrite")
+    write = write.option("partitionOverwriteMode", "static").option("compression", "zstd")
+    if layout.bloom:
+        write = write.option("parquet.bloom.filter.adaptive.enabled", "true")
+    for c in layout.bloom:
+        write = write.option(f"parquet.bloom.filter.enabled#{c}", "true")
+    for key, value in options.items():
+        write = write.option(key.replace("__", "."), value)
+    (write.partitionBy(layout.folder) if layout.folder else write).parquet(path)
     return df.sparkSession.read.parquet(path).select(*df.columns)
 
 
@@ -103,13 +126,15 @@ class MaterializedWarehouse(Warehouse):
     """A pipeline run: ingest to date-partitioned files, then the facts and
     marts as tables under ``out_dir`` (a shared folder on a cluster)."""
 
-    def __init__(self, spark: SparkSession, data_dir: str, out_dir: str, job_tag: str = ""):
+    def __init__(self, spark: SparkSession, data_dir: str, out_dir: str, job_tag: str = "",
+                 version_dir: str | None = None):
         super().__init__(spark, data_dir)
         self.out_dir = out_dir.rstrip("/")
+        self.version_dir = version_dir or self.out_dir
         self.job_tag = job_tag      # prefix of the job descriptions of this run
 
     def _path(self, name: str) -> str:
-        return f"{self.out_dir}/{name}"
+        return f"{self.out_dir if name == 'events' else self.version_dir}/{name}"
 
     def run_ingest(self) -> None:
         ingest.write_partitioned(ingest.clean_events(self.raw), self._path("events"))
@@ -123,7 +148,7 @@ class MaterializedWarehouse(Warehouse):
             source = facts.fact_events(self.stg, first)
         else:
             source = getattr(self, layer)
-        df = materialize(source, self._path(layer), FOLDERS.get(layer))
+        df = materialize(source, self._path(layer), layout=LAYOUTS.get(layer))
         self.__dict__[layer] = df
         return df
 
@@ -153,8 +178,8 @@ class CsvPipeline(MaterializedWarehouse):
     the first N dates), then facts and marts as tables under ``out_dir``."""
 
     def __init__(self, spark: SparkSession, raw_dir: str, out_dir: str,
-                 sample_days: int | None = None):
-        super().__init__(spark, raw_dir, out_dir)
+                 sample_days: int | None = None, version_dir: str | None = None):
+        super().__init__(spark, raw_dir, out_dir, version_dir=version_dir)
         self.sample_days = sample_days
 
     @cached_property
@@ -163,7 +188,7 @@ class CsvPipeline(MaterializedWarehouse):
         return ingest.staging_frame(ingest.first_partitions(events, self.sample_days))
 
     def reopen(self, layers) -> None:
-        """Use the tables of an earlier run."""
+        """Use the tables of a published version."""
         for layer in layers:
             self.__dict__[layer] = self.spark.read.parquet(self._path(layer))
 
@@ -189,9 +214,13 @@ def run_pipeline(spark: SparkSession, raw_dir: str, out_dir: str,
     Returns ``status`` (``success``, ``no_new_files`` if nothing had to be
     rebuilt, ``no_data``), ``files`` (statistics per file of this run),
     ``batches``, ``total_rows``, ``tables`` (Parquet folders under
-    ``out_dir``, a shared folder on a cluster), ``names`` (catalog tables),
-    ``seconds`` and ``checks``.
+    ``out_dir``, a shared folder on a cluster), ``names`` (catalog views),
+    ``version``, ``seconds`` and ``checks``.
+
+    The layers are written as a new version and published together when all
+    are whole: until then, and if the run dies, readers see the one before.
     """
+    from shoplens.plans import versions
     from shoplens.plans.checks import validate
     from shoplens.streaming.incremental import run_incremental_ingest
 
@@ -203,20 +232,26 @@ def run_pipeline(spark: SparkSession, raw_dir: str, out_dir: str,
                                     sample_weeks=sample_weeks, full_refresh=full_refresh,
                                     mode=mode, files_per_batch=files_per_batch)
     seconds["ingest"] = time.perf_counter() - t0
-    result |= {"tables": {}, "names": [], "seconds": seconds, "checks": {}, "warehouse": None}
+    result |= {"tables": {}, "names": [], "seconds": seconds, "checks": {}, "warehouse": None,
+               "version": None}
     if not _has_data(spark, f"{out_dir}/events"):
         return result | {"status": "no_data"}
-    p = CsvPipeline(spark, raw_dir, out_dir, sample_days=sample_days)
     layers = ("clean", "fact", *MART_LAYERS)
-    if result["status"] == "no_new_files" and sample_days is None and all(
-            _has_data(spark, p._path(layer)) for layer in layers):
+    newest = versions.current(spark, out_dir)
+    if result["status"] == "no_new_files" and sample_days is None and newest and set(layers) <= set(newest["layers"]):
+        p = CsvPipeline(spark, raw_dir, out_dir, version_dir=newest["path"])
         p.reopen(layers)
+        result["version"] = newest["version"]
     else:
+        result["version"], folder = versions.begin(spark, out_dir)
+        p = CsvPipeline(spark, raw_dir, out_dir, sample_days, folder)
         for layer in ("clean", "fact"):     # staging table, then the shared fact table
             t0 = time.perf_counter()
             p.build(layer)
             seconds[layer] = time.perf_counter() - t0
         seconds.update(p.build_many(MART_LAYERS, threads))
+        versions.publish(spark, out_dir, result["version"], folder, list(layers))
+        versions.expire(spark, out_dir)
     if publish:
         result["names"] = register_tables(p, layers, prefix)
     t0 = time.perf_counter()
@@ -256,17 +291,26 @@ def publish_tables(wh: Warehouse, layers=("fact", "sessions", *MART_LAYERS[1:]),
 
 
 def register_tables(wh: MaterializedWarehouse, layers, prefix: str = "") -> list[str]:
-    """Name the stored layers in the catalog (external tables over their
-    folders, nothing is copied); the staging model becomes a view."""
+    """Name the stored layers in the catalog: a lasting view over each folder,
+    replaced in one statement, so a name never vanishes and never shows a
+    half-written table.  The staging model is such a view over the staging
+    table."""
     spark, names = wh.spark, []
     for layer in layers:
         schema, table = TABLE_NAMES[layer]
         spark.sql(f"CREATE DATABASE IF NOT EXISTS {prefix}{schema}")
         name = f"{prefix}{schema}.{table}"
-        spark.sql(f"DROP TABLE IF EXISTS {name}")
-        spark.catalog.createTable(name, path=wh._path(layer), source="parquet")
-        if layer in FOLDERS:
-            spark.catalog.recoverPartitions(name)
+        columns = ", ".join(f"`{c}`" for c in getattr(wh, layer).columns)
+        _replace_view(spark, name, f"SELECT {columns} FROM parquet.`{wh._path(layer)}`")
         names.append(name)
-    wh.stg.createOrReplaceTempView(f"{prefix}stg_events_model")
+    if "clean" in layers:
+        (schema, source), (_, model) = TABLE_NAMES["clean"], TABLE_NAMES["stg"]
+        _replace_view(spark, f"{prefix}{schema}.{model}",
+                      staging.stg_events_sql(f"{prefix}{schema}.{source}"))
     return names
+
+
+def _replace_view(spark: SparkSession, name: str, query: str) -> None:
+    if spark.catalog.tableExists(name) and spark.catalog.getTable(name).tableType != "VIEW":
+        spark.sql(f"DROP TABLE {name}")         # a table that publish_tables left
+    spark.sql(f"CREATE OR REPLACE VIEW {name} AS {query}")

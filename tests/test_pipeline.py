@@ -81,3 +81,58 @@ def test_no_raw_files(spark, tmpdir_path):
     os.makedirs(raw)
     r = run_pipeline(spark, raw, os.path.join(tmpdir_path, "out"))
     assert r["files"] == [] and r["status"] == "no_data" and r["batches"] == 0 and r["checks"] == {}
+
+
+def _names(spark):
+    return {t: spark.table(t).count() for t in ("staging.stg_events", "staging.stg_events_model", "marts.fact_events",
+                                                "marts.mart_funnel_daily", "marts.mart_rfm")}
+
+
+def test_a_killed_run_leaves_the_old_tables(spark, tmpdir_path, monkeypatch):
+    """A run that dies in the middle changes nothing that readers see; the
+    next one publishes all layers together."""
+    import pytest
+
+    from shoplens.plans import versions, warehouse
+    raw, out = os.path.join(tmpdir_path, "raw"), os.path.join(tmpdir_path, "out")
+    os.makedirs(raw)
+    _csv(os.path.join(raw, "a.csv"), _day_rows(1, [1, 2, 3]) + _day_rows(2, [1], "purchase"))
+    first = run_pipeline(spark, raw, out, check="date_range")
+    before = _names(spark)
+    held = spark.table("marts.fact_events")         # a reader that has begun
+    assert first["version"] == 1 and before["marts.fact_events"] == 4
+
+    _csv(os.path.join(raw, "b.csv"), _day_rows(9, [2, 4]) + _day_rows(10, [4], "cart"))
+    real = warehouse.MaterializedWarehouse.build
+
+    def dies(self, layer):
+        if layer == "rfm":
+            raise RuntimeError("killed")
+        return real(self, layer)
+    monkeypatch.setattr(warehouse.MaterializedWarehouse, "build", dies)
+    with pytest.raises(RuntimeError, match="killed"):
+        run_pipeline(spark, raw, out, check="date_range")
+    assert _names(spark) == before and versions.current(spark, out)["version"] == 1
+    assert spark.read.parquet(f"{versions.current(spark, out)['path']}/fact").count() == 4
+
+    monkeypatch.undo()
+    again = run_pipeline(spark, raw, out, check="date_range", sample_days=99)
+    assert again["version"] == 2 and spark.table("marts.fact_events").count() == 7
+    assert held.count() == 4                        # its files are still there
+    left = sorted(d for d in os.listdir(out) if d.startswith("v"))
+    assert [d[:7] for d in left] == ["v000001", "v000002"]
+    run_pipeline(spark, raw, out, check="date_range", sample_days=99)
+    assert sorted(d[:7] for d in os.listdir(out) if d.startswith("v")) == ["v000002", "v000003"]
+
+
+def test_staging_model_is_a_lasting_view(spark, tmpdir_path):
+    from shoplens.plans.staging import stg_events
+    raw, out = os.path.join(tmpdir_path, "raw"), os.path.join(tmpdir_path, "out")
+    os.makedirs(raw)
+    _csv(os.path.join(raw, "a.csv"), _day_rows(1, [1, 2, 3]) + _day_rows(7, [1], "purchase"))
+    run_pipeline(spark, raw, out, check="date_range", prefix="v_")
+    view = spark.newSession().table("v_staging.stg_events_model")
+    model = stg_events(spark.table("v_staging.stg_events"))
+    assert view.dtypes == model.dtypes
+    assert sorted(map(tuple, view.collect())) == sorted(map(tuple, model.collect()))
+    assert spark.catalog.getTable("v_staging.stg_events_model").tableType == "VIEW"
