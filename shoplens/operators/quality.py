@@ -1,10 +1,13 @@
 """Declarative column tests: not_null, accepted_values, unique.
 
-Failures count what the test query returns: NULL rows for not_null (all
-not_null rules of a table in one global aggregate of ``count_if`` columns,
-unpivoted with ``stack``), distinct unexpected values for accepted_values
-(NULLs pass) and distinct repeated values for unique (NULLs ignored); the
-latter two are distinct-then-count branches.
+Failures count what the test query returns: NULL rows for not_null, distinct
+unexpected values for accepted_values (NULLs pass) and distinct repeated
+values for unique (NULLs ignored).
+
+All rules of a table are judged in one scan.  The not_null counts are kept per
+task while the row's values of the other rules are tagged with their rule and
+counted per (rule, value), a partial aggregate; accepted_values passes on
+unexpected values only.  A second grouping counts the failing values.
 """
 
 from __future__ import annotations
@@ -25,41 +28,37 @@ class Rule:
     values: Sequence = field(default_factory=tuple)
 
 
-def _failure_count(rule: Rule) -> Column:
-    if rule.test == "not_null":
-        return F.count_if(F.col(rule.column).isNull())
-    raise ValueError(rule.test)
-
-
-def _failing_values(df: DataFrame, rule: Rule) -> DataFrame:
+def _value(rule: Rule) -> Column:
+    """What a row contributes to a rule as text, NULL if nothing: the value to
+    count, or for not_null a mark."""
     c = F.col(rule.column)
+    if rule.test == "not_null":
+        return F.when(c.isNull(), F.lit(""))
     if rule.test == "accepted_values":
-        bad = df.where(c.isNotNull() & ~c.isin(*rule.values)).select(rule.column).distinct()
-    elif rule.test == "unique":
-        bad = (df.where(c.isNotNull()).groupBy(rule.column).count()
-               .where(F.col("count") > 1))
-    else:
-        raise ValueError(rule.test)
-    return bad.agg(F.count(F.lit(1)).alias("failures")).select(
-        F.lit(rule.column).alias("column_name"), F.lit(rule.test).alias("test_name"), "failures")
+        return F.when(c.isNotNull() & ~c.isin(*rule.values), c.cast("string"))
+    if rule.test == "unique":
+        return c.cast("string")
+    raise ValueError(rule.test)
 
 
 def table_report(table: str, df: DataFrame, rules: Sequence[Rule]) -> DataFrame | None:
-    parts = []
-    scan_rules = [r for r in rules if r.test == "not_null"]
-    if scan_rules:
-        counts = df.agg(*[_failure_count(r).alias(f"_f{i}") for i, r in enumerate(scan_rules)])
-        pairs = ", ".join(f"'{r.column}', '{r.test}', _f{i}" for i, r in enumerate(scan_rules))
-        parts.append(counts.selectExpr(
-            f"stack({len(scan_rules)}, {pairs}) AS (column_name, test_name, failures)"))
-    parts += [_failing_values(df, r) for r in rules if r.test != "not_null"]
-    if not parts:
+    """(table_name, column_name, test_name, failures) of a table's rules."""
+    if not rules:
         return None
-    out = parts[0]
-    for p in parts[1:]:
-        out = out.unionByName(p)
-    return out.select(F.lit(table).alias("table_name"), "column_name", "test_name",
-                      F.col("failures").cast("long").alias("failures"))
+    entry = "struct<rule:int,value:string>"
+    given = F.array(*[F.when(_value(r).isNotNull(), F.struct(F.lit(i).alias("rule"), _value(r).alias("value")))
+                      .cast(entry) for i, r in enumerate(rules)])
+    per_value = (df.select(F.explode(given).alias("_x")).where("_x IS NOT NULL")
+                 .groupBy("_x.rule", "_x.value").agg(F.count(F.lit(1)).alias("n")))
+    failures = []
+    for i, r in enumerate(rules):
+        own = F.col("rule") == i
+        failures.append(F.sum(F.when(own, F.col("n"))) if r.test == "not_null" else
+                        F.count_if(own & (F.col("n") > 1)) if r.test == "unique" else F.count_if(own))
+    counts = per_value.agg(*[F.coalesce(f, F.lit(0)).cast("long").alias(f"_f{i}") for i, f in enumerate(failures)])
+    pairs = ", ".join(f"'{r.column}', '{r.test}', _f{i}" for i, r in enumerate(rules))
+    return counts.selectExpr(f"'{table}' AS table_name",
+                             f"stack({len(rules)}, {pairs}) AS (column_name, test_name, failures)")
 
 
 def dq_report(tables: dict[str, DataFrame], rules: dict[str, Sequence[Rule]]) -> DataFrame:

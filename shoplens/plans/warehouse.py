@@ -14,7 +14,7 @@ import time
 
 from pyspark.sql import DataFrame, SparkSession
 
-from shoplens.plans import facts, ingest, marts, staging
+from shoplens.plans import facts, ingest, marts, sketches, staging, versions
 from shoplens.sources.fixture import raw_events_from_dir
 
 
@@ -77,6 +77,10 @@ class Warehouse:
     def product_matrix(self) -> DataFrame:
         return marts.product_matrix(self.fact)
 
+    @cached_property
+    def user_sketches(self) -> DataFrame:
+        return sketches.daily_user_sketches(self.fact)
+
 
 @dataclass(frozen=True)
 class Layout:
@@ -220,7 +224,6 @@ def run_pipeline(spark: SparkSession, raw_dir: str, out_dir: str,
     The layers are written as a new version and published together when all
     are whole: until then, and if the run dies, readers see the one before.
     """
-    from shoplens.plans import versions
     from shoplens.plans.checks import validate
     from shoplens.streaming.incremental import run_incremental_ingest
 

@@ -11,7 +11,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 
 from shoplens.functions.output import to_output
-from shoplens.plans import bi, checks, ingest
+from shoplens.plans import bi, checks, ingest, sketches
 from shoplens.plans.warehouse import Warehouse
 from shoplens.session import apply_core_conf
 
@@ -99,6 +99,9 @@ _BUILDERS: dict[str, Callable[[Warehouse], DataFrame]] = {
     "kpi_funnel": lambda w: bi.true_funnel(w.fact),
     "kpi_aov": lambda w: bi.aov_weekly(w.fact),
     "kpi_arpu": lambda w: bi.arpu_daily(w.fact),
+    # any range from daily sketches (exact up to 16,384 users of a range)
+    "kpi_trailing_active": lambda w: sketches.trailing_active(w.user_sketches),
+    "kpi_new_and_returned": lambda w: sketches.new_and_returned(w.user_sketches),
     # published results
     "rfm_segment_summary": lambda w: bi.rfm_segment_summary(w.rfm),
     "category_revenue_share": lambda w: bi.category_revenue_share(w.growth),

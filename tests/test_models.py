@@ -217,3 +217,15 @@ def test_growth_counts_distinct_users_and_products(spark):
             own[5] += kind == "purchase"
             own[6] += float(price or 0) * (kind == "purchase")
     assert got == {k: (*map(len, v[:5]), *v[5:]) for k, v in want.items()}
+
+
+def test_all_rules_of_a_table_read_it_once(spark, tmpdir_path):
+    from shoplens.operators.quality import Rule, table_report
+    spark.range(100).selectExpr("id k", "if(id % 7 = 0, null, id % 5) v").write.parquet(tmpdir_path + "/t")
+    df = spark.read.parquet(tmpdir_path + "/t")
+    rep = table_report("t", df, [Rule("v", "not_null"), Rule("k", "unique"), Rule("v", "unique"),
+                                 Rule("v", "accepted_values", (0, 1)), Rule("k", "accepted_values", range(50))])
+    got = {(r.column_name, r.test_name): r.failures for r in rep.collect()}
+    assert got == {("v", "not_null"): 15, ("k", "unique"): 0, ("v", "unique"): 5,
+                   ("v", "accepted_values"): 3, ("k", "accepted_values"): 50}
+    assert rep._jdf.queryExecution().executedPlan().toString().split("== Initial Plan ==")[0].count("FileScan") == 1
