@@ -66,19 +66,18 @@ def _hilbert(bits: int) -> str:
     return ",\n".join(steps)
 
 
-def _bin(low: str, high: str, key: str) -> str:
-    return (f"coalesce(least(floor(({key} - {low}) / nullif({high} - {low}, 0) * 16), 15), 0)::INT")
-
-
-_PREFIX = """
-  (SELECT coalesce(max(n), 0) FROM (SELECT unnest(range(2, 2 + least(length(lo), length(hi)), 2)) AS n,
-     lo, hi FROM (SELECT min(hex(encode({c}))) AS lo, max(hex(encode({c}))) AS hi FROM documents))
-   WHERE n <= least(length(lo), length(hi)) AND left(lo, n::INT) = left(hi, n::INT))"""
+def _edges(c: str) -> str:
+    """Bins above 0 of a column with their smallest values, from a sample of
+    its distinct values."""
+    return f"""
+  SELECT b, min(v) AS v FROM (
+    SELECT v, (row_number() OVER (ORDER BY v) - 1) * 16 // count(*) OVER () AS b
+    FROM (SELECT v FROM (SELECT DISTINCT {c} AS v FROM documents WHERE {c} IS NOT NULL)
+          ORDER BY md5(v::VARCHAR), v LIMIT 4096)) GROUP BY b HAVING b > 0"""
 
 
-def _string_key(c: str) -> str:
-    return (f"('0x' || rpad(substring(hex(encode({c})), ({_PREFIX.format(c=c)})::INT + 1, 14), 14, '0'))"
-            "::UBIGINT::DOUBLE")
+def _bin(table: str, c: str) -> str:
+    return f"coalesce((SELECT max(b) FROM {table} WHERE v <= {c}), 0)::INT"
 
 
 _OP2 = f"""
@@ -86,15 +85,15 @@ WITH {_CRC_TABLE},
 keyed AS (
   SELECT doc_id, coalesce(octet_length(encode(text)), 0) + 16 AS size,
          CASE WHEN coalesce(text, '') = '' THEN 0 ELSE {_CRC_OF_TEXT} END::BIGINT AS text_crc32,
-         {_string_key('lang')} AS a, {_string_key('source')} AS b,
-         log2(greatest(n_chars, 0)::DOUBLE + 1) AS c
+         lang, source, n_chars
   FROM documents, crc_table),
-extremes AS (
-  SELECT min(a) AS a0, max(a) AS a1, min(b) AS b0, max(b) AS b1, min(c) AS c0, max(c) AS c1 FROM keyed),
+lang_edges AS ({_edges('lang')}),
+source_edges AS ({_edges('source')}),
+size_edges AS ({_edges('n_chars')}),
 binned AS (
-  SELECT doc_id, size, text_crc32, {_bin('a0', 'a1', 'a')} AS x0, {_bin('b0', 'b1', 'b')} AS x1,
-         {_bin('c0', 'c1', 'c')} AS x2
-  FROM keyed, extremes),
+  SELECT doc_id, size, text_crc32, {_bin('lang_edges', 'lang')} AS x0,
+         {_bin('source_edges', 'source')} AS x1, {_bin('size_edges', 'n_chars')} AS x2
+  FROM keyed),
 {_hilbert(4)},
 placed AS (
   SELECT *, row_number() OVER (ORDER BY h, ('0x' || left(md5(coalesce(doc_id::VARCHAR, '')), 8))::BIGINT,
