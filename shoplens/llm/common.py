@@ -6,14 +6,13 @@ import uuid
 from collections.abc import Iterator
 
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame, SparkSession, Window
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from shoplens.session import ensure_checkpoint_dir
 from shoplens.sources.tables import read_table
 
-__all__ = ["read_table", "materialize", "positions_in_groups", "md5_rank", "document_name",
-           "slices", "unused"]
+__all__ = ["read_table", "materialize", "md5_rank", "document_name", "slices", "unused"]
 
 
 def materialize(df: DataFrame, name: str) -> DataFrame:
@@ -57,39 +56,3 @@ def md5_rank(*cols: Column) -> Column:
     """A well-mixed rank in [0, 2**32) from the given columns (nulls: empty)."""
     text = F.concat_ws("/", *[F.coalesce(c.cast("string"), F.lit("")) for c in cols])
     return F.conv(F.substring(F.md5(text), 1, 8), 16, 10).cast("long")
-
-
-def positions_in_groups(df: DataFrame, group: str, rank: str, ties: list[str],
-                        out: str = "position") -> DataFrame:
-    """Add the 0-based gapless position of each row inside its ``group``.
-
-    Rows of a group are ordered by ``rank`` (long in [0, 2**32), well mixed)
-    and then by ``ties``.  ``group`` must have a bounded domain.  A group is
-    cut into rank ranges, as many as its share of all rows asks for, so that
-    no range exceeds half an average shuffle partition even when one group
-    holds most rows.  Ranges are numbered locally and shifted by the rows
-    before them.  ``df`` is read several times: pass a stored table.
-    """
-    spark = df.sparkSession
-    ranges = 2 * shuffle_partitions(spark)
-    total = df.agg(F.greatest(F.count("*"), F.lit(1)).alias("n")).scalar()
-    per_group = df.groupBy(group).agg(F.count("*").alias("_rows"))
-    cuts = per_group.select(
-        F.col(group).alias("_group"),
-        F.ceil(F.col("_rows") * F.lit(ranges) / total).cast("long").alias("_cuts"))
-    placed = (df.join(F.broadcast(cuts), F.col(group).eqNullSafe(F.col("_group")))
-              .withColumn("_range", F.shiftright(F.col(rank) * F.col("_cuts"), 32))
-              .drop("_group", "_cuts"))
-    sizes = placed.groupBy(group, "_range").agg(F.count("*").alias("_size"))
-    before = Window.partitionBy(group).orderBy("_range").rowsBetween(
-        Window.unboundedPreceding, -1)
-    starts = sizes.select(
-        F.col(group).alias("_g"), F.col("_range").alias("_r"),
-        F.coalesce(F.sum("_size").over(before), F.lit(0)).alias("_start"))
-    local = Window.partitionBy(group, "_range").orderBy(rank, *ties)
-    numbered = placed.withColumn("_local", F.row_number().over(local) - 1)
-    return (numbered
-            .join(starts, F.col(group).eqNullSafe(F.col("_g"))
-                  & F.col("_range").eqNullSafe(F.col("_r")))
-            .withColumn(out, F.col("_start") + F.col("_local"))
-            .drop("_g", "_r", "_start", "_local", "_range"))

@@ -32,7 +32,8 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from shoplens.llm import tokens
-from shoplens.llm.common import materialize, md5_rank, positions_in_groups, slices
+from shoplens.llm.common import materialize, slices
+from shoplens.llm.ordering import numbered
 
 CAPACITY = 1024
 END_ID = 2
@@ -152,9 +153,9 @@ def plan_table(steps: list[tuple[dict[int, int], int]]) -> dict[str, np.ndarray]
 
 # -- assignment -----------------------------------------------------------
 
-def assign(numbered: DataFrame, table: dict[str, np.ndarray]) -> DataFrame:
+def assign(placed: DataFrame, table: dict[str, np.ndarray]) -> DataFrame:
     """Turn (length, position among its length) into sequence and offset."""
-    spark = numbered.sparkSession
+    spark = placed.sparkSession
     shared = spark.sparkContext.broadcast(table)     # bounded by the capacity
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -173,9 +174,9 @@ def assign(numbered: DataFrame, table: dict[str, np.ndarray]) -> DataFrame:
                  pa.array(t["offset"][row] + nth % each * length)],
                 [*kept, "sequence_id", "offset"])
 
-    columns = [f"{f.name} {f.dataType.simpleString()}" for f in numbered.schema
+    columns = [f"{f.name} {f.dataType.simpleString()}" for f in placed.schema
                if f.name != "position"]
-    return numbered.mapInArrow(run, ", ".join([*columns, "sequence_id long", "offset long"]))
+    return placed.mapInArrow(run, ", ".join([*columns, "sequence_id long", "offset long"]))
 
 
 def pack(docs: DataFrame, tokenizer: str = "byte_bpe_50k.json",
@@ -190,10 +191,8 @@ def pack(docs: DataFrame, tokenizer: str = "byte_bpe_50k.json",
     ranks = tokens.tokenizer_path(ranks) if ranks else None
     cut_docs = pieces(docs.select("doc_id", "text"), tokens.tokenizer_path(tokenizer),
                       ranks, capacity, with_ids)
-    stored = materialize(
-        cut_docs.withColumn("_rank", md5_rank(F.col("doc_id"), F.col("piece"))), "pieces")
+    stored = materialize(cut_docs, "pieces")
     counts = {r["length"]: r["n"] for r in
               stored.groupBy("length").agg(F.count("*").alias("n")).collect()}
-    numbered = positions_in_groups(stored, "length", "_rank",
-                                   ["doc_id", "piece", "ids_crc32"])
-    return assign(numbered.drop("_rank"), plan_table(plan(counts, capacity)))
+    placed = numbered(stored, ["doc_id", "piece", "ids_crc32"], "length", size="_pieces")
+    return assign(placed.drop("_pieces"), plan_table(plan(counts, capacity)))
