@@ -5,15 +5,21 @@ escaped by one backslash more than stands in front of them, which is undone
 exactly by taking one away; a real marker never has a backslash in front,
 because each one begins after a space or another marker.
 
-The turns arrive sorted by conversation and turn.  For each Arrow batch the
+The turns are dealt into ranges of (conversation, turn, role, text) and sorted
+inside each, so a conversation that holds a third of all turns is formatted
+by many tasks.  For each Arrow batch the
 lengths of all segments (marker, role, text, ...) give cumulative offsets;
 scatter indices then copy markers and contents with numpy into one
 preallocated buffer that becomes the Arrow string column.  No Python string
 is built per turn.
 
-A conversation is one output row, or several numbered parts if it is longer
-than ``PART_BYTES``, cut between turns; so the memory of a task is bounded
-however long a conversation is, and its parts in order are its text.
+A conversation is one output row, or several parts if it is longer than
+``PART_BYTES`` or goes on in the next range, cut between turns; so the memory
+of a task is bounded however long a conversation is.  Part numbers ascend (by
+range, then by place in it) but have gaps; the parts in order are its text.
+
+Reading back parses all parts on their own.  Only the running digests of a
+conversation have to follow its parts one after the other.
 
 Defined results: a null text is empty; a null role is the empty role; a
 null conv_id is a conversation of its own; turns are ordered by turn (null
@@ -29,9 +35,12 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+from pyspark import TaskContext
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from shoplens.llm.common import shuffle_partitions
+
 PART_BYTES = 8 << 20
 
 # The template (fixed values).  Roles not listed are written out.
@@ -110,7 +119,8 @@ def _lists(values: np.ndarray, owner: np.ndarray, n: int) -> pa.ListArray:
     return pa.ListArray.from_arrays(pa.array(ends), pa.array(values))
 
 
-FORMATTED = ("conv_id long, part int, formatted string, turns int, "
+_RANGE_SHIFT = 32           # of a part number: range above, part in the range below
+FORMATTED = ("conv_id long, part long, formatted string, turns int, "
              "loss_start array<long>, loss_end array<long>")
 
 def _new_conversation(conv: pa.Array) -> np.ndarray:
@@ -134,7 +144,7 @@ def _emit(turns: pa.Table, part: int) -> pa.RecordBatch:
     offsets = np.concatenate((begin, at[-1:])).astype("int32")
     formatted = pa.StringArray.from_buffers(len(starts), pa.py_buffer(offsets), pa.py_buffer(out))
     loss = np.flatnonzero(kind == LOSS_ROLE)
-    parts = np.zeros(len(starts), dtype="int32")
+    parts = np.full(len(starts), part >> _RANGE_SHIFT << _RANGE_SHIFT)
     parts[0] = part
     return pa.RecordBatch.from_arrays([
         batch.column("conv_id").take(pa.array(starts)), pa.array(parts), formatted,
@@ -145,21 +155,23 @@ def _emit(turns: pa.Table, part: int) -> pa.RecordBatch:
 
 
 def _format(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    task = TaskContext.get()
+    base = (task.partitionId() if task else 0) << _RANGE_SHIFT
     held: pa.Table | None = None        # turns of the conversation still open
-    part, cut_id = 0, None              # its next part; its id if none are held
+    part, cut_id = base, None           # its next part; its id if none are held
     for batch in batches:
         if not batch.num_rows:
             continue
         turns = pa.Table.from_batches([batch])
         if held is not None:
             turns = pa.concat_tables([held, turns])
-        elif part and turns.column("conv_id")[0].as_py() != cut_id:
-            part = 0
+        elif part > base and turns.column("conv_id")[0].as_py() != cut_id:
+            part = base
         ids = turns.column("conv_id").combine_chunks()
         last = int(np.flatnonzero(_new_conversation(ids))[-1])
         if last:
             yield _emit(turns.slice(0, last), part)
-            part = 0
+            part = base
         held = turns.slice(last)
         if held.nbytes > PART_BYTES:
             yield _emit(held, part)
@@ -171,15 +183,16 @@ def _format(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 def format_conversations(turns: DataFrame) -> DataFrame:
     """(conv_id, part, formatted, turns, loss_start, loss_end) of
     ``turns(conv_id, turn, role, text)``; the loss spans are byte ranges of
-    ``formatted`` that hold the assistant's (escaped) texts.  Parts of a
-    conversation follow one another in one partition.
+    ``formatted`` that hold the assistant's (escaped) texts.
     """
     role = F.coalesce("role", F.lit(""))
     kind = F.lit(OTHER)
     for k, name in enumerate(ROLES):
         kind = F.when(role == name, F.lit(k)).otherwise(kind)
     ordered = (turns.select(F.col("conv_id").cast("long"), "turn", "role", "text")
-               .repartition("conv_id")
+               .withColumn("salt", F.rand(3))
+               .repartitionByRange(shuffle_partitions(turns.sparkSession),
+                                   "conv_id", "turn", "role", "text", "salt")
                .sortWithinPartitions("conv_id", "turn", "role", "text"))
     return ordered.select("conv_id", kind.alias("kind"), _escape("role").alias("role"),
                           _escape("text").alias("text")).mapInArrow(_format, FORMATTED)
@@ -204,6 +217,36 @@ def parse(formatted: str) -> list[tuple[str, str]]:
     return out
 
 
+_PIECES = ("conv_id long, part long, n_turns long, turns binary, loss binary, loss_chars long, "
+           "formatted_chars long")
+
+
+def _pieces(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """What each formatted part adds to its conversation's digests."""
+    names = [c.split()[0] for c in _PIECES.split(", ")]
+    kinds = [pa.int64(), pa.int64(), pa.int64(), pa.binary(), pa.binary(), pa.int64(), pa.int64()]
+
+    def out(rows: list[tuple]) -> pa.RecordBatch:
+        return pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(zip(*rows), kinds)], names)
+
+    for batch in batches:
+        rows, size = [], 0
+        for k in range(batch.num_rows):
+            conv_id, part, formatted, a, b = (batch.column(c)[k].as_py() for c in (
+                "conv_id", "part", "formatted", "loss_start", "loss_end"))
+            found = parse(formatted)
+            turns = "".join(f"{role}\n{text}\n" for role, text in found).encode()
+            raw = formatted.encode()
+            loss = "".join(unescape(raw[i:j].decode()) for i, j in zip(a, b))
+            rows.append((conv_id, part, len(found), turns, loss.encode(), len(loss), len(formatted)))
+            size += len(raw)
+            if size > PART_BYTES:
+                yield out(rows)
+                rows, size = [], 0
+        if rows:
+            yield out(rows)
+
+
 class _Digest:
     """Running digests of one conversation."""
 
@@ -212,23 +255,19 @@ class _Digest:
         self.turns, self.loss = hashlib.sha256(), hashlib.sha256()
         self.n_turns = self.loss_chars = self.formatted_chars = 0
 
-    def add(self, formatted: str, spans: list[tuple[int, int]]) -> None:
-        for role, text in parse(formatted):
-            self.turns.update(f"{role}\n{text}\n".encode())
-            self.n_turns += 1
-        raw = formatted.encode()
-        for a, b in spans:
-            text = unescape(raw[a:b].decode())
-            self.loss.update(text.encode())
-            self.loss_chars += len(text)
-        self.formatted_chars += len(formatted)
+    def add(self, piece: dict) -> None:
+        self.turns.update(piece["turns"])
+        self.loss.update(piece["loss"])
+        self.n_turns += piece["n_turns"]
+        self.loss_chars += piece["loss_chars"]
+        self.formatted_chars += piece["formatted_chars"]
 
     def row(self) -> tuple:
         return (self.conv_id, self.n_turns, self.turns.hexdigest(), self.loss_chars,
                 self.loss.hexdigest(), self.formatted_chars)
 
 
-def _read_back(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+def _digests(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     schema = pa.schema([("conv_id", pa.int64()), ("n_turns", pa.int64()),
                         ("turns_sha256", pa.string()), ("loss_chars", pa.int64()),
                         ("loss_sha256", pa.string()), ("formatted_chars", pa.int64())])
@@ -241,13 +280,13 @@ def _read_back(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     now: _Digest | None = None
     for batch in batches:
         done = []
-        names = ("conv_id", "part", "formatted", "loss_start", "loss_end")
-        for conv_id, part, text, a, b in zip(*(batch.column(c).to_pylist() for c in names)):
-            if part == 0:
-                if now is not None:
-                    done.append(now.row())
-                now = _Digest(conv_id)
-            now.add(text, list(zip(a, b)))
+        for k in range(0, batch.num_rows, 100):
+            for piece in batch.slice(k, 100).to_pylist():
+                if now is None or piece["conv_id"] != now.conv_id:
+                    if now is not None:
+                        done.append(now.row())
+                    now = _Digest(piece["conv_id"])
+                now.add(piece)
         yield out(done)
     if now is not None:
         yield out([now.row()])
@@ -255,6 +294,7 @@ def _read_back(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 def read_back(formatted: DataFrame) -> DataFrame:
     """Digests of every conversation, parsed from the formatted text."""
-    return formatted.mapInArrow(
-        _read_back, "conv_id long, n_turns long, turns_sha256 string, loss_chars long, "
-                    "loss_sha256 string, formatted_chars long")
+    pieces = formatted.mapInArrow(_pieces, _PIECES)
+    return pieces.repartition("conv_id").sortWithinPartitions("conv_id", "part").mapInArrow(
+        _digests, "conv_id long, n_turns long, turns_sha256 string, loss_chars long, "
+                  "loss_sha256 string, formatted_chars long")

@@ -78,3 +78,18 @@ def test_escape_is_reversible(spark):
     for r in df.select("text", chat._escape("text").alias("e")).collect():
         assert chat.unescape(r.e) == r.text
         assert not chat.re.search(r"(?<!\\)" + chat.CONTROL, r.e)
+
+
+def test_a_hot_conversation_is_formatted_by_many_tasks(spark):
+    """A third of all turns in one conversation, and one without an id."""
+    rng = random.Random(12)
+    rows = [(rng.choice([7, 7, None, None, *range(100, 102)]) if k % 3 else 7, k, rng.choice(["user", "assistant"]), f"text {k} " * 20)
+            for k in range(8000)]
+    df = spark.createDataFrame(rows, "conv_id long, turn long, role string, text string").repartition(5)
+    formatted = chat.format_conversations(df).persist()
+    per_range = sorted(r.n for r in formatted.groupBy(F.shiftright("part", 32)).agg(F.sum("turns").alias("n")).collect())
+    assert len(per_range) == 4 and per_range[-1] <= 2 * per_range[1]
+    assert formatted.where("conv_id = 7").select(F.shiftright("part", 32)).distinct().count() >= 2
+    got = {r.conv_id: tuple(r)[1:5] for r in chat.read_back(formatted).collect()}
+    assert got == {c: digest([r for r in rows if r[0] == c]) for c in {r[0] for r in rows}}
+    formatted.unpersist()
