@@ -2,11 +2,14 @@
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 
-def with_key_aggregate(rows: DataFrame, key: str, value: Column, out: str) -> DataFrame:
+def with_key_aggregate(rows: DataFrame, key: str, value: Column, out: str,
+                       spread: Sequence[str]) -> DataFrame:
     """``rows`` plus ``out``: the aggregate ``value`` over all rows of the same
     ``key`` (NULL for a NULL key).
 
@@ -14,8 +17,9 @@ def with_key_aggregate(rows: DataFrame, key: str, value: Column, out: str) -> Da
     half an average shuffle partition are heavy; there are at most twice as
     many of them as partitions, whatever the data, and their values travel as
     one small map.  Their rows, and those without a key, are dealt out by a
-    hash of the whole row instead of the key, so they fill all partitions
-    evenly; all other rows meet their key's value in a shuffle join.  All of
+    hash of ``spread`` instead of the key (columns in which the rows of a key
+    differ; no others are read for it), so they fill all partitions evenly;
+    all other rows meet their key's value in a shuffle join.  All of
     it is one lazy plan: the map and the join read the same exchange.
     """
     spark = rows.sparkSession
@@ -30,7 +34,7 @@ def with_key_aggregate(rows: DataFrame, key: str, value: Column, out: str) -> Da
     known = F.element_at(heavy, F.col(key))
     dealt = (rows.withColumn("_known", known)
              .withColumn("_deal", F.when(F.col(key).isNull() | F.col("_known").isNotNull(),
-                                         F.xxhash64(*rows.columns).cast(kind)).otherwise(F.col(key))))
+                                         F.xxhash64(*spread).cast(kind)).otherwise(F.col(key))))
     values = per_key.where(light).select(F.col(key).alias("_key"), "_value")
     # A row of a heavy key is dealt by another number and finds no partner.
     joined = dealt.join(values, (F.col("_deal") == F.col("_key")) & (F.col(key) == F.col("_key")), "left")

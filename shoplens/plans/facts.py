@@ -24,7 +24,8 @@ def fact_events(stg: DataFrame, first: DataFrame | None = None) -> DataFrame:
     user is hot.  Without it the dates are found in the same plan, and hot
     users are dealt out there.
     """
-    joined = (with_key_aggregate(stg, "user_id", F.min("event_date"), "first_event_date")
+    joined = (with_key_aggregate(stg, "user_id", F.min("event_date"), "first_event_date",
+                                 ["event_timestamp", "event_type"])
               if first is None else stg.join(first, on="user_id", how="left"))
     return joined.select(
         "event_timestamp", "event_date", "event_week", "event_month", "event_type",

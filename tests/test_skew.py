@@ -28,7 +28,7 @@ def test_equals_brute_force(spark, small_partitions, hot):
     rows = [(rng.choice([7, 7, 8, None]) if rng.random() < hot else rng.choice([None, *range(300)]), rng.randrange(10 ** 6))
             for _ in range(3000)] + [(5, 1)] * 3
     df = spark.createDataFrame(rows, "k long, v long")
-    out = with_key_aggregate(df, "k", F.min("v"), "low")
+    out = with_key_aggregate(df, "k", F.min("v"), "low", ["v"])
     assert out.columns == ["k", "v", "low"]
     low = {}
     for k, v in rows:
@@ -39,9 +39,9 @@ def test_equals_brute_force(spark, small_partitions, hot):
 
 def test_empty_and_lone_rows(spark):
     df = spark.createDataFrame([], "k long, v long")
-    assert with_key_aggregate(df, "k", F.max("v"), "top").count() == 0
+    assert with_key_aggregate(df, "k", F.max("v"), "top", ["v"]).count() == 0
     one = spark.createDataFrame([(None, 3)], "k long, v long")
-    assert [tuple(r) for r in with_key_aggregate(one, "k", F.max("v"), "top").collect()] == [(None, 3, None)]
+    assert [tuple(r) for r in with_key_aggregate(one, "k", F.max("v"), "top", ["v"]).collect()] == [(None, 3, None)]
 
 
 def _events(spark, user):
