@@ -18,12 +18,18 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 LOG = "_versions"
-LOG_SCHEMA = "version long, path string, layers array<string>"
+LOG_SCHEMA = ("version long, path string, layers array<string>, generation long, batch_id long, "
+              "sample_days int, sample_weeks int, mode string, "
+              "parts map<string, array<struct<path: string, dates: array<date>>>>, "
+              "columns map<string, array<string>>")
 KEEP = 2                # versions whose files stay
 
 
 def log(spark: SparkSession, root: str) -> DataFrame:
-    """The published versions: (version, path, layers)."""
+    """The published versions: folder and layers, what the version was built
+    from (the ledger's generation and last batch, samples, mode), and the
+    parts of its dated layers (``plans/refresh.py``).  Versions written before
+    a column existed have NULL there."""
     try:
         return spark.read.schema(LOG_SCHEMA).parquet(f"{root}/{LOG}")
     except AnalysisException:                   # nothing published yet
@@ -33,7 +39,7 @@ def log(spark: SparkSession, root: str) -> DataFrame:
 def current(spark: SparkSession, root: str) -> dict | None:
     """The newest published version, or None."""
     row = log(spark, root).orderBy(F.desc("version")).first()
-    return None if row is None else row.asDict()
+    return None if row is None else row.asDict(recursive=True)
 
 
 def begin(spark: SparkSession, root: str) -> tuple[int, str]:
@@ -43,17 +49,24 @@ def begin(spark: SparkSession, root: str) -> tuple[int, str]:
     return version, f"{root}/v{version:06d}-{uuid.uuid4().hex[:8]}"
 
 
-def publish(spark: SparkSession, root: str, version: int, path: str, layers: list[str]) -> None:
+def publish(spark: SparkSession, root: str, version: int, path: str, layers: list[str],
+            parts: dict[str, list[tuple]] | None = None,
+            columns: dict[str, list[str]] | None = None, **built_from) -> None:
     """Make a whole version the current one: a single file joins the log."""
-    (spark.createDataFrame([(version, path, list(layers))], LOG_SCHEMA).coalesce(1)
+    names = ("generation", "batch_id", "sample_days", "sample_weeks", "mode")
+    row = (version, path, list(layers), *(built_from.get(n) for n in names), parts, columns)
+    (spark.createDataFrame([row], LOG_SCHEMA).coalesce(1)
      .write.mode("append").parquet(f"{root}/{LOG}"))
 
 
 def expire(spark: SparkSession, root: str, keep: int = KEEP) -> list[str]:
-    """Remove the folders of all but the newest ``keep`` published versions,
-    and those of runs that died before them; returns the removed names."""
-    published = {r["path"].rsplit("/", 1)[-1] for r in
-                 log(spark, root).orderBy(F.desc("version")).limit(keep).collect()}
+    """Remove the folders that none of the newest ``keep`` published versions
+    reads, and those of runs that died before them; returns the removed names."""
+    published = set()
+    for row in log(spark, root).orderBy(F.desc("version")).limit(keep).collect():
+        published.add(row["path"].rsplit("/", 1)[-1])
+        published.update(part["path"].rsplit("/", 2)[-2]
+                         for parts in (row["parts"] or {}).values() for part in parts if part["path"])
     path_type = spark.sparkContext._jvm.org.apache.hadoop.fs.Path
     folder = path_type(root)
     fs = folder.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())

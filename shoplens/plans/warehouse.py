@@ -14,7 +14,8 @@ import time
 
 from pyspark.sql import DataFrame, SparkSession
 
-from shoplens.plans import facts, ingest, marts, sketches, staging, versions
+from shoplens.plans import facts, ingest, marts, refresh, sketches, staging, versions
+from shoplens.session import reliable
 from shoplens.sources.fixture import raw_events_from_dir
 
 
@@ -45,7 +46,6 @@ class Warehouse:
         """Checkpoint ``fact_events`` once (shared checkpoint folder) before
         deriving several layers from it in one query, so the fact chain is
         not recomputed per branch and a lost executor does not replay it."""
-        from shoplens.session import reliable
         self.__dict__["fact"] = reliable(self.fact)
         return self
 
@@ -104,9 +104,16 @@ LAYOUTS = {
 
 def materialize(df: DataFrame, path: str, folder: str | None = None,
                 layout: Layout | None = None, **options) -> DataFrame:
-    """Write a layer as Parquet and read it back: later layers scan files
-    (column pruning, filter pushdown) instead of re-deriving the plan, and
-    the lineage is cut, so a lost executor never replays upstream work.
+    """Write a layer as Parquet (``store``) and read it back: later layers scan
+    files (column pruning, filter pushdown) instead of re-deriving the plan, and
+    the lineage is cut, so a lost executor never replays upstream work."""
+    store(df, path, folder, layout, **options)
+    return df.sparkSession.read.parquet(path).select(*df.columns)
+
+
+def store(df: DataFrame, path: str, folder: str | None = None,
+          layout: Layout | None = None, **options) -> None:
+    """Write a layer as Parquet.
 
     With a ``folder`` (or one in ``layout``) the table has one folder per
     date, so a date filter opens only those; files are sized by adaptive
@@ -123,7 +130,6 @@ def materialize(df: DataFrame, path: str, folder: str | None = None,
     for key, value in options.items():
         write = write.option(key.replace("__", "."), value)
     (write.partitionBy(layout.folder) if layout.folder else write).parquet(path)
-    return df.sparkSession.read.parquet(path).select(*df.columns)
 
 
 class MaterializedWarehouse(Warehouse):
@@ -136,10 +142,16 @@ class MaterializedWarehouse(Warehouse):
         self.out_dir = out_dir.rstrip("/")
         self.version_dir = version_dir or self.out_dir
         self.job_tag = job_tag      # prefix of the job descriptions of this run
+        self.parts: dict[str, list[refresh.Part]] = {}     # of layers that are not one folder
 
     def _path(self, name: str) -> str:
         return f"{self.out_dir if name == 'events' else self.version_dir}/{name}"
 
+    def folder_of(self, layer: str) -> str | None:
+        """The folder of a layer; None if it is made of several parts."""
+        parts = self.parts.get(layer) or [refresh.Part(self._path(layer))]
+        return parts[0].path if len(parts) == 1 else None
+
     def run_ingest(self) -> None:
         ingest.write_partitioned(ingest.clean_events(self.raw), self._path("events"))
         self.__dict__["clean"] = ingest.read_partitioned(self.spark, self._path("events"))
@@ -191,10 +203,56 @@ class CsvPipeline(MaterializedWarehouse):
         events = ingest.read_partitioned(self.spark, self._path("events"))
         return ingest.staging_frame(ingest.first_partitions(events, self.sample_days))
 
-    def reopen(self, layers) -> None:
+    def reopen(self, version: dict, layers) -> None:
         """Use the tables of a published version."""
         for layer in layers:
-            self.__dict__[layer] = self.spark.read.parquet(self._path(layer))
+            columns = (version["columns"] or {}).get(layer, ["*"])
+            if layer in refresh.DATED:
+                self.use_parts(layer, refresh.parts_of(version, layer), columns)
+            else:
+                self.__dict__[layer] = (self.spark.read.parquet(f"{version['path']}/{layer}")
+                                        .select(*columns))
+
+    def use_parts(self, layer: str, parts: list[refresh.Part], columns: list[str]) -> DataFrame:
+        self.parts[layer] = parts
+        whole = refresh.read_parts(self.spark, parts, refresh.DATED[layer])
+        self.__dict__[layer] = whole.select(*columns)
+        return self.__dict__[layer]
+
+    def add_part(self, layer: str, rows: DataFrame, dates: list, before: list[refresh.Part]) -> DataFrame:
+        """Write the rows of some dates; the layer is the parts before and these."""
+        store(rows, self._path(layer), layout=LAYOUTS[layer])
+        path = self._path(layer) if _has_data(self.spark, self._path(layer)) else None
+        return self.use_parts(layer, [*before, refresh.Part(path, tuple(dates))], rows.columns)
+
+    def refresh(self, version: dict, touched: list) -> bool:
+        """Build the dated layers from those of ``version`` and the events of
+        the dates that have changed since; False (and nothing is used of it)
+        where building them anew is no dearer."""
+        old = CsvPipeline(self.spark, self.data_dir, self.out_dir)
+        old.reopen(version, refresh.DATED)
+        if len(old.parts["fact"]) >= refresh.MAX_PARTS or not touched:
+            return False
+        # The sink below ``events`` holds the new state of every date.
+        stg = staging.stg_events(self.clean)
+        n_dates = self.clean.select("event_date").distinct().count()
+        if len(touched) > refresh.MAX_SHARE * n_dates:
+            return False
+        old_first = self.spark.read.parquet(f"{version['path']}/first_dates")
+        new_first = materialize(
+            refresh.first_dates(old_first, old.fact, refresh.on_dates(stg, "event_date", touched), touched),
+            self._path("first_dates"))
+        tagged = refresh.dates_to_tag(old_first, new_first, old.fact, touched)
+        if len(tagged) > refresh.MAX_SHARE * n_dates:
+            return False
+        self.add_part("clean", refresh.on_dates(self.clean, "event_date", touched), touched, old.parts["clean"])
+        fact = facts.fact_events(refresh.on_dates(stg, "event_date", tagged), new_first)
+        self.add_part("fact", fact, tagged, old.parts["fact"])
+        funnel = marts.funnel_daily(refresh.on_dates(self.fact, "event_date", tagged))
+        self.add_part("funnel", funnel, tagged, old.parts["funnel"])
+        sessions, began = refresh.changed_sessions(old.sessions, old.fact, self.fact, touched, reliable)
+        self.add_part("sessions", sessions, began, old.parts["sessions"])
+        return True
 
 
 def _has_data(spark: SparkSession, path: str) -> bool:
@@ -212,55 +270,82 @@ def run_pipeline(spark: SparkSession, raw_dir: str, out_dir: str,
                  checkpoint_root: str | None = None, full_refresh: bool = False,
                  sample_weeks: int | None = None, sample_days: int | None = None,
                  threads: int = 4, check: str = "all", files_per_batch: int = 1,
-                 mode: str = "replace", publish: bool = True, prefix: str = "") -> dict:
+                 mode: str = "replace", publish: bool = True, prefix: str = "",
+                 rebuild: str = "touched") -> dict:
     """Ingest new raw files, rebuild staging, facts and marts, validate.
 
+    With ``rebuild="touched"`` only the dates that changed since the current
+    version are rewritten in the dated layers (``plans/refresh.py``; the rows
+    are those of a full rebuild), ``"all"`` builds every layer anew.  A version
+    whose files an earlier run took in without publishing them is made up for.
+
     Returns ``status`` (``success``, ``no_new_files`` if nothing had to be
     rebuilt, ``no_data``), ``files`` (statistics per file of this run),
-    ``batches``, ``total_rows``, ``tables`` (Parquet folders under
-    ``out_dir``, a shared folder on a cluster), ``names`` (catalog views),
-    ``version``, ``seconds`` and ``checks``.
+    ``batches``, ``total_rows``, ``tables`` (the Parquet folder of each layer
+    under ``out_dir``, a shared folder on a cluster; None for a layer of
+    several parts, which its view or the ``warehouse`` reads), ``names``
+    (catalog views), ``version``, ``rebuilt`` (``all``, ``touched`` or
+    ``nothing``), ``seconds`` and ``checks``.
 
     The layers are written as a new version and published together when all
     are whole: until then, and if the run dies, readers see the one before.
     """
     from shoplens.plans.checks import validate
-    from shoplens.streaming.incremental import run_incremental_ingest
+    from shoplens.streaming.incremental import dates_since, run_incremental_ingest
 
+    if rebuild not in ("touched", "all"):
+        raise ValueError(rebuild)
     out_dir = out_dir.rstrip("/")
+    checkpoint_root = checkpoint_root or f"{out_dir}/_checkpoints"
     seconds: dict[str, float] = {}
     t0 = time.perf_counter()
     result = run_incremental_ingest(spark, raw_dir, f"{out_dir}/events",
-                                    checkpoint_root or f"{out_dir}/_checkpoints",
+                                    checkpoint_root,
                                     sample_weeks=sample_weeks, full_refresh=full_refresh,
                                     mode=mode, files_per_batch=files_per_batch)
     seconds["ingest"] = time.perf_counter() - t0
     result |= {"tables": {}, "names": [], "seconds": seconds, "checks": {}, "warehouse": None,
-               "version": None}
+               "version": None, "rebuilt": "nothing"}
     if not _has_data(spark, f"{out_dir}/events"):
         return result | {"status": "no_data"}
     layers = ("clean", "fact", *MART_LAYERS)
     newest = versions.current(spark, out_dir)
-    if result["status"] == "no_new_files" and sample_days is None and newest and set(layers) <= set(newest["layers"]):
+    built_from = {"generation": result["generation"], "batch_id": result["batch_id"],
+                  "sample_days": sample_days, "sample_weeks": sample_weeks, "mode": mode}
+    # A version of other samples, or of another generation, says nothing of this one.
+    fits = (newest is not None and set(layers) <= set(newest["layers"])
+            and all(newest[k] == v for k, v in built_from.items() if k != "batch_id"))
+    if fits and sample_days is None and newest["batch_id"] == result["batch_id"] and rebuild == "touched":
         p = CsvPipeline(spark, raw_dir, out_dir, version_dir=newest["path"])
-        p.reopen(layers)
-        result["version"] = newest["version"]
+        p.reopen(newest, layers)
+        result |= {"version": newest["version"], "rebuilt": "nothing"}
     else:
         result["version"], folder = versions.begin(spark, out_dir)
         p = CsvPipeline(spark, raw_dir, out_dir, sample_days, folder)
-        for layer in ("clean", "fact"):     # staging table, then the shared fact table
-            t0 = time.perf_counter()
-            p.build(layer)
-            seconds[layer] = time.perf_counter() - t0
-        seconds.update(p.build_many(MART_LAYERS, threads))
-        versions.publish(spark, out_dir, result["version"], folder, list(layers))
+        touched = (dates_since(spark, checkpoint_root, newest["generation"], newest["batch_id"])
+                   if fits and sample_days is None and rebuild == "touched" else None)
+        t0 = time.perf_counter()
+        if touched and p.refresh(newest, touched):
+            seconds["refresh"] = time.perf_counter() - t0
+            result["rebuilt"] = "touched"
+            missing = [m for m in MART_LAYERS if m not in refresh.DATED]
+        else:
+            for layer in ("clean", "fact"):     # staging table, then the shared fact table
+                t0 = time.perf_counter()
+                p.build(layer)
+                seconds[layer] = time.perf_counter() - t0
+            result["rebuilt"], missing = "all", MART_LAYERS
+        seconds.update(p.build_many(missing, threads))
+        versions.publish(spark, out_dir, result["version"], folder, list(layers),
+                         refresh.stored_parts(p.parts),
+                         {k: getattr(p, k).columns for k in layers}, **built_from)
         versions.expire(spark, out_dir)
     if publish:
         result["names"] = register_tables(p, layers, prefix)
     t0 = time.perf_counter()
     result["checks"] = validate(p, check)
     seconds["checks"] = time.perf_counter() - t0
-    return result | {"tables": {k: p._path(k) for k in ("events", *layers)}, "warehouse": p}
+    return result | {"tables": {k: p.folder_of(k) for k in ("events", *layers)}, "warehouse": p}
 
 
 # Catalog names of the layers (schema, table), as the models are known.
@@ -303,8 +388,9 @@ def register_tables(wh: MaterializedWarehouse, layers, prefix: str = "") -> list
         schema, table = TABLE_NAMES[layer]
         spark.sql(f"CREATE DATABASE IF NOT EXISTS {prefix}{schema}")
         name = f"{prefix}{schema}.{table}"
-        columns = ", ".join(f"`{c}`" for c in getattr(wh, layer).columns)
-        _replace_view(spark, name, f"SELECT {columns} FROM parquet.`{wh._path(layer)}`")
+        parts = wh.parts.get(layer) or [refresh.Part(wh._path(layer))]
+        _replace_view(spark, name, refresh.select_parts(parts, refresh.DATED.get(layer),
+                                                        getattr(wh, layer).columns))
         names.append(name)
     if "clean" in layers:
         (schema, source), (_, model) = TABLE_NAMES["clean"], TABLE_NAMES["stg"]

@@ -23,6 +23,7 @@ modification time and forgets or skips files by age.
 
 from __future__ import annotations
 
+import datetime as dt
 from functools import reduce
 
 from py4j.protocol import Py4JJavaError
@@ -39,7 +40,7 @@ LEDGER = "ledger"
 LEDGER_SCHEMA = ("generation long, batch_id long, file string, total_rows long, "
                  "unparsed_rows long, invalid_event_types long, invalid_prices long, "
                  "min_time timestamp_ntz, max_time timestamp_ntz, processed_rows long, "
-                 "partitions long")
+                 "partitions long, dates array<date>")
 STATISTICS = [c.split()[0] for c in LEDGER_SCHEMA.split(", ")][3:]
 
 
@@ -120,7 +121,8 @@ def _run_batch(spark: SparkSession, paths: list[str], out_dir: str, sample_weeks
         clean = _sample_per_file(clean, sample_weeks)
     clean_metrics = _per_file(files, {
         "processed_rows": lambda own: F.count_if(own),
-        "partitions": lambda own: F.size(F.collect_set(F.when(own, F.col("event_date"))))})
+        "dates": lambda own: F.array_join(F.array_sort(F.collect_set(
+            F.when(own, F.col("event_date").cast("string")))), " ")})
     kept, clean = clean, clean.observe(after, *clean_metrics)
     folders: tuple[str, ...] = ("event_date",)
     if mode == "per_file":
@@ -132,8 +134,23 @@ def _run_batch(spark: SparkSession, paths: list[str], out_dir: str, sample_weeks
         clean = clean.drop("_src")
     write_partitioned(clean, out_dir, partition_cols=folders)
     found = _found(before, raw, raw_metrics) | _found(after, kept, clean_metrics)
-    return [{"file": name, **{k: found[f"{k}_{i}"] for k in STATISTICS}}
-            for i, name in enumerate(files)]
+    done = []
+    for i, name in enumerate(files):
+        dates = [dt.date.fromisoformat(d) for d in found[f"dates_{i}"].split()]
+        counts = {k: found[f"{k}_{i}"] for k in STATISTICS if k not in ("partitions", "dates")}
+        done.append({"file": name, **counts, "partitions": len(dates), "dates": dates})
+    return done
+
+
+def dates_since(spark: SparkSession, checkpoint_root: str, generation: int, batch_id: int) -> list[dt.date] | None:
+    """The dates that batches of the generation after ``batch_id`` wrote, or
+    None where the ledger does not know (entries of an older layout).  Read
+    from all entries: a batch entered twice wrote its dates twice."""
+    later = (spark.read.schema(LEDGER_SCHEMA).parquet(f"{checkpoint_root}/{LEDGER}")
+             .where((F.col("generation") == generation) & (F.col("batch_id") > batch_id)))
+    found = later.agg(F.count_if(F.col("dates").isNull()),
+                      F.array_distinct(F.flatten(F.collect_set("dates")))).first()
+    return None if found[0] else sorted(found[1])
 
 
 def run_incremental_ingest(spark: SparkSession, raw_dir: str, out_dir: str,
@@ -143,8 +160,9 @@ def run_incremental_ingest(spark: SparkSession, raw_dir: str, out_dir: str,
     """Process the raw CSV files not yet seen.
 
     Returns ``status`` (``success`` or ``no_new_files``), ``files`` (the
-    statistics of each file of this run), ``batches`` and ``total_rows`` (raw
-    rows of the whole generation so far).
+    statistics of each file of this run), ``batches``, ``total_rows`` (raw
+    rows of the whole generation so far), ``generation`` and ``batch_id`` (the
+    last one entered).
     """
     if mode not in ("replace", "per_file"):
         raise ValueError(mode)
@@ -165,4 +183,5 @@ def run_incremental_ingest(spark: SparkSession, raw_dir: str, out_dir: str,
          .write.mode("append").parquet(f"{checkpoint_root}/{LEDGER}"))
         done += stats
     return {"status": "success" if done else "no_new_files", "files": done, "batches": batches,
-            "total_rows": known + sum(s["total_rows"] for s in done)}
+            "total_rows": known + sum(s["total_rows"] for s in done),
+            "generation": generation, "batch_id": batch_id}
