@@ -271,13 +271,14 @@ def run_pipeline(spark: SparkSession, raw_dir: str, out_dir: str,
                  sample_weeks: int | None = None, sample_days: int | None = None,
                  threads: int = 4, check: str = "all", files_per_batch: int = 1,
                  mode: str = "replace", publish: bool = True, prefix: str = "",
-                 rebuild: str = "touched") -> dict:
+                 rebuild: str = "touched", stream: bool = False) -> dict:
     """Ingest new raw files, rebuild staging, facts and marts, validate.
 
     With ``rebuild="touched"`` only the dates that changed since the current
     version are rewritten in the dated layers (``plans/refresh.py``; the rows
     are those of a full rebuild), ``"all"`` builds every layer anew.  A version
     whose files an earlier run took in without publishing them is made up for.
+    With ``stream`` the files come as a stream (``streaming/arrivals.py``).
 
     Returns ``status`` (``success``, ``no_new_files`` if nothing had to be
     rebuilt, ``no_data``), ``files`` (statistics per file of this run),
@@ -291,6 +292,7 @@ def run_pipeline(spark: SparkSession, raw_dir: str, out_dir: str,
     are whole: until then, and if the run dies, readers see the one before.
     """
     from shoplens.plans.checks import validate
+    from shoplens.streaming.arrivals import run_stream_ingest
     from shoplens.streaming.incremental import dates_since, run_incremental_ingest
 
     if rebuild not in ("touched", "all"):
@@ -299,10 +301,9 @@ def run_pipeline(spark: SparkSession, raw_dir: str, out_dir: str,
     checkpoint_root = checkpoint_root or f"{out_dir}/_checkpoints"
     seconds: dict[str, float] = {}
     t0 = time.perf_counter()
-    result = run_incremental_ingest(spark, raw_dir, f"{out_dir}/events",
-                                    checkpoint_root,
-                                    sample_weeks=sample_weeks, full_refresh=full_refresh,
-                                    mode=mode, files_per_batch=files_per_batch)
+    take_in = run_stream_ingest if stream else run_incremental_ingest
+    result = take_in(spark, raw_dir, f"{out_dir}/events", checkpoint_root, sample_weeks=sample_weeks,
+                     full_refresh=full_refresh, mode=mode, files_per_batch=files_per_batch)
     seconds["ingest"] = time.perf_counter() - t0
     result |= {"tables": {}, "names": [], "seconds": seconds, "checks": {}, "warehouse": None,
                "version": None, "rebuilt": "nothing"}

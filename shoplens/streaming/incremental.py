@@ -17,8 +17,9 @@ known yet.
 * The first-N-weeks sample uses each file's own first date.
 * Statistics per file are observed in the same pass as the write.
 
-The streaming file source is not used here: its ledger orders by
-modification time and forgets or skips files by age.
+The streaming file source is not used on the raw folder: it orders by
+modification time and forgets or skips files by age.  ``arrivals.py`` streams
+a log of the names instead.
 """
 
 from __future__ import annotations
@@ -166,22 +167,40 @@ def run_incremental_ingest(spark: SparkSession, raw_dir: str, out_dir: str,
     """
     if mode not in ("replace", "per_file"):
         raise ValueError(mode)
+    ledger, generation, batch_id = ledger_state(spark, checkpoint_root, full_refresh)
+    paths = _new_files(spark, raw_dir, ledger, generation)
+    done = process_files(spark, paths, out_dir, checkpoint_root, generation, sample_weeks, mode,
+                         files_per_batch)
+    return ingest_result(spark, checkpoint_root, generation, done)
+
+
+def ledger_state(spark: SparkSession, checkpoint_root: str, full_refresh: bool) -> tuple[DataFrame, int, int]:
+    """(ledger, generation to work in, last batch entered)."""
     ledger = ingest_log(spark, checkpoint_root)
     newest = ledger.agg(F.max("generation"), F.max("batch_id")).first()
-    generation = (newest[0] or 0) + (1 if full_refresh or not newest[0] else 0)
-    batch_id = newest[1] or 0
-    paths = _new_files(spark, raw_dir, ledger, generation)
-    known = (ledger.where(F.col("generation") == generation)
-             .agg(F.coalesce(F.sum("total_rows"), F.lit(0))).first()[0])
-    done: list[dict] = []
-    batches = 0
+    return ledger, (newest[0] or 0) + (1 if full_refresh or not newest[0] else 0), newest[1] or 0
+
+
+def process_files(spark: SparkSession, paths: list[str], out_dir: str, checkpoint_root: str, generation: int,
+                  sample_weeks: int | None, mode: str, files_per_batch: int) -> list[list[dict]]:
+    """Write the files in batches, entering each in the ledger; the
+    statistics per batch and file."""
+    batch_id = ledger_state(spark, checkpoint_root, False)[2]
+    done: list[list[dict]] = []
     for k in range(0, len(paths), files_per_batch):
-        batch_id, batches = batch_id + 1, batches + 1
+        batch_id += 1
         stats = _run_batch(spark, paths[k:k + files_per_batch], out_dir, sample_weeks, mode)
         rows = [tuple([generation, batch_id, s["file"], *(s[c] for c in STATISTICS)]) for s in stats]
         (spark.createDataFrame(rows, LEDGER_SCHEMA).coalesce(1)
          .write.mode("append").parquet(f"{checkpoint_root}/{LEDGER}"))
-        done += stats
-    return {"status": "success" if done else "no_new_files", "files": done, "batches": batches,
-            "total_rows": known + sum(s["total_rows"] for s in done),
-            "generation": generation, "batch_id": batch_id}
+        done.append(stats)
+    return done
+
+
+def ingest_result(spark: SparkSession, checkpoint_root: str, generation: int, done: list[list[dict]]) -> dict:
+    """What a run returns, see ``run_incremental_ingest``."""
+    ledger, _, batch_id = ledger_state(spark, checkpoint_root, False)
+    total = (ledger.where(F.col("generation") == generation)
+             .agg(F.coalesce(F.sum("total_rows"), F.lit(0))).first()[0])
+    return {"status": "success" if done else "no_new_files", "files": [s for b in done for s in b],
+            "batches": len(done), "total_rows": total, "generation": generation, "batch_id": batch_id}

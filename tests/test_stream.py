@@ -1,0 +1,76 @@
+"""The ingest as a stream of arrived names."""
+
+import os
+import time
+
+import pytest
+from pyspark.errors import StreamingQueryException
+
+from shoplens.streaming import incremental
+from shoplens.streaming.arrivals import run_stream_ingest
+from shoplens.streaming.incremental import ingest_log, run_incremental_ingest
+from tests.test_ingest import _csv, _row, _rows
+
+
+def _run(spark, tmp, **kw):
+    return run_stream_ingest(spark, os.path.join(tmp, "raw"), os.path.join(tmp, "processed"),
+                             os.path.join(tmp, "ckpt"), **kw)
+
+
+def test_runs_an_old_late_file_and_a_refresh(spark, tmpdir_path):
+    raw = os.path.join(tmpdir_path, "raw")
+    os.makedirs(raw)
+    assert _run(spark, tmpdir_path)["status"] == "no_new_files"
+    # By time b is older; the order is by name, so b's rows of 2 January stay.
+    _csv(os.path.join(raw, "a.csv"), [_row("2024-01-01 01:00:00 UTC"), _row("2024-01-02 01:00:00 UTC")])
+    _csv(os.path.join(raw, "b.csv"), [_row("2024-01-02 05:00:00 UTC", user=2)], time.time() - 90 * 86400)
+    first = _run(spark, tmpdir_path)
+    assert [f["file"] for f in first["files"]] == ["a.csv", "b.csv"] and first["batches"] == 2
+    assert [(r[1].day, r[8]) for r in _rows(spark, tmpdir_path)] == [(1, 1), (2, 2)]
+    again = _run(spark, tmpdir_path)
+    assert (again["status"], again["files"], again["total_rows"]) == ("no_new_files", [], 3)
+    _csv(os.path.join(raw, "0.csv"), [_row("2023-01-01 01:00:00 UTC")], time.time() - 900 * 86400)
+    late = _run(spark, tmpdir_path)
+    assert [f["file"] for f in late["files"]] == ["0.csv"] and late["total_rows"] == 4
+    before = _rows(spark, tmpdir_path)
+    # The other way of ingest finds nothing new in the same ledger.
+    other = run_incremental_ingest(spark, raw, os.path.join(tmpdir_path, "processed"),
+                                   os.path.join(tmpdir_path, "ckpt"))
+    assert other["status"] == "no_new_files"
+    fresh = _run(spark, tmpdir_path, full_refresh=True, files_per_batch=2)
+    assert (fresh["generation"], fresh["batches"], fresh["total_rows"]) == (2, 2, 4)
+    assert _rows(spark, tmpdir_path) == before
+
+
+def test_crash_after_the_write(spark, tmpdir_path, monkeypatch):
+    raw = os.path.join(tmpdir_path, "raw")
+    os.makedirs(raw)
+    _csv(os.path.join(raw, "a.csv"), [_row("2024-01-01 01:00:00 UTC"), _row("2024-01-02 01:00:00 UTC")])
+    _csv(os.path.join(raw, "b.csv"), [_row("2024-01-02 05:00:00 UTC", user=2)])
+    whole = incremental._run_batch
+
+    def dies(spark, paths, *rest):
+        out = whole(spark, paths, *rest)
+        if paths[0].endswith("b.csv"):
+            raise RuntimeError("lost")
+        return out
+    monkeypatch.setattr(incremental, "_run_batch", dies)
+    with pytest.raises(StreamingQueryException, match="lost"):
+        _run(spark, tmpdir_path)
+    before = _rows(spark, tmpdir_path)
+    monkeypatch.undo()
+    _csv(os.path.join(raw, "c.csv"), [_row("2024-01-03 05:00:00 UTC", user=3)])
+    # The lost micro-batch first (without a, which is entered), then the new one.
+    assert [f["file"] for f in _run(spark, tmpdir_path)["files"]] == ["b.csv", "c.csv"]
+    assert _rows(spark, tmpdir_path)[:-1] == before
+    assert ingest_log(spark, os.path.join(tmpdir_path, "ckpt")).count() == 3
+
+
+def test_many_files_in_few_batches(spark, tmpdir_path):
+    raw = os.path.join(tmpdir_path, "raw")
+    os.makedirs(raw)
+    for k in range(105):
+        _csv(os.path.join(raw, f"{k:03d}.csv"), [_row(f"2024-01-{k % 28 + 1:02d} 01:00:00 UTC", user=k)])
+    r = _run(spark, tmpdir_path, files_per_batch=53, mode="per_file")
+    assert len(r["files"]) == 105 and r["batches"] == 2 and r["total_rows"] == 105
+    assert len(_rows(spark, tmpdir_path)) == 105
