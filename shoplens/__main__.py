@@ -29,6 +29,9 @@ def parse_args(argv):
                    help="files cleaned and written in one job")
     p.add_argument("--mode", choices=("replace", "per_file"), default="replace",
                    help="whether a date belongs to its last file or to all of them")
+    p.add_argument("--rebuild", choices=("touched", "all"), default="touched",
+                   help="rewrite the dates that changed, or every layer")
+    p.add_argument("--stream", action="store_true", help="take the files in as a stream")
     return p.parse_args(argv)
 
 
@@ -40,10 +43,11 @@ def main(argv=None) -> int:
     result = run_pipeline(spark, args.raw_dir, args.out_dir, full_refresh=args.full_refresh,
                           sample_weeks=args.sample_weeks, sample_days=args.sample_days,
                           threads=args.threads, check=args.check,
-                          files_per_batch=args.files_per_batch, mode=args.mode)
+                          files_per_batch=args.files_per_batch, mode=args.mode,
+                          rebuild=args.rebuild, stream=args.stream)
     failed = {k: repr(v) for k, v in result["checks"].items() if isinstance(v, Exception)}
     print(json.dumps({"status": result["status"], "batches": result["batches"],
-                      "total_rows": result["total_rows"],
+                      "total_rows": result["total_rows"], "rebuilt": result["rebuilt"],
                       "files": {f["file"]: f["processed_rows"] for f in result["files"]},
                       "seconds": {k: round(v, 3) for k, v in result["seconds"].items()},
                       "tables": result["tables"], "failed_checks": failed}))

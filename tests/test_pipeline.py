@@ -74,6 +74,12 @@ def test_command_line(spark, tmpdir_path, capsys):
     out = capsys.readouterr().out
     assert code == 0
     assert '"batches": 1' in out and "-- date_range" in out and "'days': 2" in out
+    # The next file comes as a stream, and only its date is rebuilt.
+    _csv(os.path.join(raw, "b.csv"), _day_rows(5, [7]))
+    code = main([raw, os.path.join(tmpdir_path, "out"), "--check", "date_range",
+                 "--sample-weeks", "1", "--stream"])
+    out = capsys.readouterr().out
+    assert code == 0 and '"rebuilt": "touched"' in out and "'days': 3" in out
 
 
 def test_no_raw_files(spark, tmpdir_path):
