@@ -99,12 +99,13 @@ def select_parts(parts: list[Part], column: str, columns: list[str]) -> str:
 def first_dates(old_first: DataFrame, old_fact: DataFrame, touched_stg: DataFrame,
                 touched: list[dt.date]) -> DataFrame:
     """The users' first dates after the touched dates changed: the old one
-    where its date stays, otherwise the next date that the user still has
-    (only such users' rows are looked up), or a touched date."""
+    where its date stays, otherwise the next date that the user still has, or
+    a touched date.  What such users still have lies after the first touched
+    date, so only later folders are read: none if new dates were appended."""
     lost = on_dates(old_first, "first_event_date", touched).select("user_id")
-    next_date = facts.user_first_dates(
-        off_dates(old_fact.select("user_id", "event_date"), "event_date", touched)
-        .join(lost, "user_id", "left_semi"))
+    later = old_fact.where(F.col("event_date") > F.lit(min(touched))).select("user_id", "event_date")
+    next_date = facts.user_first_dates(off_dates(later, "event_date", touched)
+                                       .join(lost, "user_id", "left_semi"))
     return (off_dates(old_first, "first_event_date", touched)
             .unionByName(next_date).unionByName(facts.user_first_dates(touched_stg))
             .groupBy("user_id").agg(F.min("first_event_date").alias("first_event_date")))
@@ -114,9 +115,14 @@ def dates_to_tag(old_first: DataFrame, new_first: DataFrame, old_fact: DataFrame
                  touched: list[dt.date]) -> list[dt.date]:
     """The touched dates and those with events of a user whose first date moved."""
     before = old_first.withColumnRenamed("first_event_date", "_before")
-    moved = (before.join(new_first, "user_id").where("_before <> first_event_date").select("user_id"))
-    rows = off_dates(old_fact.select("user_id", "event_date"), "event_date", touched)
-    again = rows.join(moved, "user_id", "left_semi").select("event_date").distinct().collect()
+    moved = before.join(new_first, "user_id").where("_before <> first_event_date")
+    # Their events begin at their old first dates: earlier folders stay unread.
+    low = moved.agg(F.min("_before")).first()[0]
+    if low is None:
+        return touched
+    rows = off_dates(old_fact.where(F.col("event_date") >= F.lit(low)).select("user_id", "event_date"),
+                     "event_date", touched)
+    again = rows.join(moved.select("user_id"), "user_id", "left_semi").select("event_date").distinct().collect()
     return sorted({*touched, *(r["event_date"] for r in again)})
 
 
