@@ -8,11 +8,10 @@ every dimension and a reader prunes shards by each of them.
 
 A dimension of at most ``2 ** BITS`` distinct values has a bin for each,
 spread over the grid; one of more has bins with equally many distinct values,
-between edges that are quantiles of a bounded sample: the ``SAMPLE`` values of
-the smallest MD5.
+between edges that are exact quantiles of all of them.
 
 All of it is DataFrame code.  Only counts are ordered: at most one row per
-grid cell is sorted globally, and rows are numbered inside (cell, key)
+grid cell is sorted globally, and distinct values and rows are numbered inside
 ranges whose size does not follow the largest cell (``numbered``), so neither
 a value nor a key that a third of all rows share meets in one task.
 
@@ -32,19 +31,18 @@ from shoplens.llm.common import materialize, md5_rank
 from shoplens.llm.ordering import numbered
 
 BITS = 4                    # grid bins per dimension: 2**BITS
-SAMPLE = 4096               # distinct values that fix a dimension's edges
 
 
 def bin_edges(df: DataFrame, name: str, bits: int = BITS) -> list[tuple[int, object]]:
     """(bin, its smallest value) of a dimension's bins above 0, ascending.  A
     few values are spread over the whole grid, so that the curve separates
     them before it turns to finer differences."""
-    value = F.col(name)
-    sample = [r["v"] for r in df.select(value.alias("v")).where("v IS NOT NULL").distinct()
-              .orderBy(F.md5(F.col("v").cast("string")), "v").limit(SAMPLE).collect()]
-    sample.sort()
-    first = {(k << bits) // len(sample): v for k, v in reversed(list(enumerate(sample)))}
-    return [(b, first[b]) for b in sorted(first) if b]
+    values = materialize(df.select(F.col(name).alias("v")).where("v IS NOT NULL").distinct(),
+                         "values")
+    number = _div(F.col("position") * (1 << bits), F.col("size"))
+    edges = (numbered(values, ["v"]).groupBy(number.alias("b")).agg(F.min("v").alias("v"))
+             .where("b > 0").orderBy("b"))
+    return [(r["b"], r["v"]) for r in edges.collect()]
 
 
 def quantise(df: DataFrame, dims: list[str], bits: int = BITS) -> list[Column]:

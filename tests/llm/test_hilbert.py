@@ -64,6 +64,18 @@ def test_bins(spark):
     assert hilbert.bin_edges(few.limit(0), "lang") == []
 
 
+def test_edges_are_quantiles_of_all_values(spark):
+    """Far more values than bins: every value counts, none is sampled."""
+    many = spark.range(30000).select((F.col("id") * 7 % 10000).alias("x"), F.format_string("%05d", "id").alias("s"))
+    assert hilbert.bin_edges(many, "x") == [(b, b * 625) for b in range(1, 16)]
+    assert hilbert.bin_edges(many, "s") == [(b, f"{b * 1875:05d}") for b in range(1, 16)]
+    dates = many.select(F.when(F.col("x") > 99, F.date_add(F.lit("2000-01-01").cast("date"), F.col("x").cast("int")))
+                        .alias("d"))
+    own = sorted(r.d for r in dates.where("d IS NOT NULL").distinct().collect())
+    first = {k * 16 // len(own): v for k, v in reversed(list(enumerate(own)))}
+    assert hilbert.bin_edges(dates, "d") == [(b, first[b]) for b in range(1, 16)]
+
+
 def test_shards_span_less_than_a_random_split(spark):
     """Distinct languages and sources, and the spread of sizes, per shard."""
     import os
