@@ -6,7 +6,9 @@ that stands between two other characters.  The tokenizer's own first step
 starts a new piece at each of these places, so the ids of a text are the
 concatenated ids of its segments and the whole text is always counted.
 Segments repeat (they are words), so each distinct one is encoded once per
-worker and kept in a memo of bounded size.
+worker and kept in a memo of bounded size.  Where merge ranks are given, texts
+are first cut into parts at such boundaries; a part of plain Latin text goes
+through the rank encoder in one call, any other part by its segments.
 
 Defined results: a null text counts as empty (0 tokens, 0 bytes); special
 token strings inside a text become that special token, the library's
@@ -28,6 +30,7 @@ from pyspark.sql import functions as F
 BATCH_BYTES = 1 << 20        # texts handed to the tokenizer at once
 MEMO_SEGMENTS = 100_000      # distinct segments in each half of a worker's memo
 MEMO_SEGMENT_CHARS = 64      # longer segments are encoded each time
+PART_CHARS = 4096            # a part ends at the first boundary from here on
 
 _SPACES = re.compile(r"\s\s")
 _SAFE_CUT = re.compile(r"(?<=\S)(?=\s\S)")
@@ -65,8 +68,8 @@ class SegmentEncoder:
     """Encodes whole texts as little-endian unsigned 32-bit ids.
 
     ``path`` is the tokenizer file.  ``ranks`` may name the same vocabulary
-    as merge ranks; segments of plain Latin text then go through the rank
-    encoder, which gives the same ids faster, and all others through the
+    as merge ranks; parts and segments of plain Latin text then go through the
+    rank encoder, which gives the same ids faster, and all others through the
     tokenizer file.
     """
 
@@ -84,11 +87,16 @@ class SegmentEncoder:
         out = self.tokenizer.encode_batch_fast(segments, add_special_tokens=False)
         return [array("I", e.ids).tobytes() for e in out]
 
+    def _plain(self, text: str) -> bool:
+        """Whether the rank encoder gives the library's ids of ``text``."""
+        return bool(self.ranks and (text.isascii() or _PLAIN.match(text))
+                    and not any(s in text for s in self.special))
+
+    def _ranked(self, text: str) -> bytes:
+        return array("I", self.ranks(text)).tobytes()
+
     def _one(self, segment: str) -> bytes:
-        if (self.ranks and (segment.isascii() or _PLAIN.match(segment))
-                and not any(s in segment for s in self.special)):
-            return array("I", self.ranks(segment)).tobytes()
-        return self._batch([segment])[0]
+        return self._ranked(segment) if self._plain(segment) else self._batch([segment])[0]
 
     def _one_inside(self, key: str) -> bytes:
         return self._one(self._inside(key))
@@ -106,13 +114,28 @@ class SegmentEncoder:
         cut = _SAFE_CUT.split(text)
         return cut[:1] + [s[1:] if s[0] == " " else s for s in cut[1:]]
 
+    @staticmethod
+    def parts(text: str) -> Iterator[str]:
+        """Consecutive parts of a text, cut at safe boundaries."""
+        at = 0
+        while len(text) - at > PART_CHARS and (cut := _SAFE_CUT.search(text, at + PART_CHARS)):
+            yield text[at:cut.start()]
+            at = cut.start()
+        yield text[at:]
+
+    def _part(self, part: str) -> bytes:
+        return self._ranked(part) if self._plain(part) else self._joined(self.segments(part))
+
+    def _joined(self, segments: list[str]) -> bytes:
+        return self.first[segments[0]] + b"".join(map(self.inner.__getitem__, segments[1:]))
+
     def encode(self, texts: list[str]) -> list[bytes]:
-        cut = [self.segments(t) for t in texts]
         self.first, self.inner = self.first.next(), self.inner.next()
-        if self.ranks is None:
-            self._learn(set().union(*(s[1:] for s in cut)))
-        first, inner = self.first.__getitem__, self.inner.__getitem__
-        return [first(s[0]) + b"".join(map(inner, s[1:])) for s in cut]
+        if self.ranks:
+            return [b"".join(map(self._part, self.parts(t))) for t in texts]
+        cut = [self.segments(t) for t in texts]
+        self._learn(set().union(*(s[1:] for s in cut)))
+        return [self._joined(s) for s in cut]
 
     def _learn(self, keys: set[str]) -> None:
         """Encode the unknown segments in one call of the library."""

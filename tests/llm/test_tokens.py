@@ -37,6 +37,32 @@ def test_memo_stays_bounded(monkeypatch):
         assert len(enc.inner) <= 50 + 21 and len(enc.inner.previous) <= 50 + 21
 
 
+def test_plain_parts_are_one_call(monkeypatch):
+    """Words that never repeat cost no call each, wherever the text is cut."""
+    enc = tokens.SegmentEncoder(PATH, RANKS)
+    library, calls, ranks = Tokenizer.from_file(PATH), [], enc.ranks
+    enc.ranks = lambda text: calls.append(text) or ranks(text)
+    text = " ".join(f"zq{k}x" for k in range(3000))
+    assert ids(enc.encode([text])[0]) == library.encode(text, add_special_tokens=False).ids
+    assert "".join(calls) == text and len(calls) <= len(text) // tokens.PART_CHARS + 1
+    mixed = text[:9000] + " l\u2019\u00e9t\u00e9  \n\n \U0001f642 <|endoftext|>\tend " + text[:9000] + "y" * 9000
+    want = library.encode(mixed, add_special_tokens=False).ids
+    for size in (1, 10, 500, tokens.PART_CHARS):
+        monkeypatch.setattr(tokens, "PART_CHARS", size)
+        assert "".join(enc.parts(mixed)) == mixed
+        assert ids(enc.encode([mixed, ""])[0]) == want
+
+
+def test_memo_of_mixed_parts_stays_bounded(monkeypatch):
+    monkeypatch.setattr(tokens, "MEMO_SEGMENTS", 50)
+    library = Tokenizer.from_file(PATH)
+    enc = tokens.SegmentEncoder(PATH, RANKS)
+    for k in range(40):
+        text = " ".join(f"w{k * 7 + j}\u2019s" for j in range(20))
+        assert ids(enc.encode([text])[0]) == library.encode(text, add_special_tokens=False).ids
+        assert len(enc.inner) <= 50 + 21 and len(enc.inner.previous) <= 50 + 21
+
+
 def test_byte_batches_keep_order_and_balance():
     texts = ["x" * n for n in (5, 3000, 10, 10, 0, 9000, 1)]
     got = list(tokens.byte_batches(texts, 1000))
