@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 from shoplens.session import ensure_checkpoint_dir
 from shoplens.sources.tables import read_table
 
-__all__ = ["read_table", "materialize", "md5_rank", "document_name", "slices", "unused"]
+__all__ = ["read_table", "materialize", "dealt", "md5_rank", "document_name", "slices", "unused"]
 
 
 def materialize(df: DataFrame, name: str) -> DataFrame:
@@ -28,6 +28,16 @@ def materialize(df: DataFrame, name: str) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
+def dealt(df: DataFrame) -> DataFrame:
+    """``df`` as a side of a join that deals out both sides by the key.
+
+    Spark takes a stored table for as large as its compressed file, an array
+    for one element and a Python step's rows for as many as it was given, so a
+    table of many times the driver's memory can pass for one to broadcast.
+    """
+    return df.hint("merge")
+
+
 def slices(batches: Iterator[pa.RecordBatch], rows: int = 1000) -> Iterator[pa.RecordBatch]:
     """Arrow batches cut small, so that few texts are Python objects at once."""
     for batch in batches:

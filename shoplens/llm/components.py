@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from shoplens.llm.common import materialize
+from shoplens.llm.common import dealt, materialize
 
 
 def components(links: DataFrame) -> DataFrame:
@@ -25,15 +25,15 @@ def components(links: DataFrame) -> DataFrame:
         both.groupBy("node").agg(F.least(F.col("node"), F.min("near")).alias("label")), "labels")
     while True:
         seen = labels.select(F.col("node").alias("near"), F.col("label").alias("other"))
-        lowest = (both.join(seen, "near").groupBy("node")
+        lowest = (both.join(dealt(seen), "near").groupBy("node")
                   .agg(F.min("other").alias("lowest")))
         hooked = materialize(
-            labels.join(lowest, "node")
+            labels.join(dealt(lowest), "node")
             .select("node", F.col("label").alias("old"),
                     F.least("label", "lowest").alias("label")), "hooked")
         target = hooked.select(F.col("node").alias("label"), F.col("label").alias("next"))
         jumped = materialize(
-            hooked.join(target, "label").select("node", "old", F.col("next").alias("label")),
+            hooked.join(dealt(target), "label").select("node", "old", F.col("next").alias("label")),
             "jumped")
         labels = jumped.select("node", "label")
         if jumped.where("old != label").limit(1).count() == 0:

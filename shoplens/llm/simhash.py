@@ -38,7 +38,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from shoplens.llm import bitmap
-from shoplens.llm.common import document_name, materialize
+from shoplens.llm.common import dealt, document_name, materialize
 from shoplens.llm.components import components
 
 SHINGLE_WORDS = 3
@@ -151,14 +151,14 @@ def near_links(prints: DataFrame, threshold: int = MAX_BITS) -> DataFrame:
     home = replicate(prints, 0).withColumnRenamed("print", "a")
     visit = replicate(prints, threshold).withColumnRenamed("print", "b")
     close = F.bit_count(F.col("a").bitwiseXOR(F.col("b"))) <= threshold
-    return home.join(visit, "anchor").where((F.col("a") < F.col("b")) & close).select("a", "b")
+    return home.join(dealt(visit), "anchor").where((F.col("a") < F.col("b")) & close).select("a", "b")
 
 
 def _components_of(printed: DataFrame, order: str, threshold: int) -> DataFrame:
     """(print, component): the smallest ``order`` value reachable over links."""
     nodes = materialize(printed.groupBy("print").agg(F.min(order).alias("least")), "nodes")
     labels = components(near_links(nodes, threshold))
-    joined = (nodes.join(labels, nodes["print"] == labels["node"], "left")
+    joined = (nodes.join(dealt(labels), nodes["print"] == labels["node"], "left")
               .select("print", "least", F.coalesce("label", "print").alias("label")))
     lowest = joined.groupBy("label").agg(F.min("least").alias("component"))
     return materialize(joined.join(lowest, "label").select("print", "component"), "components")
@@ -169,7 +169,7 @@ def near_groups(docs: DataFrame, threshold: int = MAX_BITS, width: int = SHINGLE
     """(key, print, component): the smallest key reachable over links."""
     printed = materialize(docs.select(key, fingerprints(F.col(text), width).alias("print")),
                           "prints")
-    return printed.join(_components_of(printed, key, threshold), "print")
+    return printed.join(dealt(_components_of(printed, key, threshold)), "print")
 
 
 def keep_one(docs: DataFrame, threshold: int = MAX_BITS, width: int = SHINGLE_WORDS) -> DataFrame:
@@ -181,7 +181,7 @@ def keep_one(docs: DataFrame, threshold: int = MAX_BITS, width: int = SHINGLE_WO
                                       fingerprints(F.col("text"), width).alias("print")), "prints")
     found = _components_of(printed, "name", threshold)
     away = materialize(
-        printed.join(found, "print").where(F.col("name") != F.col("component"))
+        printed.join(dealt(found), "print").where(F.col("name") != F.col("component"))
         .select("name").distinct().select(
             F.col("name.doc_id").alias("_id"), F.col("name.text_hash").alias("_text"),
             document_name(F.col("name.doc_id"), F.col("name.text_hash")).alias("_name")), "away")
@@ -200,10 +200,10 @@ def keep_one(docs: DataFrame, threshold: int = MAX_BITS, width: int = SHINGLE_WO
         return bitmap.split(df, name, other, "_name")
 
     some, rest = split(docs, away)
-    stay = some.join(away, named(some, away), "left_anti").unionByName(rest)
+    stay = some.join(dealt(away), named(some, away), "left_anti").unionByName(rest)
     if twice.isEmpty():
         return stay
     some, rest = split(stay, twice)
-    single = some.join(twice, named(some, twice), "left_anti")
-    double = some.join(twice, named(some, twice), "left_semi").dropDuplicates(["doc_id", "text"])
+    single = some.join(dealt(twice), named(some, twice), "left_anti")
+    double = some.join(dealt(twice), named(some, twice), "left_semi").dropDuplicates(["doc_id", "text"])
     return rest.unionByName(single).unionByName(double)

@@ -7,6 +7,7 @@ import xxhash
 from pyspark.sql import functions as F
 
 from shoplens.llm import simhash
+from shoplens.llm.common import materialize
 from shoplens.llm.components import components
 
 
@@ -85,6 +86,20 @@ def test_components(spark):
     assert got == {x: find(x) for x in root}
 
 
+def test_replicas_are_no_broadcast_table(spark):
+    rng = np.random.default_rng(8)
+    prints = rng.integers(-(1 << 63), 1 << 63, 3000, dtype="int64")
+    prints[::3] = prints[1::3] ^ 5                                # two bits away
+    nodes = materialize(spark.createDataFrame([(x,) for x in prints.tolist()], "print long"), "nodes")
+    spark.conf.set("spark.sql.maxBroadcastTableSize", "8m")       # stands for the driver's memory
+    try:
+        links = {(r.a, r.b) for r in simhash.near_links(nodes).collect()}
+    finally:
+        spark.conf.unset("spark.sql.maxBroadcastTableSize")
+    near = {(min(x, y), max(x, y)) for x, y in zip(prints[::3].tolist(), prints[1::3].tolist())}
+    assert links == near
+
+
 def test_groups(spark, docs, rows, no_docs):
     rng = random.Random(4)
     base = [f"v{rng.randrange(300)}" for _ in range(300)]
