@@ -16,7 +16,8 @@ the whole item, if shorter) agrees in at least four fifths of its places.
 
 Only tokens around possible hits are stored: a fixed-size bitmap of all test
 seeds thins out the training seeds before the join.  The join itself,
-the diagonals and the comparison are ordinary shuffles.
+the diagonals and the comparison are ordinary shuffles; only a test side of
+few tokens is broadcast, whose tables then have some hundred thousand rows.
 
 Defined results: null, empty and wordless texts match nothing; an item of
 fewer than five tokens matches wherever it stands word for word; items of
@@ -36,7 +37,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from shoplens.llm import bitmap
-from shoplens.llm.common import document_name, materialize, slices
+from shoplens.llm.common import dealt, document_name, materialize, slices
 
 # Five selected tokens each, fewer in items of up to five.
 MASKS = ("11111", "110111", "111011", "1011011", "1101101")
@@ -46,6 +47,7 @@ SHORT_MASKS = {1: ("1",), 2: ("11",), 3: ("111",), 4: ("1111",),
 EVERY_MASK = tuple(dict.fromkeys(MASKS + sum(SHORT_MASKS.values(), ())))
 WINDOW = 13
 LEAST_TOKENS = 1
+SMALL_TOKENS = 50_000       # of all items: up to here the test side is broadcast
 BATCH_CHARS = 1 << 20
 MEMO_WORDS = 100_000
 
@@ -267,29 +269,30 @@ def overlaps(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
     test = materialize(item_seeds(items), "test_seeds")
     keyed = docs.select(F.col("doc_id").cast("long"), F.xxhash64("text").alias("text_hash"),
                         "text")
-    sizes = (items.select(F.least(F.size("tokens"), F.lit(WINDOW)).alias("n"))
-             .distinct().toArrow().column("n").to_pylist())             # at most WINDOW values
-    stretch = materialize(segments(keyed, bitmap.build(test, "hash"), masks_for(sizes))
+    sizes = (items.groupBy(F.least(F.size("tokens"), F.lit(WINDOW)).alias("n"))
+             .agg(F.sum(F.size("tokens")).alias("total")).toArrow().to_pydict())  # at most WINDOW rows
+    side = F.broadcast if sum(sizes["total"]) <= SMALL_TOKENS else dealt
+    stretch = materialize(segments(keyed, bitmap.build(test, "hash"), masks_for(sizes["n"]))
                           .withColumn("segment", F.monotonically_increasing_id()), "segments")
     train = stretch.select("segment", F.explode("hits").alias("hit")).select(
         "segment", F.col("hit.hash").alias("hash"), F.col("hit.at").alias("doc_at"))
-    hits = materialize(train.join(test, "hash").select(
+    hits = materialize(train.join(side(test), "hash").select(
         "segment", "item", (F.col("doc_at") - F.col("at")).alias("diagonal")).distinct(), "hits")
     # A hit takes along only the part of its segment that its item can cover.
     reach = items.select("item", F.size("tokens").alias("n"))
     low = F.greatest("start", "diagonal")
     high = F.least(F.col("start") + F.size("tokens"), F.col("diagonal") + F.col("n"))
-    parts = hits.join(reach, "item").join(stretch.drop("hits"), "segment").select(
+    parts = hits.join(side(reach), "item").join(dealt(stretch.drop("hits")), "segment").select(
         "doc_id", "text_hash", "item", "diagonal", low.alias("start"),
         F.slice("tokens", low - F.col("start") + 1, high - low).alias("tokens"))
     sides = parts.join(
-        items.select("item", "item_id", F.col("tokens").alias("item_tokens")), "item")
+        side(items.select("item", "item_id", F.col("tokens").alias("item_tokens"))), "item")
     found = _verify(sides.select("doc_id", "text_hash", "item_id", "start", "tokens",
                                  "item_tokens", "diagonal"))
     best = F.max(F.struct("matched", (-F.col("place")).alias("back"), "window"))
     links = found.groupBy("doc_id", "text_hash", "item_id").agg(best.alias("best"))
     copies = items.select(F.col("item_id").alias("_own"), "copies")
-    return links.join(copies, F.col("item_id").eqNullSafe(F.col("_own"))).select(
+    return links.join(side(copies), F.col("item_id").eqNullSafe(F.col("_own"))).select(
         "doc_id", "text_hash", "item_id", "copies", F.col("best.matched").alias("matched"),
         F.col("best.window").alias("window"), (-F.col("best.back")).alias("place"))
 
@@ -302,5 +305,5 @@ def decontaminate(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
             document_name(F.col("doc_id"), F.col("text_hash")).alias("_name")), "contaminated")
     name = document_name(docs["doc_id"], F.xxhash64(docs["text"]))
     some, rest = bitmap.split(docs, name, bad, "_name")
-    return some.join(bad, some["doc_id"].cast("long").eqNullSafe(bad["_id"])
+    return some.join(dealt(bad), some["doc_id"].cast("long").eqNullSafe(bad["_id"])
                      & F.xxhash64(some["text"]).eqNullSafe(bad["_text"]), "left_anti").unionByName(rest)

@@ -52,7 +52,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from shoplens.llm import bitmap
-from shoplens.llm.common import document_name, materialize, slices
+from shoplens.llm.common import dealt, document_name, materialize, slices
 
 MIN_LINES = 2
 MIN_WORDS = 10              # shorter passages repeat by chance
@@ -234,13 +234,13 @@ def repeated_chunks(docs: DataFrame) -> DataFrame:
     # A hash of one body needs no bytes to find it again; others are joined by them.
     per_hash = materialize(bodies.groupBy("hash").agg(F.count("*").alias("bodies")), "per_hash")
     own = F.struct("first.doc_id", "first.text_hash", "first.line")
-    moved = (bodies.where(~own.eqNullSafe(F.col("last_place"))).join(per_hash, "hash")
+    moved = (bodies.where(~own.eqNullSafe(F.col("last_place"))).join(dealt(per_hash), "hash")
              .select("hash", "body", "bodies", F.col("first.doc_id").alias("first_id"),
                      F.col("first.text_hash").alias("first_hash"), F.col("first.line").alias("first_line"),
                      F.col("first.before").alias("first_before"), F.col("first.after").alias("first_after")))
     moved = materialize(moved, "moved")
-    seeds = (found.drop("body").join(moved.where("bodies = 1").drop("body", "bodies"), "hash")
-             .unionByName(found.join(moved.where("bodies > 1").drop("bodies"), ["hash", "body"]).drop("body"))
+    seeds = (found.drop("body").join(dealt(moved.where("bodies = 1").drop("body", "bodies")), "hash")
+             .unionByName(found.join(dealt(moved.where("bodies > 1").drop("bodies")), ["hash", "body"]).drop("body"))
              .where(~place.eqNullSafe(F.struct(F.col("first_id"), F.col("first_hash"), F.col("first_line")))))
     ranges = seeds.mapInArrow(
         _extended, "doc_id long, text_hash long, start int, end int, first_id long, first_hash long, shift int")
@@ -291,7 +291,7 @@ def dedup_lines(docs: DataFrame, count: str = "removed_chunks") -> DataFrame:
     own = F.xxhash64(docs["text"])
     some, rest = bitmap.split(docs, document_name(docs["doc_id"], own), gone, "_name")
     columns = [c for c in docs.columns if c != count]
-    joined = some.join(gone, some["doc_id"].cast("long").eqNullSafe(gone["_id"])
+    joined = some.join(dealt(gone), some["doc_id"].cast("long").eqNullSafe(gone["_id"])
                        & F.xxhash64(some["text"]).eqNullSafe(gone["_hash"]), "left")
     touched = gone["_gone"].isNotNull()
     text = F.when(touched, cut(F.when(touched, some["text"]), gone["_gone"])).otherwise(some["text"])
